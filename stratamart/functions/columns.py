@@ -60,8 +60,9 @@ def hash_bucket_reserved(c, buckets: int, hot_keys: list[str]) -> Column:
 
 
 def stable_id(*cols) -> Column:
-    """Surrogate key that is the same on every run, unlike a row counter."""
-    return F.xxhash64(*[col(c) for c in cols])
+    """Surrogate key that is the same on every run and engine, unlike a row counter: 60 bits of the md5."""
+    text = F.concat_ws("|", *[col(c).cast("string") for c in cols])
+    return F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("bigint")
 
 
 def only_allowed(c, characters: str = "a-zA-Z0-9_") -> Column:

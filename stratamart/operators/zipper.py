@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratamart.functions.columns import OPEN_END
+from stratamart.functions.columns import OPEN_END, stable_id
 
 
 def opened(start: Column) -> list[Column]:
@@ -45,7 +45,7 @@ def zipper_merge(current: DataFrame, incoming: DataFrame, key: str, day: dt.date
 def scd_columns(as_of: dt.date, keys: Sequence[str]) -> list[Column]:
     """Surrogate key and slowly-changing-dimension fields of a first version."""
     return [
-        F.xxhash64(*[F.col(k) for k in keys]).alias("surrogate_key"),
+        stable_id(*keys).alias("surrogate_key"),
         F.lit(as_of).alias("effective_date"),
         F.date_add(F.lit(as_of), 365 * 10).alias("expiry_date"),
         F.lit(True).alias("is_current"),
