@@ -36,7 +36,9 @@ for _area in (shop, product, traffic, logistics, coupons, refund, realtime):
 
 def _text(name: str) -> str:
     text = SQL.get(name) or VIEWS[name]
-    text = text.replace("EPOCH_MS(", "epoch_ms(").replace("JSON_TEXT(", "json_extract_string(")
+    text = re.sub(r"\bround\(", "round(1.000000000001::DOUBLE * ", text)  # ties round up, as in the library
+    text = re.sub(r"EPOCH_MS\((CAST\(\w+ AS TIMESTAMP\))\)", r"(epoch_us(\1) // 1000)", text)
+    text = text.replace("JSON_TEXT(", "json_extract_string(")
     return text.replace(":log_as_of", LOG_AS_OF).replace(":as_of", AS_OF)
 
 

@@ -18,9 +18,6 @@ SELECT d.id, CAST(d.order_id AS VARCHAR) AS order_id, CAST(o.user_id AS VARCHAR)
 FROM {v_cdc_order_detail} d JOIN {v_cdc_order_info} o ON o.id = d.order_id AND o.op = 'c'
 LEFT JOIN {v_cdc_order_detail_activity} a ON a.order_detail_id = d.id LEFT JOIN {v_cdc_order_detail_coupon} c ON c.order_detail_id = d.id"""
 SQL["rt_dwd_order_cancel"] = """
-SELECT d.* REPLACE (left(o.operate_time, 10) AS date_id, o.ts_ms AS ts_ms) RENAME (create_time AS cancel_time) FROM (SELECT * FROM {rt_dwd_order_detail}) d
-JOIN {v_cdc_order_info} o ON CAST(o.id AS VARCHAR) = d.order_id AND o.op = 'u' AND o.before_order_status = '1001' AND o.order_status = '1003'"""
-SQL["rt_dwd_order_cancel"] = """
 SELECT d.id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id, d.activity_rule_id, d.coupon_id, left(o.operate_time, 10) AS date_id,
        o.operate_time AS cancel_time, d.sku_num, d.split_original_amount, d.split_activity_amount, d.split_coupon_amount, d.split_total_amount, o.ts_ms
 FROM {rt_dwd_order_detail} d JOIN {v_cdc_order_info} o ON CAST(o.id AS VARCHAR) = d.order_id AND o.op = 'u' AND o.before_order_status = '1001' AND o.order_status = '1003'"""
@@ -81,7 +78,33 @@ SQL["rt_cdc_to_dim"] = " UNION ALL ".join(
     + [f"SELECT 'dim_order_state', md5(CAST(id AS VARCHAR)), '{c}', CAST(arg_max({c}, (ts_ms, op)) AS VARCHAR) FROM {{v_cdc_order_info}} GROUP BY id" for c in ("id", "order_status")]
 )
 _T = ("order_info order_detail order_detail_activity order_detail_coupon payment_info order_refund_info refund_payment cart_info comment_info").split()
-_WIDTH = {"order_info": 5, "order_detail": 11, "order_detail_activity": 4, "order_detail_coupon": 3, "payment_info": 6, "order_refund_info": 11, "refund_payment": 7, "cart_info": 4, "comment_info": 5}
+_WIDTH = {"order_info": 5, "order_detail": 12, "order_detail_activity": 4, "order_detail_coupon": 3, "payment_info": 6, "order_refund_info": 11, "refund_payment": 7, "cart_info": 4, "comment_info": 5}
 SQL["rf_cdc_to_lake"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(id AS VARCHAR) AS pk, arg_max(op, (ts_ms, op)) AS op, max(ts_ms) AS ts_ms, {_WIDTH[t]} AS columns FROM {{v_cdc_{t}}} GROUP BY id" for t in _T
 )
+
+# the split log, with every event's text spelled out
+_COMMON = (
+    """'{"ar":"' || ar || '","ba":"' || ba || '","ch":"' || ch || '","md":"' || md || '","mid":"' || mid || '","os":"' || os || '"' """
+    """|| coalesce(',"uid":"' || uid || '"', '') || ',"vc":"' || vc || '","sid":"' || sid || '","is_new":"' || fixed || '"}'"""
+)
+_PAGE = (
+    """'{"during_time":' || during_time || ',"from_pos_id":"' || from_pos_id || '","from_pos_seq":"' || from_pos_seq || '","item":"' || item || '","item_type":"sku_id"' """
+    """|| coalesce(',"last_page_id":"' || last_page_id || '"', '') || ',"page_id":"' || page_id || '","refer_id":"' || refer_id || '"}'"""
+)
+SQL["v_log_fixed"] = f"""
+SELECT *, {_COMMON} AS common, {_PAGE} AS page FROM (
+  SELECT l.*, CASE WHEN l.is_new = '1' AND CAST(make_timestamp(l.ts_ms * 1000) + INTERVAL 8 HOUR AS DATE) <> f.first_day THEN '0' ELSE l.is_new END AS fixed
+  FROM {{v_log}} l JOIN (
+    SELECT mid, CAST(make_timestamp(min(ts_ms) * 1000) + INTERVAL 8 HOUR AS DATE) - CASE WHEN arg_min(is_new, (ts_ms, is_new <> '1')) = '1' THEN 0 ELSE 1 END AS first_day
+    FROM {{v_log}} WHERE NOT (event_type = 'error' AND k % 10 = 7) GROUP BY mid) f USING (mid)
+  WHERE NOT (l.event_type = 'error' AND l.k % 10 = 7))"""
+_TAIL = """',"ts":' || ts_ms || '}'"""
+SQL["rt_log_split"] = f"""
+SELECT 'dirty' AS route, '{{broken' AS value, CAST(NULL AS BIGINT) AS ts, CAST(NULL AS VARCHAR) AS mid, CAST(NULL AS VARCHAR) AS is_new FROM {{v_log}} WHERE event_type = 'error' AND k % 10 = 7
+UNION ALL SELECT 'err', '{{"err":{{"error_code":1000,"msg":"failed"}},"common":' || common || {_TAIL}, ts_ms, mid, fixed FROM {{v_log_fixed}} WHERE event_type = 'error'
+UNION ALL SELECT 'start', '{{"common":' || common || ',"start":{{"entry":"icon","loading_time":' || during_time || '}}' || {_TAIL}, ts_ms, mid, fixed FROM {{v_log_fixed}} WHERE event_type = 'error' AND k % 2 = 0
+UNION ALL SELECT 'page', '{{"common":' || common || coalesce(',"page":' || page, '') || {_TAIL}, ts_ms, mid, fixed FROM {{v_log_fixed}} WHERE event_type <> 'error' OR k % 2 = 1
+UNION ALL SELECT 'display', '{{"common":' || common || ',"page":' || page || ',"display":{{"item":"d' || i || '","pos_seq":' || i || '}}' || {_TAIL}, ts_ms, mid, fixed
+  FROM (SELECT *, unnest(generate_series(1, k % 3 + 1)) AS i FROM {{v_log_fixed}} WHERE event_type = 'view')
+UNION ALL SELECT 'action', '{{"common":' || common || ',"page":' || page || ',"action":{{"action_id":"cart_add","item":"' || item || '"}}' || {_TAIL}, ts_ms, mid, fixed FROM {{v_log_fixed}} WHERE event_type = 'click'"""

@@ -120,6 +120,11 @@ def day_ints(first, last) -> Column:
 
 
 # ---- numbers -----------------------------------------------------------------
+# A quotient that should end in 5 may come out a bit below it as a double.  This
+# relative nudge, far below any rounding step in use, makes such ties round up.
+NUDGE = 1.000000000001
+
+
 def money(c, precision: int = 18) -> Column:
     return col(c).cast(f"decimal({precision},2)")
 
@@ -132,12 +137,12 @@ def money_product(a, b) -> Column:
 def rate(num, den, digits: int = 4) -> Column:
     """``num / den`` rounded, zero where the denominator is not positive."""
     n, d = col(num).cast("double"), col(den).cast("double")
-    return F.coalesce(F.round(F.when(d > 0, n / d), digits), F.lit(0.0))
+    return F.coalesce(F.round(F.when(d > 0, NUDGE * n / d), digits), F.lit(0.0))
 
 
 def rate_or_null(num, den, digits: int = 4) -> Column:
     n, d = col(num).cast("double"), col(den).cast("double")
-    return F.round(F.when(d != 0, n / d), digits)
+    return F.round(F.when(d != 0, NUDGE * n / d), digits)
 
 
 def or_zero(c) -> Column:

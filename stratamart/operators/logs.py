@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.columns import in_zone, millis_to_ts
 
-# The blocks stay JSON text, so whatever fields a client sends travel on unchanged.
+# Blocks are read as variants, so whatever fields a client sends travel on unchanged.
+# Only the common block, whose values are texts, is opened.
 BLOCKS = ("common", "page", "start", "err", "displays", "actions")
 OBJECT = "MAP<STRING,STRING>"
 
@@ -15,7 +16,7 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
     """Blocks of each log line, the device, the event time; ``dirty`` marks lines that are not JSON objects."""
     text = F.col(value).cast("string")
     doc = F.from_json(
-        text, f"common {OBJECT}, page {OBJECT}, start {OBJECT}, err {OBJECT}, displays ARRAY<{OBJECT}>, actions ARRAY<{OBJECT}>, ts BIGINT, _bad STRING",
+        text, f"common {OBJECT}, page VARIANT, start VARIANT, err VARIANT, displays ARRAY<VARIANT>, actions ARRAY<VARIANT>, ts BIGINT, _bad STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )
     keep = [c for c in df.columns if c != value]

@@ -463,6 +463,12 @@ def _input(fn):
     return fn
 
 
+def _once(text, name: str):
+    """The text as a column of its own.  Without this the optimiser would copy the
+    expression that builds a text into every expression that later reads it."""
+    return F.explode(F.array(text)).alias(name)
+
+
 @_input
 def ods_log(v_log):
     """Click log, one JSON text per line."""
@@ -486,7 +492,7 @@ def ods_log(v_log):
         seen.alias("displays"), done.alias("actions"), F.col("ts_ms").alias("ts"),
     ))
     broken = F.when((F.col("event_type") == "error") & (F.col("k") % 10 == 7), F.lit("{broken")).otherwise(text)
-    return v_log.select(broken.alias("log"))
+    return v_log.select(_once(broken, "log"))
 
 
 @_input
@@ -532,8 +538,8 @@ def _envelope(df: DataFrame, table: str) -> DataFrame:
     if old:
         before = F.when(F.col("op") == "u", as_map([("id", "id")] + [(c[len("before_"):], c) for c in old]))
     source = F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table))
-    return df.select(F.to_json(F.struct(
-        "op", before.alias("before"), as_map([(c, c) for c in new]).alias("after"), source.alias("source"), "ts_ms")).alias("value"))
+    return df.select(_once(F.to_json(F.struct(
+        "op", before.alias("before"), as_map([(c, c) for c in new]).alias("after"), source.alias("source"), "ts_ms")), "value"))
 
 
 @_input
@@ -551,7 +557,7 @@ def ods_cdc(v_cdc_order_info, v_cdc_order_detail, v_cdc_order_detail_activity, v
 @_input
 def ods_rf_log(v_rf_log):
     text = F.to_json(F.struct("type", "event_id"))
-    return v_rf_log.select(F.when(F.col("broken"), F.concat(F.lit("{broken "), "event_id")).otherwise(text).alias("value"))
+    return v_rf_log.select(_once(F.when(F.col("broken"), F.concat(F.lit("{broken "), "event_id")).otherwise(text), "value"))
 
 
 def warehouse(spark: SparkSession, folder: str, as_of="2001-08-01", log_as_of="2024-01-30", **options):
