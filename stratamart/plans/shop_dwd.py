@@ -17,40 +17,52 @@ def _lines_with_promotions(lines: DataFrame, activity: DataFrame, coupon: DataFr
     return lines.join(act, "id", "left").join(cou, "id", "left")
 
 
-@plan
-def dwd_order_detail(ods_order_detail, ods_order_info, ods_order_detail_activity, ods_order_detail_coupon):
-    order = ods_order_info.select(F.col("id").alias("order_id"), "user_id", "province_id")
-    lines = _lines_with_promotions(ods_order_detail, ods_order_detail_activity, ods_order_detail_coupon)
-    return lines.join(order, "order_id", "left").select(
-        "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
-        day_of("create_time").alias("date_id"), "create_time", "sku_num",
+def _amounts():
+    return [
         (F.col("sku_num") * F.col("order_price")).cast("decimal(18,2)").alias("split_original_amount"),
         or_zero("split_activity_amount").cast("decimal(18,2)").alias("split_activity_amount"),
         or_zero("split_coupon_amount").cast("decimal(18,2)").alias("split_coupon_amount"),
-        F.col("split_total_amount").cast("decimal(18,2)").alias("split_total_amount"),
-        day_of("create_time").alias("dt"),
+    ]
+
+
+@plan
+def dwd_order_lines(ods_order_detail, ods_order_info):
+    """Order lines with the user and place of their order: all that the summaries need.
+
+    Kept apart from the promotions so that a summary neither joins them nor
+    counts a line twice when it used two.
+    """
+    order = ods_order_info.select(F.col("id").alias("order_id"), "user_id", "province_id")
+    return ods_order_detail.join(order, "order_id", "left").select(
+        "id", "order_id", "user_id", "sku_id", "province_id", day_of("create_time").alias("date_id"), "create_time", "sku_num",
+        *_amounts(), F.col("split_total_amount").cast("decimal(18,2)").alias("split_total_amount"), day_of("create_time").alias("dt"),
     )
 
 
 @plan
-def dwd_pay_suc_detail(
-    ods_order_detail, ods_payment_info, ods_order_info, ods_order_detail_activity, ods_order_detail_coupon, ods_base_dic
-):
+def dwd_order_detail(dwd_order_lines, ods_order_detail_activity, ods_order_detail_coupon):
+    return _lines_with_promotions(dwd_order_lines, ods_order_detail_activity, ods_order_detail_coupon)
+
+
+@plan
+def dwd_paid_lines(ods_order_detail, ods_payment_info):
+    """Order lines of paid orders."""
     pay = ods_payment_info.select("order_id", "user_id", "payment_type", "callback_time")
+    return ods_order_detail.join(pay, "order_id").select(
+        "id", "order_id", "user_id", "sku_id", "payment_type", "callback_time", "sku_num", *_amounts(),
+        F.col("split_total_amount").cast("decimal(18,2)").alias("split_payment_amount"), day_of("callback_time").alias("dt"),
+    )
+
+
+@plan
+def dwd_pay_suc_detail(dwd_paid_lines, ods_order_info, ods_order_detail_activity, ods_order_detail_coupon, ods_base_dic):
     order = ods_order_info.select(F.col("id").alias("order_id"), "province_id")
-    # payments and orders share the order key, so they meet first and the lines are shuffled by order once
-    paid = pay.join(order, "order_id", "left")
-    paid = with_label(paid, ods_base_dic, "payment_type", "payment_type_name", parent="11")
-    lines = _lines_with_promotions(ods_order_detail, ods_order_detail_activity, ods_order_detail_coupon)
-    return lines.join(paid, "order_id").select(
+    placed = dwd_paid_lines.join(order, "order_id", "left")  # both sides are already partitioned by order
+    named = with_label(placed, ods_base_dic, "payment_type", "payment_type_name", parent="11")
+    return _lines_with_promotions(named, ods_order_detail_activity, ods_order_detail_coupon).select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
-        F.col("payment_type").alias("payment_type_code"), "payment_type_name", day_of("callback_time").alias("date_id"),
-        "callback_time", "sku_num",
-        (F.col("sku_num") * F.col("order_price")).cast("decimal(18,2)").alias("split_original_amount"),
-        or_zero("split_activity_amount").cast("decimal(18,2)").alias("split_activity_amount"),
-        or_zero("split_coupon_amount").cast("decimal(18,2)").alias("split_coupon_amount"),
-        F.col("split_total_amount").cast("decimal(18,2)").alias("split_payment_amount"),
-        day_of("callback_time").alias("dt"),
+        F.col("payment_type").alias("payment_type_code"), "payment_type_name", F.col("dt").alias("date_id"), "callback_time", "sku_num",
+        "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_payment_amount", "dt",
     )
 
 

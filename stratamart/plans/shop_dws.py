@@ -37,8 +37,8 @@ def _per_order_then(df, grain):
 
 
 @plan
-def dws_province_order_1d(dwd_order_detail, dim_province):
-    daily = _per_order_then(dwd_order_detail, ["province_id", "dt"]).agg(
+def dws_province_order_1d(dwd_order_lines, dim_province):
+    daily = _per_order_then(dwd_order_lines, ["province_id", "dt"]).agg(
         F.count("order_id").alias("order_count_1d"), *_amounts("1d")
     )
     place = dim_province.select(F.col("id").alias("province_id"), *PLACE_COLUMNS)
@@ -79,8 +79,8 @@ def dws_user_cart_1d(dwd_cart_add):
 
 
 @plan
-def dws_user_order_1d(dwd_order_detail):
-    return _per_order_then(dwd_order_detail, ["user_id", "dt"]).agg(
+def dws_user_order_1d(dwd_order_lines):
+    return _per_order_then(dwd_order_lines, ["user_id", "dt"]).agg(
         F.count("order_id").alias("order_count_1d"), F.sum("sku_num").alias("order_num_1d"), *_amounts("1d")
     )
 
@@ -98,8 +98,8 @@ def dws_user_order_td(dws_user_order_1d):
 
 
 @plan
-def dws_user_payment_1d(dwd_pay_suc_detail):
-    per_order = dwd_pay_suc_detail.groupBy("user_id", "dt", "order_id").agg(
+def dws_user_payment_1d(dwd_paid_lines):
+    per_order = dwd_paid_lines.groupBy("user_id", "dt", "order_id").agg(
         F.sum("sku_num").alias("sku_num"), F.sum("split_payment_amount").alias("amount")
     )
     return per_order.groupBy("user_id", "dt").agg(
@@ -109,8 +109,8 @@ def dws_user_payment_1d(dwd_pay_suc_detail):
 
 
 @plan
-def dws_user_sku_order_1d(dwd_order_detail, dim_sku):
-    daily = dwd_order_detail.groupBy("user_id", "sku_id", "dt").agg(
+def dws_user_sku_order_1d(dwd_order_lines, dim_sku):
+    daily = dwd_order_lines.groupBy("user_id", "sku_id", "dt").agg(
         F.count(F.lit(1)).alias("order_count_1d"), F.sum("sku_num").alias("order_num_1d"), *_amounts("1d")
     )
     sku = dim_sku.select(F.col("id").alias("sku_id"), *SKU_COLUMNS)
