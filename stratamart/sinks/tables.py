@@ -81,12 +81,9 @@ class KeyedTable:
         newest = latest_per_key(flagged, self.keys, [self.VERSION])
         newest.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
-    def _files(self) -> str:
-        names = [c.split()[0] for c in self.schema.split(", ")]
-        return ", ".join([self.schema, f"{self.DELETED} BOOLEAN", f"{self.VERSION} BIGINT"]) if names else self.schema
-
     def versions(self) -> DataFrame:
-        return self.spark.read.schema(self._files()).option("basePath", self.path).parquet(f"{self.path}/batch=*")
+        stored = f"{self.schema}, {self.DELETED} BOOLEAN, {self.VERSION} BIGINT"
+        return self.spark.read.schema(stored).option("basePath", self.path).parquet(f"{self.path}/batch=*")
 
     def read(self) -> DataFrame:
         current = latest_per_key(self.versions().drop("batch"), self.keys, [self.VERSION])
