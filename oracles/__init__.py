@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-from oracles import coupons, logistics, product, realtime, refund, shop, traffic
+from oracles import coupons, helpers, logistics, product, realtime, refund, shop, traffic
 from stratamart.sources.supplied import RAW, VIEWS
 
 AS_OF, LOG_AS_OF = "DATE '2001-08-01'", "DATE '2024-01-30'"
@@ -26,11 +26,12 @@ RAW_COLUMNS = {
     "l_discount DOUBLE, l_tax DOUBLE, l_returnflag VARCHAR, l_linestatus VARCHAR, l_shipdate TIMESTAMP",
     "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR",
     "documents": "doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT",
+    "benchmark": "item_id BIGINT, text VARCHAR",
     "conversations": "conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR",
 }
 
 SQL: dict[str, str] = {}
-for _area in (shop, product, traffic, logistics, coupons, refund, realtime):
+for _area in (shop, product, traffic, logistics, coupons, refund, realtime, helpers):
     SQL.update(_area.SQL)
 
 

@@ -2,6 +2,7 @@
 
 from stratamart.plans import (  # noqa: F401
     coupons,
+    helpers,
     logistics_dim,
     logistics_dwd,
     logistics_dws,

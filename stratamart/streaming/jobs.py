@@ -8,6 +8,7 @@ changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -108,12 +109,35 @@ def apply_table_lifecycle(spark: SparkSession, config_changes: DataFrame, prefix
 
 
 # ---- detail -----------------------------------------------------------------------
+@contextmanager
+def one_clock(spark: SparkSession):
+    """For queries whose inputs are all cut from one stream.
+
+    By default the slowest input holds the watermark, so a table without changes
+    would hold it for ever.  When all inputs are parts of one stream, the
+    fastest one tells the time.  The query keeps the choice it was started with.
+    """
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(name, "min")
+    spark.conf.set(name, "max")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def order_detail_job(spark: SparkSession, cdc: DataFrame, store: KeyedTable, checkpoint: str, **options):
+    """Order detail rows, upserted by line."""
+    with one_clock(spark):
+        return run(order_detail_stream(cdc, **options), checkpoint, lambda batch, n: store.upsert(batch.select(*realtime.DETAIL), n, "ts_ms"))
+
+
 def order_detail_stream(cdc: DataFrame, delay: str = "5 seconds", spread: str = "10 minutes") -> DataFrame:
     """Order lines with order, activity and coupon, from one change stream.
 
     The four rows of an order are written together, so they are joined within
     ``spread`` of the line; that bounds the state, and a line without promotion
-    leaves once the watermark has passed its spread.
+    leaves once the watermark has passed its spread.  Start it under ``one_clock``.
     """
 
     def side(df, time):
