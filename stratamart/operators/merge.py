@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def stack_sums(keys: Sequence[str], inputs: Sequence[DataFrame], measures: Mapping[str, str]) -> DataFrame:
@@ -43,12 +43,11 @@ def sum_once(df: DataFrame, once: Sequence[str], amount: str, grain: Sequence[st
 
 
 def beside(*one_row: DataFrame) -> DataFrame:
-    """One-row aggregates side by side, joined on a constant."""
-    tagged = [df.withColumn("_one", F.lit(1)) for df in one_row]
-    out = tagged[0]
-    for df in tagged[1:]:
-        out = out.join(df, "_one")
-    return out.drop("_one")
+    """One-row aggregates side by side: stacked with nulls for what the others hold, then merged into one row."""
+    stacked = one_row[0]
+    for df in one_row[1:]:
+        stacked = stacked.unionByName(df, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -65,9 +64,3 @@ def accumulate(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def without_keys(df: DataFrame, keys_gone: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys_gone, list(on), "left_anti")
-
-
-def joined_on(a: Column, *more: Column) -> Column:
-    for condition in more:
-        a = a & condition
-    return a

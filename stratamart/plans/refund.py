@@ -133,8 +133,8 @@ def rf_dws_refund_by_user(ods_rf_refund, ods_rf_order):
         F.max("data_source").alias("data_source"),
     )
     orders = ods_rf_order.groupBy("user_id").agg(F.count(F.lit(1)).alias("orders"))
-    refunders = refunds.agg(F.count(F.lit(1)).alias("refunders")).withColumn("_one", F.lit(1))
-    joined = refunds.join(orders, "user_id", "left").withColumn("_one", F.lit(1)).join(refunders, "_one")
+    refunders = refunds.agg(F.count(F.lit(1))).scalar()
+    joined = refunds.join(orders, "user_id", "left").withColumn("refunders", refunders)
     return joined.select(
         "user_id", "refund_count", "total_refund_amount", rate("total_refund_amount", "refund_count", 2).alias("avg_refund_amount"),
         rate(F.col("refund_count") * 100, "orders", 2).alias("refund_rate"), rate(F.col("refund_count") * 100, "refunders", 4).alias("refund_share"),
