@@ -19,6 +19,13 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def of_table(changes: DataFrame, table: str) -> DataFrame:
+    """Changes of one table.
+
+    Where messages carry their table beside the text (``source_table``: a header,
+    or the topic of each table), other tables are dropped before any text is parsed.
+    """
+    if "source_table" in changes.columns:
+        changes = changes.filter(F.col("source_table") == table)
     return changes.filter(F.col("table_name") == table)
 
 
@@ -54,7 +61,8 @@ def routed_to_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     Deletes are ignored.  ``config`` has source_table, sink_table, sink_columns
     (comma-separated) and sink_row_key.
     """
-    routed = changes.filter(F.col("op") != "d").join(config, F.col("table_name") == F.col("source_table"))
+    routing = config.select(F.col("source_table").alias("_table"), "sink_table", "sink_columns", "sink_row_key")
+    routed = changes.filter(F.col("op") != "d").join(routing, F.col("table_name") == F.col("_table"))
     wanted = F.split("sink_columns", ",")
     cells = F.map_filter("after", lambda k, v: F.array_contains(wanted, k))
     return routed.select(

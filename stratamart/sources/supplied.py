@@ -527,19 +527,19 @@ def ods01_sku_info(v01_sku):
 
 def _envelope(df: DataFrame, table: str) -> DataFrame:
     """Change rows as envelope text; values are text, as a change stream sends them."""
-    old = [c for c in df.columns if c.startswith("before_")]
-    new = [c for c in df.columns if c not in ("op", "ts_ms", *old)]
+    columns = df.columns
+    old = [c for c in columns if c.startswith("before_")]
+    new = [c for c in columns if c not in ("op", "ts_ms", *old)]
 
     def as_map(pairs):
-        return F.create_map(*[part for name, c in pairs for part in (F.lit(name), F.col(c).cast("string"))])
+        return "map(" + ", ".join(f"'{name}', CAST({c} AS STRING)" for name, c in pairs) + ")"
 
-    nothing = F.lit(None).cast("map<string,string>")
-    before = nothing
+    before = "CAST(NULL AS MAP<STRING,STRING>)"
     if old:
-        before = F.when(F.col("op") == "u", as_map([("id", "id")] + [(c[len("before_"):], c) for c in old]))
-    source = F.create_map(F.lit("db"), F.lit("retail"), F.lit("table"), F.lit(table))
-    return df.select(_once(F.to_json(F.struct(
-        "op", before.alias("before"), as_map([(c, c) for c in new]).alias("after"), source.alias("source"), "ts_ms")), "value"))
+        before = f"CASE WHEN op = 'u' THEN {as_map([('id', 'id')] + [(c.removeprefix('before_'), c) for c in old])} END"
+    after, source = as_map([(c, c) for c in new]), f"map('db', 'retail', 'table', '{table}')"
+    text = f"to_json(named_struct('op', op, 'before', {before}, 'after', {after}, 'source', {source}, 'ts_ms', ts_ms))"
+    return df.selectExpr(f"explode(array({text})) AS value", f"'{table}' AS source_table")
 
 
 @_input
