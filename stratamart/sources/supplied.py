@@ -22,7 +22,7 @@ RAW = (
 
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT))"
 PRICE = "CAST(l_extendedprice AS DECIMAL(16,2))"
-K = "CAST(JSON_TEXT(props, '$.k') AS INT)"
+K = "k"  # the number in an event's props, read once in v_event
 PAGE = (
     f"concat(CASE {K} % 5 WHEN 0 THEN 'home' WHEN 1 THEN 'product' WHEN 2 THEN 'cart' "
     f"WHEN 3 THEN 'payment' ELSE 'category' END, '_', {K} % 3)"
@@ -49,6 +49,7 @@ def _pick(expr: str, values: list[str]) -> str:
 
 
 VIEWS: dict[str, str] = {}
+VIEWS["v_event"] = "SELECT event_id, ts, user_id, event_type, value, CAST(JSON_TEXT(props, '$.k') AS INT) AS k FROM {events}"
 
 # ---- shop: orders ------------------------------------------------------------
 VIEWS["ods_order_info"] = """
@@ -168,11 +169,11 @@ FROM {customer}"""
 VIEWS["ods_cart_info"] = f"""
 SELECT event_id AS id, user_id, event_id % 200 AS sku_id, concat('sku-', event_id % 200) AS sku_name, {K} % 5 + 1 AS sku_num,
        CASE WHEN {K} % 2 = 0 THEN '0' ELSE '1' END AS is_ordered, ts AS create_time
-FROM {{events}} WHERE event_type = 'click'"""
+FROM {{v_event}} WHERE event_type = 'click'"""
 VIEWS["ods_favor_info"] = """
 SELECT event_id AS id, user_id, event_id % 200 AS sku_id, ts AS create_time FROM {events} WHERE event_type = 'view'"""
 VIEWS["v_log"] = f"""
-SELECT event_id, ts, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts_ms, {K} AS k,
+SELECT event_id, ts, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts_ms, k,
        CASE WHEN {K} % 10 = 9 THEN NULL ELSE user_id END AS uid, concat('m', user_id) AS mid, {SESSION} AS sid,
        concat('ch', user_id % 5) AS ch, user_id % 25 AS ar, concat('brand', user_id % 7) AS ba, concat('model', user_id % 11) AS md,
        CASE WHEN user_id % 2 = 0 THEN 'Android' ELSE 'iOS' END AS os, concat('v', user_id % 3) AS vc,
@@ -182,7 +183,7 @@ SELECT event_id, ts, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts_ms, {K} AS k,
        CAST(event_id % 200 AS STRING) AS item, 'sku_id' AS item_type, CAST({K} % 4 AS STRING) AS from_pos_id,
        CAST({K} % 6 AS STRING) AS from_pos_seq, CAST({K} % 8 AS STRING) AS refer_id, CAST(floor(value * 1000) AS BIGINT) AS during_time,
        event_type
-FROM {{events}}"""
+FROM {{v_event}}"""
 
 # ---- product macro report --------------------------------------------------------
 VIEWS["v01_page"] = """
@@ -192,17 +193,17 @@ VIEWS["v01_cart"] = f"""
 SELECT CASE WHEN {K} % 9 = 0 THEN 'update' ELSE 'insert' END AS type, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts, CAST(ts AS DATE) AS dt,
        CAST(user_id AS STRING) AS user_id, CAST(event_id % 200 AS STRING) AS sku_id, ts AS create_time,
        CAST({K} % 4 AS STRING) AS source_type, CAST({K} % 6 AS STRING) AS source_id, CAST({K} % 5 + 1 AS BIGINT) AS sku_num
-FROM {{events}} WHERE event_type = 'click'"""
+FROM {{v_event}} WHERE event_type = 'click'"""
 VIEWS["v01_order"] = f"""
 SELECT CASE WHEN {K} % 11 = 0 THEN 'update' ELSE 'insert' END AS type, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts, CAST(ts AS DATE) AS dt,
        CAST(user_id AS STRING) AS user_id, CAST(event_id AS STRING) AS order_id, CAST(event_id % 200 AS STRING) AS sku_id, ts AS create_time,
        CAST({K} % 4 AS STRING) AS source_type, CAST({K} % 6 AS STRING) AS source_id, CAST({K} % 60 + 1 AS BIGINT) AS sku_num,
        CAST(value AS DECIMAL(16,2)) AS split_total_amount
-FROM {{events}} WHERE event_type = 'purchase'"""
+FROM {{v_event}} WHERE event_type = 'purchase'"""
 VIEWS["v01_payment"] = f"""
 SELECT 'insert' AS type, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts, CAST(ts AS DATE) AS dt, CAST(user_id AS STRING) AS user_id,
        CAST(event_id AS STRING) AS order_id, CAST(CAST(value AS DECIMAL(16,2)) * 40 AS DECIMAL(16,2)) AS total_amount, ts AS payment_time
-FROM {{events}} WHERE event_type = 'purchase' AND {K} % 3 <> 0"""
+FROM {{v_event}} WHERE event_type = 'purchase' AND {K} % 3 <> 0"""
 VIEWS["v01_sku"] = "SELECT CAST(p_partkey AS STRING) AS id, CAST(p_retailprice - 895 AS DECIMAL(16,2)) * CAST(p_size % 4 AS INT) AS price FROM {part}"
 
 # ---- product 360 -------------------------------------------------------------------
@@ -223,7 +224,7 @@ VIEWS["ods03_payment_info"] = f"""
 SELECT {LINE_ID} AS payment_id, l_orderkey AS order_id, {PRICE} AS pay_amount, concat('channel', l_linenumber) AS pay_channel,
        l_shipdate AS pay_time FROM {{lineitem}} WHERE l_linestatus = 'F'"""
 VIEWS["ods03_search_log"] = f"""
-SELECT event_id AS search_id, user_id, concat('word', {K} % 20) AS keyword, ts AS search_time FROM {{events}} WHERE event_type = 'view'"""
+SELECT event_id AS search_id, user_id, concat('word', {K} % 20) AS keyword, ts AS search_time FROM {{v_event}} WHERE event_type = 'view'"""
 VIEWS["ods03_content_log"] = f"""
 SELECT {LINE_ID} AS content_id, l_orderkey % 10007 AS user_id, l_partkey % 97 AS item_id, l_returnflag AS content_type,
        CASE l_linenumber WHEN 1 THEN 'click' WHEN 2 THEN 'cart' WHEN 3 THEN 'collect' ELSE 'view' END AS interaction_type,
@@ -238,15 +239,15 @@ VIEWS["fact_log"] = "SELECT user_id, concat('d', user_id % 3) AS device_id, CAST
 VIEWS["ods10_click"] = f"""
 SELECT event_id AS log_id, user_id, {SESSION} AS session_id, {PAGE} AS page_id, CASE WHEN {K} = 77 THEN NULL ELSE {MODULE} END AS module_id,
        ts AS click_time, CASE WHEN {K} % 10 = 0 THEN 1 ELSE 0 END AS is_bounce, ts AS create_time, CAST(ts AS DATE) AS dt
-FROM {{events}} WHERE event_type = 'click'"""
+FROM {{v_event}} WHERE event_type = 'click'"""
 VIEWS["ods10_page_view"] = f"""
 SELECT event_id AS log_id, user_id, {SESSION} AS session_id, {PAGE} AS page_id, ts AS view_time, CAST(floor(value) AS INT) AS stay_time,
        ts AS create_time, CAST(ts AS DATE) AS dt
-FROM {{events}} WHERE event_type IN ('view', 'signup', 'error')"""
+FROM {{v_event}} WHERE event_type IN ('view', 'signup', 'error')"""
 VIEWS["ods10_order"] = f"""
 SELECT event_id AS order_id, user_id, ts AS order_time, CAST(value AS DECIMAL(16,2)) AS payment_amount, {PAGE} AS source_page_id,
        ts AS create_time, CAST(ts AS DATE) AS dt
-FROM {{events}} WHERE event_type = 'purchase'"""
+FROM {{v_event}} WHERE event_type = 'purchase'"""
 
 # ---- logistics ------------------------------------------------------------------------------
 VIEWS["ods_tms_region"] = """
@@ -397,8 +398,8 @@ CDC_TABLES = (
 ).split()
 
 VIEWS["v_purchase"] = f"""
-SELECT event_id, user_id, ts, {K} AS k, {TS_MS} AS ts_ms, {TS_TEXT} AS ts_text, CAST(value AS DECIMAL(16,2)) AS price
-FROM {{events}} WHERE event_type = 'purchase'"""
+SELECT event_id, user_id, ts, k, {TS_MS} AS ts_ms, {TS_TEXT} AS ts_text, CAST(value AS DECIMAL(16,2)) AS price
+FROM {{v_event}} WHERE event_type = 'purchase'"""
 _ORDER = "event_id AS id, user_id, user_id % 25 AS province_id"
 VIEWS["v_cdc_order_info"] = f"""
 SELECT 'c' AS op, {_ORDER}, '1001' AS order_status, ts_text AS operate_time, CAST(NULL AS STRING) AS before_order_status, ts_ms FROM {{v_purchase}}
@@ -429,16 +430,16 @@ SELECT 'u' AS op, event_id AS id, event_id AS order_id, event_id % 200 AS sku_id
        price AS total_amount, '1602' AS refund_status, '1601' AS before_refund_status, ts_ms + 7300000 AS ts_ms FROM {v_purchase} WHERE k % 10 = 0"""
 VIEWS["v_cdc_cart_info"] = f"""
 SELECT CASE {K} % 4 WHEN 0 THEN 'r' WHEN 1 THEN 'c' ELSE 'u' END AS op, event_id AS id, user_id, event_id % 200 AS sku_id, {K} % 5 + 2 AS sku_num,
-       CASE {K} % 4 WHEN 2 THEN 1 WHEN 3 THEN 9 END AS before_sku_num, {TS_MS} AS ts_ms FROM {{events}} WHERE event_type = 'click'"""
+       CASE {K} % 4 WHEN 2 THEN 1 WHEN 3 THEN 9 END AS before_sku_num, {TS_MS} AS ts_ms FROM {{v_event}} WHERE event_type = 'click'"""
 VIEWS["v_cdc_comment_info"] = f"""
 SELECT 'c' AS op, event_id AS id, user_id, event_id % 200 AS sku_id, concat('120', {K} % 6 + 1) AS appraise, concat('text ', {K}) AS comment_txt,
-       {TS_MS} AS ts_ms FROM {{events}} WHERE event_type = 'view'"""
+       {TS_MS} AS ts_ms FROM {{v_event}} WHERE event_type = 'view'"""
 VIEWS["ods_dim_config"] = """
 SELECT 'comment_info' AS source_table, 'dim_comment' AS sink_table, 'id,user_id,appraise' AS sink_columns, 'id' AS sink_row_key
 UNION ALL SELECT 'order_info', 'dim_order_state', 'id,order_status', 'id'"""
 VIEWS["v_rf_log"] = f"""
 SELECT event_id, CASE event_type WHEN 'click' THEN 'user' WHEN 'purchase' THEN 'order' WHEN 'view' THEN 'product' ELSE 'other' END AS type,
-       event_type = 'error' AND {K} % 10 = 7 AS broken FROM {{events}}"""
+       event_type = 'error' AND {K} % 10 = 7 AS broken FROM {{v_event}}"""
 
 
 def references(text: str) -> list[str]:
