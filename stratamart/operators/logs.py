@@ -56,7 +56,9 @@ def split(parsed: DataFrame) -> DataFrame:
     """
     common = F.when(F.col("common").isNotNull(), F.map_from_entries(F.filter(
         F.map_entries("common"), lambda e: e["key"] != "is_new"))).otherwise(F.create_map().cast(OBJECT))
-    common = F.map_concat(common, F.create_map(F.lit("is_new"), F.col("is_new")))
+    # a column of its own, so that it is made once per line and not once per event
+    made = parsed.withColumn("_common", F.map_concat(common, F.create_map(F.lit("is_new"), F.col("is_new"))))
+    common = F.col("_common")
 
     def event(route, **blocks):
         body = F.to_json(F.struct(*[b.alias(name) for name, b in blocks.items()]))
@@ -72,4 +74,4 @@ def split(parsed: DataFrame) -> DataFrame:
     rest = F.array(event("page", common=common, page=page, ts=ts))
     whole = F.when(F.col("start").isNotNull(), F.concat(err, start)).otherwise(F.concat(err, displays, actions, rest))
     keep = [c for c in parsed.columns if c not in (*BLOCKS, "value", "dirty")]
-    return parsed.select(*keep, F.inline(F.when(F.col("dirty"), dirty).otherwise(whole)))
+    return made.select(*keep, F.inline(F.when(F.col("dirty"), dirty).otherwise(whole)))
