@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stratamart.llm import covering, mixing, quality_rules
+from stratamart.llm import covering, mixing, quality_rules, templates
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
 
@@ -18,6 +18,7 @@ def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_templates": lambda spark, folder: templates.op2(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
         "op3_quality_rules": _over_documents(quality_rules.op3),
         "op6_covering_simhash": _over_documents(covering.op6),
         "op10_source_mix": _over_documents(mixing.op10),
