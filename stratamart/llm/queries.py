@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stratamart.llm import bitplanes, covering, mixing, quality_rules, templates
+from stratamart.llm import bitplanes, covering, mixing, prefix_counts, quality_rules, templates
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_templates": lambda spark, folder: templates.op2(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
         "op3_quality_rules": _over_documents(quality_rules.op3),
         "op6_covering_simhash": _over_documents(covering.op6),
+        "op8_prefix_counts": _over_documents(prefix_counts.op8),
         "op10_source_mix": _over_documents(mixing.op10),
         "pipeline": corpus_pipeline.run,
     }
