@@ -33,7 +33,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from stratamart.llm.common import scratch_folder
+from stratamart.llm.common import kept, scratch_folder, texts
 from stratamart.llm.word_ids import WordIds
 
 BLOCK = 1 << 16
@@ -49,8 +49,7 @@ def pack(ids: np.ndarray, bits: int, level: int = LEVEL) -> tuple[list[int], byt
     if bits == 8:
         planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)[: -(-used // 8)]
     else:
-        spread = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-        planes = np.packbits(np.ascontiguousarray(spread.T[:used]), axis=1)
+        planes = [np.packbits((ids >> np.uint32(p) & np.uint32(1)).astype(np.uint8)) for p in range(used)]
     parts = [compress(p.tobytes()) for p in planes]
     return np.cumsum([len(p) for p in parts], dtype=int).tolist(), b"".join(parts)
 
@@ -64,10 +63,9 @@ def unpack(n: int, bits: int, ends: list[int], payload: bytes) -> np.ndarray:
         for p, plane in enumerate(planes):
             out[:, p] = plane
     else:
-        spread = np.zeros((n, 32), dtype=np.uint8)
+        out = np.zeros(n, dtype="<u4")
         for p, plane in enumerate(planes):
-            spread[:, p] = np.unpackbits(plane, count=n)
-        out = np.packbits(spread, axis=1, bitorder="little")
+            out |= np.unpackbits(plane, count=n).astype("<u4") << np.uint32(p)
     return out.reshape(-1).view("<u4")
 
 
@@ -119,7 +117,7 @@ def write(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str], np.n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     piece = f"doc_id {kind}, row bigint, skip bigint, at int, n int, rest bigint"
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     rows.mapInPandas(blocks, f"shard int, block int, first bigint, n int, bits int, ends array<int>, payload binary, pieces array<struct<{piece}>>").write.parquet(path)
 
 
@@ -202,7 +200,8 @@ def word_encoder(vocabulary: str | None = None) -> Callable[[], Callable[[str],
     def make() -> Callable[[str], np.ndarray]:
         import public_tokenizers
 
-        return WordIds(vocabulary or public_tokenizers.path(VOCABULARY)).encode
+        path = vocabulary or public_tokenizers.path(VOCABULARY)
+        return kept(f"word ids {path}", lambda: WordIds(path)).encode
 
     return make
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+T = TypeVar("T")
+
 #: Words are runs of anything but these six characters (blank, tab, line feed, vertical tab, form feed, return).
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +19,50 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of text that a Python task holds at once; texts can be long.
+BATCH_ROWS = 500
+_kept: dict[str, object] = {}
+
+
+def texts(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, more, text) for a Python operator, in small batches."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs.select("doc_id", *more, "text")
+
+
+def kept(key: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task, one thing at a time: a vocabulary with its memory of words, say."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+class Memory(dict):
+    """What ``make`` gave for keys met before.
+
+    Two generations bound it: when the young one is full it becomes the old one, from which keys met again return.  So frequent keys stay.
+    """
+
+    LIMIT = 1 << 18
+
+    def __init__(self) -> None:
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def renew(self) -> None:
+        """Called between texts: what one text needs is never forgotten under way."""
+        if len(self) > self.LIMIT:
+            self.old = dict(self)
+            self.clear()
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK + "+"), "")
 

@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import stored
+from stratamart.llm.common import stored, texts
 from stratamart.llm.components import components
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "text_hash": b["text_hash"], "fp": [fingerprint(t) for t in b["text"]]})
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    rows = texts(docs, F.xxhash64("text").alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(prints, f"doc_id {kind}, text_hash bigint, fp bigint")
 

@@ -24,17 +24,32 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from stratamart.llm.common import Memory, kept, texts
+
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
 SPACE = "▁"
 _CHUNK = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
+class _Totals(Memory):
+    """Tokens of the parts between blanks."""
+
+    LIMIT = 1 << 19
+
+    def __init__(self, counter: PrefixCounter):
+        super().__init__()
+        self.counter = counter
+
+    def make(self, part: str) -> int:
+        return 1 + self.counter.total(part[1:]) if part[:1] == "\n" else self.counter.total(SPACE + part)
+
+
 class PrefixCounter:
     """Counts by the pieces and scores of a sentencepiece byte-pair file without text normalisation."""
 
-    #: Prefixes and pairs of pieces remembered at once in a task; totals of chunks are smaller, and twice as many stay.
-    KEPT = 1 << 19
+    #: Prefixes and pairs of pieces remembered at once in a task.
+    KEPT = 1 << 18
     #: Characters up to which a chunk's prefixes are remembered.
     SHARED = 40
 
@@ -44,25 +59,39 @@ class PrefixCounter:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.scores = {model.id_to_piece(i): model.get_score(i) for i in ids}
-        self.longest = max(map(len, self.scores))
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.scores):
             raise ValueError("a piece continues behind a word into the next blank or line: texts cannot be cut into chunks")
         if model.normalize(" ﬁ  a ") != f"{SPACE}{SPACE}ﬁ{SPACE}{SPACE}a{SPACE}":
             raise ValueError("the file asks for a normalisation of texts that this counter does not make")
+        # Every ending of a piece, and whether it is a piece itself.
+        self.endings = {p[i:]: p[i:] in self.scores for p in self.scores for i in range(len(p))}
         self.apart: dict[tuple[str, str], bool] = {}
-        self.totals: dict[str, int] = {}
         self.states: dict[str, tuple[int, str]] = {"": (0, "")}
+        self.totals = _Totals(self)
 
     def merged(self, text: str) -> list[str]:
         """Greedy merging: the best pair anywhere, the leftmost of equals, until no pair is a piece."""
+        get, none = self.scores.get, -np.inf
         parts = list(text)
-        while True:
-            scores = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-            best = max(scores, default=-np.inf)
-            if best == -np.inf:
-                return parts
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > none:
             at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], none)
+        return parts
+
+    def _last_pieces(self, chunk: str, end: int) -> list[int]:
+        """Where pieces that end at ``end`` begin, the longest piece first."""
+        begin, found, endings = end - 1, [], self.endings
+        while begin >= 0 and (piece := endings.get(chunk[begin:end])) is not None:
+            if piece:
+                found.append(begin)
+            begin -= 1
+        return found[::-1]
 
     def _stay_apart(self, a: str, b: str) -> bool:
         if (known := self.apart.get((a, b))) is None:
@@ -75,9 +104,9 @@ class PrefixCounter:
         """Tokens of every prefix of a chunk, from the empty one on."""
         counts, last = [0], [""]
         for end in range(1, len(chunk) + 1):
-            for begin in range(max(0, end - self.longest), end):
+            for begin in self._last_pieces(chunk, end):
                 piece = chunk[begin:end]
-                if piece in self.scores and (not begin or self._stay_apart(last[begin], piece)):
+                if not begin or self._stay_apart(last[begin], piece):
                     counts.append(counts[begin] + 1)
                     break
             else:  # no piece ends here: the character is outside the vocabulary
@@ -86,29 +115,25 @@ class PrefixCounter:
             last.append(piece)
         return counts
 
-    def _total(self, chunk: str) -> int:
-        if len(self.totals) >= 2 * self.KEPT:
-            self.totals.clear()
-        n = self.totals[chunk] = self._state(chunk)[0] if len(chunk) <= self.SHARED else self.table(chunk)[-1]
-        return n
+    def total(self, chunk: str) -> int:
+        return self._state(chunk)[0] if len(chunk) <= self.SHARED else self.table(chunk)[-1]
 
     def _state(self, chunk: str) -> tuple[int, str]:
         """The last entry of a short chunk's table.  Words begin alike, so entries are kept by prefix; with a prefix, all shorter ones are there."""
-        states, scores, longest = self.states, self.scores, self.longest
+        states = self.states
         if len(states) >= self.KEPT:
             states.clear()
             states[""] = (0, "")
-        known = len(chunk) - 1
+        known = len(chunk)
         while chunk[:known] not in states:
             known -= 1
         for end in range(known + 1, len(chunk) + 1):
-            for begin in range(max(0, end - longest), end):
+            for begin in self._last_pieces(chunk, end):
                 piece = chunk[begin:end]
-                if piece in scores:
-                    count, before = states[chunk[:begin]]
-                    if not begin or self._stay_apart(before, piece):
-                        states[chunk[:end]] = (count + 1, piece)
-                        break
+                count, before = states[chunk[:begin]]
+                if not begin or self._stay_apart(before, piece):
+                    states[chunk[:end]] = (count + 1, piece)
+                    break
             else:
                 piece = chunk[end - 1]
                 states[chunk[:end]] = (states[chunk[: end - 1]][0] + len(piece.encode()), piece)
@@ -117,11 +142,16 @@ class PrefixCounter:
     def chunks(self, text: str) -> tuple[list[str], np.ndarray]:
         """The chunks of a text, with the blank that the library puts before it, and the tokens of each."""
         parts = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
-        get, make = self.totals.get, self._total
-        return parts, np.fromiter((make(c) if (n := get(c)) is None else n for c in parts), dtype=np.int64, count=len(parts))
+        return parts, np.fromiter(map(self.total, parts), dtype=np.int64, count=len(parts))
 
     def count(self, text: str) -> int:
-        return int(self.chunks(text)[1].sum()) if text else 0
+        if not text:
+            return 0
+        if text[0] == " " or "  " in text or " \n" in text or SPACE in text:
+            return int(self.chunks(text)[1].sum())
+        self.totals.renew()
+        # One blank before each part, but none before one that a line feed begins.
+        return sum(map(self.totals.__getitem__, text.replace("\n", " \n").split(" ")))
 
     def every_prefix(self, text: str) -> np.ndarray:
         """Tokens of text[:0], text[:1], ... text[:n]."""
@@ -150,7 +180,8 @@ class PrefixCounter:
 def _counter(vocabulary: str | None) -> PrefixCounter:
     import public_tokenizers
 
-    return PrefixCounter(vocabulary or public_tokenizers.path(VOCABULARY))
+    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    return kept(f"pieces {path}", lambda: PrefixCounter(path))
 
 
 def counts(docs: DataFrame, limit: int = LIMIT, vocabulary: str | None = None) -> DataFrame:
@@ -164,7 +195,7 @@ def counts(docs: DataFrame, limit: int = LIMIT, vocabulary: str | None = None) -
             fits = [len(t) if k <= limit else counter.fitting(t, limit) for t, k in zip(texts, n)]
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": n, "fits": fits})
 
-    rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "text")
+    rows = texts(docs, F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(count, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, fits bigint")
 
@@ -181,7 +212,7 @@ def prefix_table(docs: DataFrame, block: int = 4096, vocabulary: str | None = No
                 yield pd.DataFrame({"doc_id": [i] * len(firsts), "first": firsts, "counts": pd.Series([every[k : k + block] for k in firsts], dtype=object)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(rows, f"doc_id {kind}, first bigint, counts array<int>")
+    return texts(docs).mapInPandas(rows, f"doc_id {kind}, first bigint, counts array<int>")
 
 
 def tokens_of_prefix(table: DataFrame, asked: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import stored
+from stratamart.llm.common import kept, stored, texts
 
 WINDOW, MIN_ITEM = 6, 5
 MIN_SHARE, MIN_TOKENS, MIN_CONSISTENT = 0.5, 13, 0.75
@@ -71,7 +71,7 @@ def tokens(word: str) -> list[tuple[int, str]]:
 class Lexicon:
     """Template tokens of words, as arrays.  Words seen are kept up to a bound, then forgotten."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 18
 
     def __init__(self) -> None:
         self.reset()
@@ -183,12 +183,12 @@ def document_windows(docs: DataFrame, wanted: np.ndarray, lengths: list[int]) ->
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon()
+        lexicon = kept("template words", Lexicon)
         for b in batches:
             parts = [_rows({"doc_id": i, "text_hash": h}, lexicon, t, lengths, shared.value) for i, h, t in zip(b["doc_id"], b["text_hash"], b["text"])]
             yield _frame(parts, ["doc_id", "text_hash", "at", "size", "hash", "slots"])
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    rows = texts(docs, F.xxhash64("text").alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(make, f"doc_id {kind}, text_hash bigint, at bigint, size bigint, hash bigint, slots array<bigint>")
 

@@ -1,36 +1,36 @@
 """Token ids of whole texts from a tokenizer that never joins words, through a bounded memory of words.
 
 The vocabulary file ``word_bpe_49k.json`` drops white space and splits at it before merging, so a text's ids are the ids of its
-blank-separated words in order.  Words met before are looked up; new ones go to the library in one batch per text.
+blank-separated words in order.  Words met before are looked up; new ones go to the library.
 """
 
 from __future__ import annotations
 
-import re
+from array import array
 
 import numpy as np
 
-#: Between these no token and no normalisation reaches across.
-_BLANKS = re.compile("[ \t\n\r]+")
+from stratamart.llm.common import Memory
 
 
-class WordIds:
-    LIMIT = 1 << 20
+class WordIds(Memory):
+    """The ids of words, as bytes of little-endian uint32."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
+
+    def make(self, word: str) -> bytes:
+        if len(word) > 1 and word[-1] in ".," and word[-2] < "\u0180" and word[-2].lower().isalpha():
+            return self[word[:-1]] + self[word[-1]]  # letters and other characters are encoded apart
+        if word.isascii() and word.isalpha() and not word.islower():
+            return self[word.lower()]
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        words = text.split(" ") if "\n" not in text and "\t" not in text and "\r" not in text else _BLANKS.split(text)
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > self.LIMIT:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        self.renew()
+        # No token and no normalisation reaches across these.
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u4")
