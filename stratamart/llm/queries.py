@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stratamart.llm import bitplanes, char_models, covering, mixing, prefix_counts, quality_rules, secret_scan, templates
+from stratamart.llm import bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_covering_simhash": _over_documents(covering.op6),
         "op7_char_models": _over_documents(char_models.op7),
         "op8_prefix_counts": _over_documents(prefix_counts.op8),
+        "op9_pu_quality": lambda spark, folder: pu_quality.op9(table(spark, folder, "documents"), table(spark, folder, "labels")),
         "op10_source_mix": _over_documents(mixing.op10),
         "pipeline": corpus_pipeline.run,
     }
