@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stratamart.llm import bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates
+from stratamart.llm import bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates, transcripts
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bit_planes": _over_documents(bitplanes.op1),
         "op2_templates": lambda spark, folder: templates.op2(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
         "op3_quality_rules": _over_documents(quality_rules.op3),
+        "op4_transcripts": lambda spark, folder: transcripts.op4(table(spark, folder, "conversations")),
         "op5_secret_scan": _over_documents(secret_scan.op5),
         "op6_covering_simhash": _over_documents(covering.op6),
         "op7_char_models": _over_documents(char_models.op7),
