@@ -35,9 +35,26 @@ for _area in (shop, product, traffic, logistics, coupons, refund, realtime, help
     SQL.update(_area.SQL)
 
 
+def _rates(text: str) -> str:
+    """``RATE(x, y, k)``: x / y half up to k digits, in whole thousandths on 128-bit integers."""
+    while (begin := text.find("RATE(")) >= 0:
+        depth, parts, last = 0, [], begin + 5
+        for end in range(begin + 4, len(text)):
+            depth += (text[end] == "(") - (text[end] == ")")
+            if text[end] == "," and depth == 1 or depth == 0:
+                parts.append(text[last:end])
+                last = end + 1
+            if depth == 0:
+                break
+        n, d = (f"CAST(CAST({x} AS DECIMAL(30,3)) * 1000 AS HUGEINT)" for x in parts[:2])
+        scale = 10 ** int(parts[2])
+        text = f"{text[:begin]}(CAST((2 * {scale} * {n} + {d}) // (2 * {d}) AS DOUBLE) / {scale}){text[end + 1:]}"
+    return text
+
+
 def _text(name: str) -> str:
     text = SQL.get(name) or VIEWS[name]
-    text = re.sub(r"\bround\(", "round(1.000000000001::DOUBLE * ", text)  # ties round up, as in the library
+    text = _rates(text)
     text = re.sub(r"EPOCH_MS\((CAST\(\w+ AS TIMESTAMP\))\)", r"(epoch_us(\1) // 1000)", text)
     text = text.replace("JSON_TEXT(", "json_extract_string(")
     return text.replace(":log_as_of", LOG_AS_OF).replace(":as_of", AS_OF)

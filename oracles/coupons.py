@@ -22,13 +22,13 @@ SQL["dwd_activity_product"] = "SELECT *, product_status = '有效' AND remove_ti
 _AGENTS = "(SELECT customer_service_id, customer_service_name, department, position FROM {ods_cs_agent} WHERE status IS NOT NULL)"
 SQL["dwd_cs_performance"] = f"""
 SELECT a.*, coalesce(s.n, 0) AS send_count, coalesce(u.n, 0) AS usage_count, coalesce(s.amount, 0) AS total_coupon_amount, coalesce(u.saved, 0) AS total_save_amount,
-       CASE WHEN s.n > 0 THEN round(CAST(coalesce(u.n, 0) AS DOUBLE) / s.n, 4) ELSE 0.0 END AS conversion_rate,
-       CASE WHEN s.n > 0 THEN round(CAST(s.amount AS DOUBLE) / s.n, 2) ELSE 0.0 END AS avg_coupon_amount
+       CASE WHEN s.n > 0 THEN RATE(coalesce(u.n, 0), s.n, 4) ELSE 0.0 END AS conversion_rate,
+       CASE WHEN s.n > 0 THEN RATE(s.amount, s.n, 2) ELSE 0.0 END AS avg_coupon_amount
 FROM {_AGENTS} a LEFT JOIN (SELECT customer_service_id, count(*) AS n, sum(coupon_amount) AS amount FROM {{dwd_coupon_send}} GROUP BY ALL) s USING (customer_service_id)
 LEFT JOIN (SELECT customer_service_id, count(*) AS n, sum(save_amount) AS saved FROM {{dwd_coupon_usage}} GROUP BY ALL) u USING (customer_service_id)"""
 SQL["dws_cs_performance"] = """
 SELECT p.*, coalesce(o.customers, 0) AS customer_count, coalesce(o.n, 0) AS order_count, coalesce(o.amount, 0) AS total_order_amount,
-       coalesce(round(CAST(o.amount AS DOUBLE) / o.n, 2), 0) AS avg_order_amount
+       coalesce(RATE(o.amount, o.n, 2), 0) AS avg_order_amount
 FROM {dwd_cs_performance} p LEFT JOIN (SELECT customer_service_id, count(DISTINCT customer_id) AS customers, count(order_id) AS n, sum(order_amount) AS amount
   FROM {dwd_coupon_usage} GROUP BY ALL) o USING (customer_service_id)"""
 
@@ -36,19 +36,19 @@ FROM {dwd_cs_performance} p LEFT JOIN (SELECT customer_service_id, count(DISTINC
 def _effect(keys, head, tail):
     return f"""
 SELECT {head}, coalesce(s.n, 0) AS send_count, coalesce(u.n, 0) AS usage_count, coalesce(s.amount, 0) AS total_coupon_amount, coalesce(u.saved, 0) AS total_save_amount,
-       CASE WHEN s.n > 0 THEN round(CAST(coalesce(u.n, 0) AS DOUBLE) / s.n, 4) ELSE 0.0 END AS conversion_rate, coalesce(s.customers, 0) AS customer_count,
-       coalesce(u.orders, 0) AS order_count, coalesce(u.amount, 0) AS total_order_amount, coalesce(round(CAST(u.amount AS DOUBLE) / u.n, 2), 0) AS avg_order_amount, {tail}
+       CASE WHEN s.n > 0 THEN RATE(coalesce(u.n, 0), s.n, 4) ELSE 0.0 END AS conversion_rate, coalesce(s.customers, 0) AS customer_count,
+       coalesce(u.orders, 0) AS order_count, coalesce(u.amount, 0) AS total_order_amount, coalesce(RATE(u.amount, u.n, 2), 0) AS avg_order_amount, {tail}
 LEFT JOIN (SELECT {keys}, count(*) AS n, sum(coupon_amount) AS amount, count(DISTINCT customer_id) AS customers FROM {{dwd_coupon_send}} GROUP BY ALL) s USING ({keys})
 LEFT JOIN (SELECT {keys}, count(*) AS n, sum(save_amount) AS saved, count(DISTINCT order_id) AS orders, sum(order_amount) AS amount FROM {{dwd_coupon_usage}} GROUP BY ALL) u USING ({keys})"""
 
 
 SQL["dws_activity_effect"] = _effect(
     "activity_id", "a.activity_id, a.activity_name, a.activity_level, a.activity_status",
-    "CASE WHEN u.saved > 0 THEN round(CAST(u.amount AS DOUBLE) / u.saved, 4) ELSE 0.0 END AS roi FROM {ods_cs_activity} a",
+    "CASE WHEN u.saved > 0 THEN RATE(u.amount, u.saved, 4) ELSE 0.0 END AS roi FROM {ods_cs_activity} a",
 )
 SQL["dws_product_coupon"] = _effect(
     "product_id, sku_id", "product_id, sku_id",
-    "CASE WHEN u.amount > 0 THEN round(CAST(u.saved AS DOUBLE) / (u.amount + u.saved), 4) ELSE 0.0 END AS avg_discount_rate FROM {ods_cs_product} a",
+    "CASE WHEN u.amount > 0 THEN RATE(u.saved, (u.amount + u.saved), 4) ELSE 0.0 END AS avg_discount_rate FROM {ods_cs_product} a",
 )
 
 
@@ -64,7 +64,7 @@ def _spans(key):
 
 SQL["ads_activity_daily"] = f"SELECT :as_of AS stat_date, activity_id, activity_name, {_spans('activity_id')} FROM {{ods_cs_activity}} a"
 SQL["agent_spans"] = f"SELECT :as_of AS stat_date, a.*, {_spans('customer_service_id')} FROM {_AGENTS} a"
-_CONV = ", ".join(f"CASE WHEN send_count_{n}d > 0 THEN round(CAST(usage_count_{n}d AS DOUBLE) / send_count_{n}d, 4) ELSE 0.0 END AS conversion_rate_{n}d" for n in (7, 30))
+_CONV = ", ".join(f"CASE WHEN send_count_{n}d > 0 THEN RATE(usage_count_{n}d, send_count_{n}d, 4) ELSE 0.0 END AS conversion_rate_{n}d" for n in (7, 30))
 SQL["ads_cs_coupon_stats"] = f"SELECT *, {_CONV} FROM {{agent_spans}}"
 _WHO = "stat_date, customer_service_id, customer_service_name, department, position"
 SQL["ads_cs_send_stats"] = f"SELECT {_WHO}, send_count_7d, send_count_30d FROM {{agent_spans}}"

@@ -11,7 +11,18 @@ SQL["fx_order_days"] = """
 SELECT id, CAST(strftime(CAST(create_time AS DATE) + n, '%Y%m%d') AS INT) AS day FROM {ods_order_info}, (VALUES (0), (1), (2)) t(n)"""
 SQL["fx_hex_words"] = """
 SELECT id, 0 AS position, md5(name) || md5(name) AS word FROM {ods_user_info} UNION ALL SELECT id, 1, md5(user_level) || md5(gender) FROM {ods_user_info}"""
-SQL["fx_amount_text"] = "SELECT id, CAST(original_total_amount * 100 AS DECIMAL(20,0)) AS cents, CAST(original_total_amount AS DECIMAL(20,2)) AS amount FROM {ods_order_info}"
+# 40 hex digits are hi * 2^80 + lo, and 2^80 is 1208925819614 * 10^12 + 629174706176: no step leaves 128 bits.
+_PART = "(CAST('0x' || substr({h}, {a}, 10) AS HUGEINT) * 1099511627776 + CAST('0x' || substr({h}, {b}, 10) AS HUGEINT))"
+_HI, _LO = _PART.format(h="h", a=1, b=11), _PART.format(h="h", a=21, b=31)
+_LONG = f"""CAST({_HI} * 1208925819614 + ({_HI} * 629174706176 + {_LO}) // 1000000000000 AS VARCHAR)
+  || lpad(CAST(({_HI} * 629174706176 + {_LO}) % 1000000000000 AS VARCHAR), 12, '0')"""
+_DIGITS = "('f' || md5(CAST(id AS VARCHAR)) || md5(id || 'b'))"
+_ID = "id, CAST(original_total_amount * 100 AS DECIMAL(20,0)) AS cents, CAST(original_total_amount AS DECIMAL(20,2)) AS amount"
+SQL["fx_amount_text"] = f"""
+SELECT id, max(cents) AS cents, max(amount) AS amount, max(value) FILTER (n = 31) AS hex_31, max(value) FILTER (n = 40) AS hex_40,
+       CASE WHEN max(cents) = 0 THEN '0' ELSE '0.' || rtrim(lpad(CAST(max(cents) AS VARCHAR), 18, '0'), '0') END AS hex_64
+FROM (SELECT id, cents, amount, n, ltrim({_LONG}, '0') AS value FROM (SELECT {_ID}, n, lpad(left({_DIGITS}, n), 40, '0') AS h FROM {{ods_order_info}}, (VALUES (31), (40)) t(n)))
+GROUP BY id"""
 SQL["fx_json_append"] = """SELECT id, '["' || sku_name || '","' || is_ordered || '","' || user_id || '"]' AS items FROM {ods_cart_info}"""
 SQL["fx_allowed_characters"] = """
 SELECT id, regexp_full_match(name, '[a-zA-Z0-9_]+') AS name_ok, regexp_full_match(phone_num, '[a-zA-Z0-9_]+') AS phone_ok FROM {ods_user_info}"""

@@ -157,8 +157,8 @@ SELECT :as_of AS dt, d.order_count - b.order_count AS bounding_order_count, d.or
 FROM {dws_tms_dispatch_td} d, {dws_tms_bound_finish_td} b"""
 SQL["ads_tms_order_stats"] = f"SELECT :as_of AS dt, * FROM {_win('dws_tms_org_cargo_order_1d', '', _OC)}"
 SQL["ads_tms_cargo_type_stats"] = f"SELECT :as_of AS dt, * FROM {_win('dws_tms_org_cargo_order_1d', 'cargo_type, cargo_type_name', _OC)}"
-_AVG = """round(CAST(trans_finish_distance AS DOUBLE) / trans_finish_count, 4) AS avg_trans_finish_distance,
-       round(CAST(trans_finish_dur_sec AS DOUBLE) / trans_finish_count, 4) AS avg_trans_finish_dur_sec"""
+_AVG = """RATE(trans_finish_distance, trans_finish_count, 4) AS avg_trans_finish_distance,
+       RATE(trans_finish_dur_sec, trans_finish_count, 4) AS avg_trans_finish_dur_sec"""
 SQL["trip_place"] = "SELECT f.*, p.city_id, p.city_name FROM {dwd_tms_trans_finish} f LEFT JOIN {org_place} p ON p.org_id = f.start_org_id"
 for _name, _k, _source, _names in [
     ("ads_tms_city_stats", ["city_id", "city_name"], "trip_place", "city_id, city_name"),

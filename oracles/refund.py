@@ -28,26 +28,26 @@ SELECT b.behavior_id, b.user_id, b.behavior_type, b.behavior_time, b.page_url, b
 FROM {ods_rf_behavior} b LEFT JOIN (SELECT user_id, count(*) AS order_count, sum(order_amount) AS order_amount, arg_max(order_id, (create_time, order_id)) AS last_order_id,
   arg_max(order_status, (create_time, order_id)) AS last_order_status FROM {ods_rf_order} GROUP BY user_id) o USING (user_id)"""
 SQL["rf_dws_order_by_user"] = """
-SELECT user_id, count(*) AS order_count, sum(order_amount) AS total_order_amount, round(CAST(sum(order_amount) AS DOUBLE) / count(*), 2) AS avg_order_amount,
+SELECT user_id, count(*) AS order_count, sum(order_amount) AS total_order_amount, RATE(sum(order_amount), count(*), 2) AS avg_order_amount,
        max(order_amount) AS max_order_amount, min(order_amount) AS min_order_amount, min(create_time) AS first_order_time, max(create_time) AS last_order_time,
        bool_or(order_id IN (SELECT order_id FROM {ods_rf_refund} GROUP BY order_id HAVING sum(refund_amount) > 0)) AS has_refund_order, max(data_source) AS data_source
 FROM {ods_rf_order} GROUP BY user_id"""
 SQL["rf_dws_refund_by_user"] = """
-SELECT r.user_id, r.n AS refund_count, r.amount AS total_refund_amount, round(CAST(r.amount AS DOUBLE) / r.n, 2) AS avg_refund_amount,
-       coalesce(round(CAST(r.n * 100 AS DOUBLE) / o.n, 2), 0) AS refund_rate, round(CAST(r.n * 100 AS DOUBLE) / (SELECT count(DISTINCT user_id) FROM {ods_rf_refund}), 4) AS refund_share,
+SELECT r.user_id, r.n AS refund_count, r.amount AS total_refund_amount, RATE(r.amount, r.n, 2) AS avg_refund_amount,
+       coalesce(RATE(r.n * 100, o.n, 2), 0) AS refund_rate, RATE(r.n * 100, (SELECT count(DISTINCT user_id) FROM {ods_rf_refund}), 4) AS refund_share,
        r.f AS first_refund_time, r.l AS last_refund_time, r.data_source
 FROM (SELECT user_id, count(*) AS n, sum(refund_amount) AS amount, min(refund_apply_time) AS f, max(refund_apply_time) AS l, max(data_source) AS data_source FROM {ods_rf_refund} GROUP BY ALL) r
 LEFT JOIN (SELECT user_id, count(*) AS n FROM {ods_rf_order} GROUP BY user_id) o USING (user_id)"""
 SQL["rf_dws_logistics"] = """
 SELECT express_company, count(*) AS delivery_count, count(*) FILTER (WHERE node_time <= create_time + INTERVAL 3 DAY) AS on_time_delivery_count, max(l.data_source) AS data_source,
-       round(CAST(100 * count(*) FILTER (WHERE node_time <= create_time + INTERVAL 3 DAY) AS DOUBLE) / count(*), 2) AS on_time_delivery_rate
+       RATE(100 * count(*) FILTER (WHERE node_time <= create_time + INTERVAL 3 DAY), count(*), 2) AS on_time_delivery_rate
 FROM {ods_rf_logistics} l JOIN {ods_rf_order} o ON o.order_id = l.order_id WHERE express_company IS NOT NULL AND node_time IS NOT NULL AND create_time IS NOT NULL GROUP BY express_company"""
 SQL["rf_dws_behavior"] = """
 SELECT user_id, count(*) AS behavior_count, count(DISTINCT behavior_type) AS distinct_behavior_types, min(behavior_time) AS first_behavior_time,
        max(behavior_time) AS last_behavior_time, max(data_source) AS data_source FROM {ods_rf_behavior} GROUP BY user_id"""
 SQL["rf_dws_status_refund"] = f"""
-SELECT o.order_status, count(*) AS order_count, count(r.order_id) AS refund_order_count, round(CAST(100 * count(r.order_id) AS DOUBLE) / count(*), 2) AS refund_rate,
-       coalesce(round(CAST(sum(r.refund_amount) AS DOUBLE) / sum(r.refund_count), 2), 0) AS avg_refund_amount, max(o.data_source) AS data_source
+SELECT o.order_status, count(*) AS order_count, count(r.order_id) AS refund_order_count, RATE(100 * count(r.order_id), count(*), 2) AS refund_rate,
+       coalesce(RATE(sum(r.refund_amount), sum(r.refund_count), 2), 0) AS avg_refund_amount, max(o.data_source) AS data_source
 FROM {{ods_rf_order}} o LEFT JOIN {_RPO} r ON r.order_id = o.order_id GROUP BY o.order_status"""
 SQL["rf_ads_user_profile"] = """
 SELECT o.user_id, o.order_count, coalesce(r.refund_count, 0) AS refund_count, o.total_order_amount, coalesce(r.total_refund_amount, 0) AS total_refund_amount, o.avg_order_amount,
@@ -63,15 +63,15 @@ SELECT *, CASE order_status WHEN 'completed' THEN '已完成' WHEN 'cancelled' T
 _M = [
     ("total_orders", "总订单数", "(SELECT count(*) FROM {ods_rf_order})"), ("total_refunds", "总退款数", "(SELECT count(*) FROM {ods_rf_refund})"),
     ("total_order_amount", "订单总金额", "(SELECT sum(order_amount) FROM {ods_rf_order})"), ("total_refund_amount", "退款总金额", "(SELECT sum(refund_amount) FROM {ods_rf_refund})"),
-    ("avg_order_amount", "平均订单金额", "(SELECT round(avg(avg_order_amount), 2) FROM {rf_dws_order_by_user})"),
-    ("overall_refund_rate", "整体退款率", "round(CAST(100 * (SELECT count(*) FROM {ods_rf_refund}) AS DOUBLE) / (SELECT count(*) FROM {ods_rf_order}), 2)"),
+    ("avg_order_amount", "平均订单金额", "(SELECT RATE(sum(CAST(avg_order_amount AS DECIMAL(20,2))), count(avg_order_amount), 2) FROM {rf_dws_order_by_user})"),
+    ("overall_refund_rate", "整体退款率", "RATE(100 * (SELECT count(*) FROM {ods_rf_refund}), (SELECT count(*) FROM {ods_rf_order}), 2)"),
 ]
 SQL["rf_ads_overall_metrics"] = " UNION ALL ".join(
     f"SELECT '{n}' AS metric_name, CAST({v} AS DOUBLE) AS metric_value, '{d}' AS metric_desc, 'mysql' AS data_source" for n, d, v in _M
 )
 SQL["rf_ads_behavior_trend"] = """
 SELECT CAST(behavior_time AS DATE) AS stat_date, count(*) AS behavior_count, count(DISTINCT user_id) AS distinct_user_count, count(DISTINCT behavior_type) AS distinct_behavior_types,
-       round(CAST(count(*) AS DOUBLE) / count(DISTINCT user_id), 2) AS avg_behavior_per_user FROM {ods_rf_behavior} GROUP BY ALL"""
+       RATE(count(*), count(DISTINCT user_id), 2) AS avg_behavior_per_user FROM {ods_rf_behavior} GROUP BY ALL"""
 SQL["rf_ads_high_value"] = """
 SELECT user_id, total_order_amount, order_count, avg_order_amount, last_order_time, :as_of - CAST(last_order_time AS DATE) AS days_since_last_order, data_source
 FROM {rf_dws_order_by_user} WHERE total_order_amount >= 5000"""

@@ -187,7 +187,7 @@ FROM (SELECT dt, page_id, row_number() OVER w AS rn, lead(page_id) OVER w AS nex
       WINDOW w AS (PARTITION BY session_id, dt ORDER BY ts, page_item)) GROUP BY ALL"""
 SQL["ads_repeat_purchase"] = """
 SELECT :as_of AS dt, 30 AS recent_days, tm_id, tm_name,
-       round(CAST(count(*) FILTER (WHERE n >= 2) AS DOUBLE) / nullif(count(*) FILTER (WHERE n >= 1), 0), 4) AS order_repeat_rate
+       RATE(count(*) FILTER (WHERE n >= 2), nullif(count(*) FILTER (WHERE n >= 1), 0), 4) AS order_repeat_rate
 FROM (SELECT tm_id, tm_name, user_id, sum(order_count_30d) AS n FROM {dws_user_sku_order_nd} GROUP BY ALL) GROUP BY tm_id, tm_name"""
 SQL["ads_cart_top3_by_cate"] = """
 SELECT :log_as_of AS dt, category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, sku_id, sku_name, cart_num, rk FROM (
@@ -199,7 +199,7 @@ SELECT dt, tm_id, tm_name, sku_id, sku_name, favor_add_count_1d, rk FROM (
 SQL["ads_traffic_by_channel"] = f"""
 SELECT :log_as_of AS dt, recent_days, channel, count(DISTINCT mid_id) AS uv_count, CAST(floor(avg(during_time_1d) / 1000) AS BIGINT) AS avg_duration_sec,
        CAST(floor(avg(page_count_1d)) AS BIGINT) AS avg_page_count, count(*) AS sv_count,
-       round(CAST(count(*) FILTER (WHERE page_count_1d = 1) AS DOUBLE) / count(*), 4) AS bounce_rate
+       RATE(count(*) FILTER (WHERE page_count_1d = 1), count(*), 4) AS bounce_rate
 FROM {{dws_session_page_view_1d}}, {_W} WHERE dt > :log_as_of - recent_days AND dt <= :log_as_of GROUP BY ALL"""
 SQL["ads_user_action"] = """
 SELECT :log_as_of AS dt, (SELECT count(*) FROM {dws_page_visitor_1d} WHERE dt = :log_as_of AND page_id = 'home') AS home_count,
@@ -214,7 +214,7 @@ SELECT :log_as_of AS dt, (SELECT count(*) FROM {dws_user_login_td} WHERE login_d
 SQL["ads_user_retention"] = """
 SELECT :log_as_of AS dt, login_date_first AS create_date, :log_as_of - login_date_first AS retention_day,
        count(*) FILTER (WHERE login_date_last = :log_as_of) AS retention_count, count(*) AS new_user_count,
-       round(CAST(100 * count(*) FILTER (WHERE login_date_last = :log_as_of) AS DOUBLE) / count(*), 2) AS retention_rate
+       RATE(100 * count(*) FILTER (WHERE login_date_last = :log_as_of), count(*), 2) AS retention_rate
 FROM {dws_user_login_td} WHERE login_date_first >= :log_as_of - 7 AND login_date_first < :log_as_of GROUP BY login_date_first"""
 SQL["ads_user_stats"] = f"""
 SELECT :log_as_of AS dt, recent_days, count(*) FILTER (WHERE login_date_first > :log_as_of - recent_days) AS new_user_count, count(*) AS active_user_count

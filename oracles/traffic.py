@@ -46,7 +46,7 @@ FROM (SELECT log_id, session_id, user_id, page_id, view_time, stay_time, 0 AS bo
       UNION ALL SELECT log_id, session_id, user_id, page_id, click_time, 5, is_bounce, create_time, dt FROM {ods10_click}) GROUP BY session_id, user_id, dt"""
 SQL["dim10_order_source_page"] = f"""
 SELECT o.source_page_id, {_decode("o.source_page_id", _NO_PAY, "其他页面")} AS source_page_name, {_decode("o.source_page_id", _NO_PAY_TYPES, "其他页")} AS source_page_type,
-       coalesce(round(CAST(o.buyers AS DOUBLE) / v.visitors, 4), 0) AS conversion_rate, o.create_time, o.dt
+       coalesce(RATE(o.buyers, v.visitors, 4), 0) AS conversion_rate, o.create_time, o.dt
 FROM (SELECT source_page_id, dt, count(DISTINCT user_id) AS buyers, max(create_time) AS create_time FROM {{ods10_order}} GROUP BY ALL) o
 LEFT JOIN (SELECT page_id, dt, count(DISTINCT user_id) AS visitors FROM {{ods10_page_view}} GROUP BY ALL) v ON v.page_id = o.source_page_id AND v.dt = o.dt"""
 SQL["dim10_date"] = """
@@ -86,26 +86,26 @@ SELECT a.page_id AS source_page_id, b.page_id AS target_page_id, a.dt, count(*)
 FROM s a JOIN s b ON b.session_id = a.session_id AND b.dt = a.dt AND b.seq = a.seq + 1 GROUP BY ALL"""
 SQL["ads10_page_module"] = """
 SELECT m.page_id, p.page_name, m.module_id, m.module_name, d.module_type, m.click_count, m.click_user_count, coalesce(o.orders, 0) AS order_count,
-       coalesce(o.users, 0) AS order_user_count, coalesce(o.amount, 0) AS order_amount, round(CAST(coalesce(o.users, 0) AS DOUBLE) / m.click_user_count, 4) AS click_conversion_rate, m.dt
+       coalesce(o.users, 0) AS order_user_count, coalesce(o.amount, 0) AS order_amount, RATE(coalesce(o.users, 0), m.click_user_count, 4) AS click_conversion_rate, m.dt
 FROM {dws10_module_1d} m JOIN {dim10_page} p ON p.page_id = m.page_id AND p.dt = m.dt JOIN {dim10_module} d ON d.module_id = m.module_id AND d.dt = m.dt
 LEFT JOIN (SELECT c.page_id, c.module_id, c.dt, count(*) AS orders, count(DISTINCT o.user_id) AS users, sum(o.payment_amount) AS amount
            FROM (SELECT DISTINCT page_id, module_id, user_id, dt FROM {dwd10_click}) c JOIN {dwd10_order} o ON o.user_id = c.user_id AND o.dt = c.dt GROUP BY ALL) o
   ON o.page_id = m.page_id AND o.module_id = m.module_id AND o.dt = m.dt"""
 SQL["ads10_page_trend"] = """
 SELECT s.page_id, s.page_name, s.pv_count, s.visitor_count, s.click_count, coalesce(c.n, 0) AS click_user_count, s.bounce_count,
-       CASE WHEN s.session_count > 0 THEN round(CAST(s.bounce_count AS DOUBLE) / s.session_count, 4) ELSE 0.0 END AS bounce_rate, s.order_count, s.order_user_count, s.order_amount,
-       CASE WHEN s.visitor_count > 0 THEN round(CAST(s.order_user_count AS DOUBLE) / s.visitor_count, 4) ELSE 0.0 END AS visitor_conversion_rate, s.dt
+       CASE WHEN s.session_count > 0 THEN RATE(s.bounce_count, s.session_count, 4) ELSE 0.0 END AS bounce_rate, s.order_count, s.order_user_count, s.order_amount,
+       CASE WHEN s.visitor_count > 0 THEN RATE(s.order_user_count, s.visitor_count, 4) ELSE 0.0 END AS visitor_conversion_rate, s.dt
 FROM {dws10_page_1d} s LEFT JOIN (SELECT page_id, dt, count(DISTINCT user_id) AS n FROM {dwd10_click} GROUP BY ALL) c USING (page_id, dt)"""
 SQL["ads10_hourly_visit"] = """
 SELECT v.hour_id, v.pv AS pv_count, v.uv AS visitor_count, coalesce(c.n, 0) AS click_count, coalesce(o.n, 0) AS order_count, coalesce(o.amount, 0) AS order_amount,
-       round(CAST(coalesce(o.n, 0) AS DOUBLE) / v.uv, 4) AS conversion_rate, v.dt
+       RATE(coalesce(o.n, 0), v.uv, 4) AS conversion_rate, v.dt
 FROM (SELECT hour_id, dt, count(*) AS pv, count(DISTINCT user_id) AS uv FROM {dwd10_page_view} GROUP BY ALL) v
 LEFT JOIN (SELECT hour_id, dt, count(*) AS n FROM {dwd10_click} GROUP BY ALL) c USING (hour_id, dt)
 LEFT JOIN (SELECT hour_id, dt, count(*) AS n, sum(payment_amount) AS amount FROM {dwd10_order} GROUP BY ALL) o USING (hour_id, dt)"""
 SQL["ads10_campaign_effect"] = """
 SELECT page_id, page_name, pv_count, visitor_count, click_count, order_count, order_user_count, order_amount,
-       CASE WHEN visitor_count > 0 THEN round(CAST(order_user_count AS DOUBLE) / visitor_count, 4) ELSE 0.0 END AS visitor_conversion_rate,
-       CASE WHEN click_count > 0 THEN round(CAST(order_count AS DOUBLE) / click_count, 4) ELSE 0.0 END AS click_conversion_rate, dt FROM {dws10_page_1d}"""
+       CASE WHEN visitor_count > 0 THEN RATE(order_user_count, visitor_count, 4) ELSE 0.0 END AS visitor_conversion_rate,
+       CASE WHEN click_count > 0 THEN RATE(order_count, click_count, 4) ELSE 0.0 END AS click_conversion_rate, dt FROM {dws10_page_1d}"""
 
 
 def _favourite(source, label):

@@ -120,11 +120,6 @@ def day_ints(first, last) -> Column:
 
 
 # ---- numbers -----------------------------------------------------------------
-# A quotient that should end in 5 may come out a bit below it as a double.  This
-# relative nudge, far below any rounding step in use, makes such ties round up.
-NUDGE = 1.000000000001
-
-
 def money(c, precision: int = 18) -> Column:
     return col(c).cast(f"decimal({precision},2)")
 
@@ -134,37 +129,83 @@ def money_product(a, b) -> Column:
     return money(money(a, 16) * money(b, 16)).cast("string")
 
 
+def _half_up(num, den, digits: int) -> Column:
+    """``num / den`` rounded half up, in whole thousandths and integer division: ties are exact.  Null where ``den`` is zero."""
+    n, d = ((col(c).cast("decimal(27,3)") * 1000).cast("decimal(30,0)") for c in (num, den))
+    size = F.call_function("div", F.abs(n) * F.lit(2 * 10**digits) + F.abs(d), F.nullif(2 * F.abs(d), F.lit(0).cast("decimal(1,0)")))
+    return F.when((n < 0) != (d < 0), -size).otherwise(size).cast("double") / F.lit(float(10**digits))
+
+
 def rate(num, den, digits: int = 4) -> Column:
-    """``num / den`` rounded, zero where the denominator is not positive."""
-    n, d = col(num).cast("double"), col(den).cast("double")
-    return F.coalesce(F.round(F.when(d > 0, NUDGE * n / d), digits), F.lit(0.0))
+    """``num / den`` rounded half up, zero where the denominator is not positive."""
+    return F.coalesce(F.when(col(den) > 0, _half_up(num, den, digits)), F.lit(0.0))
 
 
 def rate_or_null(num, den, digits: int = 4) -> Column:
-    n, d = col(num).cast("double"), col(den).cast("double")
-    return F.round(F.when(d != 0, NUDGE * n / d), digits)
+    """``num / den`` rounded half up, null where the denominator is zero."""
+    return _half_up(num, den, digits)
 
 
 def or_zero(c) -> Column:
     return F.coalesce(col(c), F.lit(0))
 
 
+def _decimal_digits(hex_digits: Column) -> Column:
+    """Decimal text of a hex text of any length.
+
+    Seven hex digits at a time are carried into limbs of nine decimal digits, the lowest first; no step leaves 64 bits.
+    """
+    padded = F.concat(F.repeat(F.lit("0"), F.pmod(-F.length(hex_digits), F.lit(7))), hex_digits)
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.length(padded) - 1) / 7).cast("int")),
+        lambda i: F.conv(F.substring(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("bigint"),
+    )
+    base = F.lit(10**9).cast("bigint")
+
+    def add(limbs, chunk):
+        return F.aggregate(
+            limbs,
+            F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("out")),
+            lambda s, x: F.struct(
+                F.call_function("div", x * F.lit(16**7) + s["carry"], base).alias("carry"),
+                F.array_append(s["out"], (x * F.lit(16**7) + s["carry"]) % base).alias("out"),
+            ),
+            lambda s: F.when(s["carry"] > 0, F.array_append(s["out"], s["carry"])).otherwise(s["out"]),
+        )
+
+    limbs = F.aggregate(chunks, F.array(F.lit(0).cast("bigint")), add)
+    return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+
+
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def amount_from_text(c, scale_18: bool = False) -> Column:
-    """A hex (``0x…``) or decimal amount as decimal(38,18), optionally in units of 1e-18."""
-    text = F.trim(col(c))
-    digits = F.regexp_extract(text, "^0[xX]([0-9a-fA-F]{1,30})$", 1)
-    padded = F.lpad(digits, 30, "0")
-
-    def part(start):  # 15 hex digits always fit one bigint
-        return F.conv(F.substring(padded, start, 15), 16, 10).cast("decimal(19,0)")
-
-    hexed = part(1) * F.lit(2**60).cast("decimal(19,0)") + part(16)
-    whole = F.when(digits != "", hexed).otherwise(text.try_cast("decimal(38,0)"))
-    if not scale_18:
-        plain = F.when(digits != "", hexed.try_cast("decimal(38,18)"))
-        return plain.otherwise(text.try_cast("decimal(38,18)"))
-    unit = F.lit("0.000000000000000001").cast("decimal(18,18)")
-    return (whole * unit).try_cast("decimal(38,18)")
+    """A hex (``0x…``) or decimal amount of any length as exact decimal text, optionally in units of 1e-18.
+
+    Null in is "0"; what is no number is null.
+    """
+    text = F.coalesce(F.trim(col(c)), F.lit("0"))
+    hexed = F.regexp_extract(text, "^0[xX]([0-9a-fA-F]+)$", 1)
+    plain = F.regexp_extract(text, r"^[+-]?([0-9]+(?:[.][0-9]+)?)$", 1)
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    whole = F.when(hexed != "", _decimal_digits(hexed)).when(plain != "", F.substring_index(plain, ".", 1))
+    rest = F.when((hexed == "") & plain.contains("."), F.substring_index(plain, ".", -1)).otherwise(F.lit(""))
+
+    def shown(parts):
+        whole, rest = parts["whole"], parts["rest"]
+        if scale_18:
+            shifted = F.lpad(whole, F.greatest(F.length(whole), F.lit(19)), F.lit("0"))
+            rest = F.concat(F.right(shifted, F.lit(18)), rest)
+            whole = F.left(shifted, F.length(shifted) - 18)
+        whole = F.coalesce(F.nullif(F.ltrim(whole, F.lit("0")), F.lit("")), F.when(whole.isNotNull(), F.lit("0")))
+        rest = F.rtrim(rest, F.lit("0"))
+        return F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")))
+
+    value = _named(F.struct(whole.alias("whole"), rest.alias("rest")), shown)
+    return _named(value, lambda v: F.when(v != "0", F.concat(sign, v)).otherwise(v))
 
 
 # ---- payloads ----------------------------------------------------------------

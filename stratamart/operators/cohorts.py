@@ -11,14 +11,16 @@ from stratamart.functions.columns import days_before, rate
 
 
 def active_days(df: DataFrame, user: str, as_of: dt.date, span: int = 7, day: str = "dt") -> DataFrame:
-    """Per user, which of the last ``span`` days were active, as an integer of bits.
+    """Per user, which of the last ``span`` days (63 at most) were active, as a bigint of bits.
 
     Bit i stands for the day i days before ``as_of``.  One row per user, whatever
     the number of events, and combined before the shuffle.
     """
+    if span > 63:
+        raise ValueError("a bigint holds 63 days")
     shift = F.datediff(F.lit(as_of), F.col(day))
     in_span = df.filter((F.col(day) > days_before(as_of, span)) & (F.col(day) <= F.lit(as_of)))
-    return in_span.groupBy(user).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), shift)).alias("days"))
+    return in_span.groupBy(user).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)).alias("days"))
 
 
 def has_run(days: Column, length: int, span: int = 7) -> Column:

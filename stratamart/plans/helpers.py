@@ -46,11 +46,17 @@ def fx_hex_words(ods_user_info):
 
 @plan
 def fx_amount_text(ods_order_info):
-    """Amounts as hex and decimal texts, read back as numbers."""
+    """Amounts as hex and decimal texts, read back exactly: short ones, and ones of 31, 40 and 64 hex digits."""
     cents = (F.col("original_total_amount") * 100).cast("bigint")
-    read = C.amount_from_text(F.concat(F.lit("0x"), F.hex(cents)))
-    plain = C.amount_from_text(F.col("original_total_amount").cast("string"))
-    return ods_order_info.select("id", read.cast("decimal(20,0)").alias("cents"), plain.cast("decimal(20,2)").alias("amount"))
+    key = F.col("id").cast("string")
+    long = {n: F.left(F.concat(F.lit("f"), F.md5(key), F.md5(F.concat(key, F.lit("b")))), F.lit(n)) for n in (31, 40)}
+    return ods_order_info.select(
+        "id",
+        C.amount_from_text(F.concat(F.lit("0x"), F.hex(cents))).cast("decimal(20,0)").alias("cents"),
+        C.amount_from_text(F.col("original_total_amount").cast("string")).cast("decimal(20,2)").alias("amount"),
+        *[C.amount_from_text(F.concat(F.lit("0x"), v)).alias(f"hex_{n}") for n, v in long.items()],
+        C.amount_from_text(F.concat(F.lit("0x"), F.lpad(F.hex(cents), 64, "0")), True).alias("hex_64"),
+    )
 
 
 @plan

@@ -72,7 +72,7 @@ def dws03_item_order_month(dwd03_order_detail):
 def dws03_item_comment_month(dwd03_comment):
     return dwd03_comment.groupBy(*GRAIN).agg(
         F.count(F.lit(1)).alias("comment_cnt"), F.count_if(F.col("score") >= 4).alias("good_cnt"),
-        F.count_if(F.col("score") <= 2).alias("bad_cnt"), F.round(F.avg("score"), 2).alias("avg_score"),
+        F.count_if(F.col("score") <= 2).alias("bad_cnt"), rate_or_null(F.sum(F.col("score").cast("decimal(20,2)")), F.count("score"), 2).alias("avg_score"),
     )
 
 

@@ -108,7 +108,7 @@ def ads01_product_efficiency(dws01_product_view_1d, dws01_product_cart_1d, dws01
         visitors.alias("product_visitor_count"),
         F.sum("view_count_1d").alias("product_view_count"),
         F.count_if(F.col("view_count_1d") > 0).alias("visited_product_count"),
-        F.round(F.avg("avg_stay_time_1d") / 1000, 2).alias("avg_stay_time"),
+        rate_or_null(F.sum("avg_stay_time_1d"), F.count("avg_stay_time_1d") * 1000, 2).alias("avg_stay_time"),
         F.sum("cart_add_num_1d").alias("cart_add_num"),
         F.sum("cart_add_user_count_1d").alias("cart_add_user_count"),
         rate_or_null(F.sum("cart_add_user_count_1d"), visitors).alias("cart_conversion_rate"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.functions.columns import labelled, rate
+from stratamart.functions.columns import labelled, rate, rate_or_null
 from stratamart.operators.merge import beside
 from stratamart.operators.paths import latest_of_each
 from stratamart.warehouse import plan
@@ -205,13 +205,13 @@ def rf_ads_status_analysis(rf_dws_status_refund):
 def rf_ads_overall_metrics(rf_dws_order_by_user, rf_dws_refund_by_user):
     """Six totals as named rows, from one pass over each summary."""
     orders = rf_dws_order_by_user.agg(
-        F.sum("order_count").alias("orders"), F.sum("total_order_amount").alias("amount"), F.avg("avg_order_amount").alias("mean"),
+        F.sum("order_count").alias("orders"), F.sum("total_order_amount").alias("amount"), rate_or_null(F.sum(F.col("avg_order_amount").cast("decimal(20,2)")), F.count("avg_order_amount"), 2).alias("mean"),
         F.max("data_source").alias("data_source"),
     )
     refunds = rf_dws_refund_by_user.agg(F.sum("refund_count").alias("refunds"), F.sum("total_refund_amount").alias("refunded"))
     values = {
         "total_orders": F.col("orders"), "total_refunds": F.col("refunds"), "total_order_amount": F.col("amount"),
-        "total_refund_amount": F.col("refunded"), "avg_order_amount": F.round("mean", 2), "overall_refund_rate": rate(F.col("refunds") * 100, "orders", 2),
+        "total_refund_amount": F.col("refunded"), "avg_order_amount": F.col("mean"), "overall_refund_rate": rate(F.col("refunds") * 100, "orders", 2),
     }
     rows = [
         F.struct(F.lit(name).alias("metric_name"), v.cast("double").alias("metric_value"), F.lit(METRIC_NAMES[name]).alias("metric_desc"))

@@ -6,8 +6,6 @@ cluster has already created.  ``build`` is for tests and local runs.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -49,12 +47,8 @@ def build(app: str = "stratamart", master: str | None = None, cores: int = 8) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch folder only where none is set."""
+    """The shared folder the cluster names."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    scratch = tempfile.mkdtemp(prefix="stratamart-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    return configured

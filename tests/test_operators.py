@@ -1,6 +1,7 @@
 """Operators against brute force and hand-made rows."""
 
 import datetime as dt
+import decimal
 import random
 
 import pytest
@@ -44,13 +45,39 @@ def test_text_helpers(spark):
     df = spark.createDataFrame([("0x" + "a" * 64 + "b" * 64, '["x"]', "y", "0x0de0b6b3a7640000", "12.5")], "h string, l string, e string, wei string, d string")
     row = df.select(C.fixed_words("h"), C.append_to_json_list("l", "e"), C.amount_from_text("wei", True), C.amount_from_text("d")).first()
     assert row[0] == ["a" * 64, "b" * 64] and row[1] == '["x","y"]'
-    assert float(row[2]) == 1.0 and float(row[3]) == 12.5
+    assert row[2] == "1" and row[3] == "12.5"
     days = spark.range(1).select(C.day_ints(F.lit("2024-02-28"), F.lit("2024-03-01"))).first()[0]
     assert days == [20240228, 20240229, 20240301]
     iso = spark.range(1).select(C.iso_to_text(F.lit("2025-07-17T08:00:00.000Z")), C.only_allowed(F.lit("a_1")), C.only_allowed(F.lit("a-1"))).first()
     assert tuple(iso) == ("2025-07-17 08:00:00", True, False)
 
 
+def test_active_days_hold_sixty_three_days(spark):
+    log = spark.createDataFrame([("u", DAY), ("u", DAY - dt.timedelta(days=40)), ("u", DAY - dt.timedelta(days=63))], "u string, dt date")
+    assert cohorts.active_days(log, "u", DAY, span=63).first()["days"] == 1 + (1 << 40)
+    with pytest.raises(ValueError):
+        cohorts.active_days(log, "u", DAY, span=64)
+
+
+def test_amounts_of_any_length(spark):
+    hexes = ["0x" + "f" * n for n in (1, 7, 8, 30, 31, 40, 63, 64, 200)] + ["0x" + "0" * 62 + "ff", "0x0", "0X00de0B6b3a7640001"]
+    rows = spark.createDataFrame([(h,) for h in hexes], "h string").select("h", C.amount_from_text("h").alias("v"), C.amount_from_text("h", True).alias("w")).collect()
+    decimal.getcontext().prec = 400
+    for r in rows:
+        n = int(r["h"], 16)
+        assert r["v"] == str(n)
+        scaled = f"{decimal.Decimal(n) / 10**18:f}"
+        assert r["w"] == (scaled.rstrip("0").rstrip(".") if "." in scaled else scaled)
+    texts = spark.createDataFrame([("007.50",), ("-3",), ("x",), (None,), ("1" * 60,)], "t string").select(C.amount_from_text("t")).collect()
+    assert [r[0] for r in texts] == ["7.5", "-3", None, "0", "1" * 60]
+
+
+def test_rates_round_exact_ties(spark):
+    rows = spark.createDataFrame([(1, 8, 2), (3, 8, 2), (249999999999999, 1000000000000000, 1), (-1, 8, 2), (5, 0, 2), (9007199254740993, 1, 0)], "n bigint, d bigint, k int")
+    got = [rows.filter(F.col("k") == k).select(C.rate_or_null("n", "d", k)).collect() for k in (2, 1, 0)]
+    assert [r[0] for r in got[0]] == [0.13, 0.38, -0.13, None] and got[1][0][0] == 0.2 and got[2][0][0] == 9007199254740993.0
+
+
 def test_bands(spark):
     df = spark.createDataFrame([(50.0,), (50.01,), (100.0,), (300.0,), (300.01,), (None,)], "v double")
     bands = [(50, "0-50"), (100, "51-100"), (300, "101-300")]
