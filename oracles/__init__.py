@@ -52,12 +52,12 @@ def _rates(text: str) -> str:
     return text
 
 
-def _text(name: str) -> str:
+def _text(name: str, as_of: str = AS_OF) -> str:
     text = SQL.get(name) or VIEWS[name]
     text = _rates(text)
     text = re.sub(r"EPOCH_MS\((CAST\(\w+ AS TIMESTAMP\))\)", r"(epoch_us(\1) // 1000)", text)
     text = text.replace("JSON_TEXT(", "json_extract_string(")
-    return text.replace(":log_as_of", LOG_AS_OF).replace(":as_of", AS_OF)
+    return text.replace(":log_as_of", LOG_AS_OF).replace(":as_of", as_of)
 
 
 def _needs(name: str, seen: dict[str, None]) -> None:
@@ -68,10 +68,10 @@ def _needs(name: str, seen: dict[str, None]) -> None:
     seen[name] = None
 
 
-def expanded(name: str) -> str:
+def expanded(name: str, as_of: str = AS_OF) -> str:
     order: dict[str, None] = {}
     _needs(name, order)
-    ctes = ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', _text(n)).strip()})" for n in order)
+    ctes = ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', _text(n, as_of)).strip()})" for n in order)
     return f"WITH {ctes}\n"
 
 
@@ -89,7 +89,8 @@ def _edge(column: str, kind: str) -> str:
 
 
 @lru_cache
-def statements() -> dict[str, str]:
+def statements(days: tuple[tuple[str, str], ...] = ()) -> dict[str, str]:
+    """One statement per name; ``days`` gives some their own business date."""
     import duckdb
 
     con = duckdb.connect()
@@ -97,7 +98,7 @@ def statements() -> dict[str, str]:
         con.execute(f"CREATE TABLE {table} ({columns})")
     out = {}
     for name in SQL:
-        head = expanded(name)
+        head = expanded(name, f"DATE '{dict(days)[name]}'" if name in dict(days) else AS_OF)
         kinds = con.execute(f"DESCRIBE {head}SELECT * FROM {name}").fetchall()
         out[name] = f"{head}SELECT {', '.join(_edge(c[0], c[1]) for c in kinds)} FROM {name}"
     con.close()

@@ -37,6 +37,6 @@ UNION ALL SELECT id, CASE WHEN id % 3 = 0 THEN 'RAISED' ELSE user_level END, '20
 SQL["keyed_latest"] = """
 SELECT order_id, order_status, operate_time FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY operate_time DESC) AS rn FROM {ods_order_status_log}) WHERE rn = 1"""
 SQL["keys_deleted"] = "SELECT id, user_id, order_status FROM {ods_order_info} WHERE id NOT IN (SELECT order_id FROM {ods_payment_info})"
-SQL["report_accumulated"] = "SELECT * FROM {ads_order_by_province}"
+SQL["report_accumulated"] = "SELECT * FROM {dws_province_order_1d} WHERE dt BETWEEN :as_of - 3 AND :as_of - 1"
 SQL["day_buckets"] = """
 SELECT CASE WHEN event_type = 'error' AND k % 10 = 7 THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day, count(*) AS lines FROM {v_log} GROUP BY ALL"""

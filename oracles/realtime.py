@@ -78,9 +78,11 @@ SQL["rt_cdc_to_dim"] = " UNION ALL ".join(
     + [f"SELECT 'dim_order_state', md5(CAST(id AS VARCHAR)), '{c}', CAST(arg_max({c}, (ts_ms, op)) AS VARCHAR) FROM {{v_cdc_order_info}} GROUP BY id" for c in ("id", "order_status")]
 )
 _T = ("order_info order_detail order_detail_activity order_detail_coupon payment_info order_refund_info refund_payment cart_info comment_info").split()
-_WIDTH = {"order_info": 5, "order_detail": 12, "order_detail_activity": 4, "order_detail_coupon": 3, "payment_info": 6, "order_refund_info": 11, "refund_payment": 7, "cart_info": 4, "comment_info": 5}
 SQL["rf_cdc_to_lake"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST(id AS VARCHAR) AS pk, arg_max(op, (ts_ms, op)) AS op, max(ts_ms) AS ts_ms, {_WIDTH[t]} AS columns FROM {{v_cdc_{t}}} GROUP BY id" for t in _T
+    f"SELECT '{t}' AS table_name, pk_ AS pk, op_ AS op, ts_ AS ts_ms, name AS \"column\", value FROM "
+    "(SELECT CAST(id AS VARCHAR) AS pk_, op AS op_, ts_ms AS ts_, CAST(COLUMNS(lambda c: c NOT IN ('op', 'ts_ms') AND c NOT LIKE 'before%') AS VARCHAR) "
+    f"FROM (SELECT * FROM {{v_cdc_{t}}} QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, op DESC) = 1)) "
+    "UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE (pk_, op_, ts_))))" for t in _T
 )
 
 # the split log, with every event's text spelled out

@@ -123,7 +123,7 @@ SELECT user_id, dt, count(DISTINCT order_id) AS order_count_1d, sum(sku_num) AS
 SQL["dws_user_order_td"] = """
 SELECT user_id, min(dt) AS order_date_first, max(dt) AS order_date_last, sum(order_count_1d) AS order_count_td, sum(order_num_1d) AS order_num_td,
        sum(order_original_amount_1d) AS original_amount_td, sum(activity_reduce_amount_1d) AS activity_reduce_amount_td,
-       sum(coupon_reduce_amount_1d) AS coupon_reduce_amount_td, sum(order_total_amount_1d) AS total_amount_td FROM {dws_user_order_1d} GROUP BY user_id"""
+       sum(coupon_reduce_amount_1d) AS coupon_reduce_amount_td, sum(order_total_amount_1d) AS total_amount_td FROM {dws_user_order_1d} WHERE dt <= :as_of GROUP BY user_id"""
 SQL["dws_user_payment_1d"] = """
 SELECT user_id, dt, count(DISTINCT order_id) AS payment_count_1d, sum(sku_num) AS payment_num_1d, sum(split_payment_amount) AS payment_amount_1d
 FROM {dwd_pay_suc_detail} GROUP BY user_id, dt"""

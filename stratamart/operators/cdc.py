@@ -18,6 +18,15 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def log_position() -> list[Column]:
+    """Where a change stands in its log: time, file, place in the file, row of the statement.  Missing parts are zero or empty."""
+    number = lambda k: F.coalesce(F.col("source")[k].try_cast("bigint"), F.lit(0).cast("bigint")).alias(f"log_{k}")
+    return [F.col("ts_ms"), F.coalesce(F.col("source")["file"], F.lit("")).alias("log_file"), number("pos"), number("row")]
+
+
+LOG_POSITION = ["ts_ms", "log_file", "log_pos", "log_row"]
+
+
 def of_table(changes: DataFrame, table: str) -> DataFrame:
     """Changes of one table.
 
@@ -66,5 +75,5 @@ def routed_to_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     wanted = F.split("sink_columns", ",")
     cells = F.map_filter("after", lambda k, v: F.array_contains(wanted, k))
     return routed.select(
-        "sink_table", F.md5(F.element_at("after", F.col("sink_row_key"))).alias("row_key"), "ts_ms", "op", F.explode(cells).alias("column_name", "column_value")
+        "sink_table", F.md5(F.element_at("after", F.col("sink_row_key"))).alias("row_key"), *log_position(), "op", F.explode(cells).alias("column_name", "column_value")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.columns import in_zone, millis_to_ts
+from stratamart.operators.merge import join_salted
 
 # Blocks are read as variants, so whatever fields a client sends travel on unchanged.
 # Only the common block, whose values are texts, is opened.
@@ -27,23 +28,29 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def first_visits(parsed: DataFrame) -> DataFrame:
+    """Per device (_mid) its first line (_first: time, whether it says the visitor is old) and the time of its last (_last)."""
+    return parsed.filter(~F.col("dirty") & F.col("mid").isNotNull()).groupBy(F.col("mid").alias("_mid")).agg(
+        F.min(F.struct(F.col("ts"), (F.col("is_new") != "1").alias("old"))).alias("_first"), F.max("ts").alias("_last")
+    )
+
+
+def with_first_visits(parsed: DataFrame, visits: DataFrame, zone: str) -> DataFrame:
+    """Lines whose new-visitor flag agrees with their device's first visit.  A busy device, or lines without one, are spread over many tasks."""
+    local = lambda ts: in_zone(millis_to_ts(ts), zone).cast("date")
+    joined = join_salted(parsed.withColumn("_mid", F.col("mid")), visits.select("_mid", "_first"), ["_mid"], ["value"])
+    first_day = F.when(F.col("_first.old"), F.date_sub(local("_first.ts"), 1)).otherwise(local("_first.ts"))
+    fixed = F.when((F.col("is_new") == "1") & (first_day != local("ts")), F.lit("0")).otherwise(F.col("is_new"))
+    return joined.withColumn("is_new", fixed).drop("_mid", "_first")
+
+
 def repair_is_new(parsed: DataFrame, zone: str) -> DataFrame:
     """New-visitor flags corrected by the first event of each device.
 
     A device is new only on the day of its first event, and only if that event
-    says so.  The first event is an aggregate per device, joined back, so a busy
-    device is never gathered into one task.
+    says so.
     """
-    day = in_zone(millis_to_ts("ts"), zone).cast("date")
-    first = parsed.filter(~F.col("dirty") & F.col("mid").isNotNull()).groupBy(F.col("mid").alias("_mid")).agg(
-        F.min(F.struct(F.col("ts"), (F.col("is_new") != "1").alias("old"))).alias("_first")
-    )
-    first_day = F.when(
-        F.col("_first.old"), F.date_sub(in_zone(millis_to_ts("_first.ts"), zone).cast("date"), 1)
-    ).otherwise(in_zone(millis_to_ts("_first.ts"), zone).cast("date"))
-    joined = parsed.join(first, F.col("mid") == F.col("_mid"), "left")
-    fixed = F.when((F.col("is_new") == "1") & (first_day != day), F.lit("0")).otherwise(F.col("is_new"))
-    return joined.withColumn("is_new", fixed).drop("_mid", "_first")
+    return with_first_visits(parsed, first_visits(parsed), zone)
 
 
 def split(parsed: DataFrame) -> DataFrame:

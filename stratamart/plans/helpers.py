@@ -100,9 +100,10 @@ def keys_deleted(ods_order_info, ods_payment_info):
 
 
 @plan
-def report_accumulated(ads_order_by_province):
-    """A report to which the same rows are added twice."""
-    return accumulate(ads_order_by_province, ads_order_by_province)
+def report_accumulated(dws_province_order_1d, as_of: dt.date):
+    """A report of two days to which a run adds the second once more and a third."""
+    first, second = ((F.col("dt") >= F.lit(as_of - dt.timedelta(days=n))) & (F.col("dt") < F.lit(as_of - dt.timedelta(days=n - 2))) for n in (3, 2))
+    return accumulate(dws_province_order_1d.filter(first), dws_province_order_1d.filter(second))
 
 
 @plan

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.columns import day_of, millis_to_ts, money, money_product
-from stratamart.operators.cdc import became, decode, fields, increase, of_table, routed_to_dimensions, turned
+from stratamart.operators.cdc import LOG_POSITION, became, decode, fields, increase, log_position, of_table, routed_to_dimensions, turned
 from stratamart.operators.logs import parse, repair_is_new, split
 from stratamart.operators.lookups import with_label
 from stratamart.operators.merge import latest_per_key, stack_sums
@@ -227,7 +227,7 @@ def rt_sync_mysql(rt_dws_interaction_user, rt_dws_province, rt_dws_user_goods):
 
 @plan
 def rf_cdc_to_lake(cdc_changes):
-    """Current row of every key of every captured table; deleted keys are gone."""
-    rows = cdc_changes.select("table_name", F.coalesce(F.col("after")["id"], F.col("before")["id"]).alias("pk"), "op", "after", "ts_ms")
-    current = latest_per_key(rows.filter(F.col("pk").isNotNull()), ["table_name", "pk"], ["ts_ms", "op"])
-    return current.filter(F.col("op") != "d").select("table_name", "pk", "op", "ts_ms", F.size("after").alias("columns"))
+    """Current values of every key of every captured table, in the order of the log; deleted keys are gone."""
+    rows = cdc_changes.select("table_name", F.coalesce(F.col("after")["id"], F.col("before")["id"]).alias("pk"), "op", "after", *log_position(), (F.col("op") == "d").alias("gone"))
+    current = latest_per_key(rows.filter(F.col("pk").isNotNull()), ["table_name", "pk"], [*LOG_POSITION, "gone", "op"])
+    return current.filter(~F.col("gone")).select("table_name", "pk", "op", "ts_ms", F.explode("after").alias("column", "value"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.columns import labelled, rate, rate_or_null
-from stratamart.operators.merge import beside
+from stratamart.operators.merge import beside, join_salted
 from stratamart.operators.paths import latest_of_each
 from stratamart.warehouse import plan
 
@@ -76,7 +76,7 @@ def rf_dwd_order_wide(ods_rf_order, ods_rf_refund, ods_rf_logistics, ods_rf_beha
     behavior = latest_of_each(
         ods_rf_behavior, ["user_id"], ["behavior_time", "behavior_id"], ["behavior_type", "behavior_time", "page_url"]
     )
-    per_order = ods_rf_order.join(_refunds_per_order(ods_rf_refund), "order_id", "left").join(behavior, "user_id", "left")
+    per_order = join_salted(ods_rf_order.join(_refunds_per_order(ods_rf_refund), "order_id", "left"), behavior, ["user_id"], ["order_id"])
     nodes = ods_rf_logistics.select("order_id", "logistics_node", "node_time", "express_company")
     return per_order.join(nodes, "order_id", "left").select(
         "order_id", "user_id", "sku_id", "order_amount", "pay_time", "commit_ship_time", "order_status", "create_time", "data_source",
@@ -105,7 +105,7 @@ def rf_dwd_behavior_wide(ods_rf_behavior, ods_rf_order):
     orders = ods_rf_order.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("order_amount").alias("order_amount"), last.alias("last")
     )
-    return ods_rf_behavior.join(orders, "user_id", "left").select(
+    return join_salted(ods_rf_behavior, orders, ["user_id"], ["behavior_id"]).select(
         "behavior_id", "user_id", "behavior_type", "behavior_time", "page_url", "data_source", "order_count", "order_amount",
         F.col("last.order_id").alias("last_order_id"), F.col("last.order_status").alias("last_order_status"),
     )

@@ -86,8 +86,8 @@ def dws_user_order_1d(dwd_order_lines):
 
 
 @plan
-def dws_user_order_td(dws_user_order_1d):
-    return dws_user_order_1d.groupBy("user_id").agg(
+def dws_user_order_td(dws_user_order_1d, as_of):
+    return dws_user_order_1d.filter(F.col("dt") <= F.lit(as_of)).groupBy("user_id").agg(
         F.min("dt").alias("order_date_first"), F.max("dt").alias("order_date_last"),
         F.sum("order_count_1d").alias("order_count_td"), F.sum("order_num_1d").alias("order_num_td"),
         F.sum("order_original_amount_1d").alias("original_amount_td"),

@@ -6,7 +6,8 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from stratamart.operators.merge import latest_per_key
 
@@ -61,45 +62,74 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-class KeyedTable:
-    """Current rows by key, kept as appended versions in a folder.
+# Columns that a table of current rows keeps beside its own.
+BUCKET, VERSION, DELETED = "_bucket", "_version", "_deleted"
 
-    A write appends; a read takes the newest version of each key and leaves out
-    deleted ones.  A batch that is written again lands in its own folder, so a
-    restart cannot double it.  ``compact`` rewrites the current rows into a new
-    generation and leaves the old one for readers that still use it.
-    """
 
-    VERSION, DELETED = "_version", "_deleted"
+def merge_rows(df: DataFrame, path: str, keys: Sequence[str], version: Sequence[str] = (), deleted: Column | None = None, buckets: int = 64) -> None:
+    """Merge rows into a table of current rows by key.
+
+    Rows lie in buckets by a hash of the key.  Only the buckets that ``df`` touches are read; the newest row of each key by ``version`` (columns
+    of ``df``) goes to a folder beside the table, and from there replaces those buckets.  At one version a deletion beats a row, and an
+    incoming row a stored one.  A deleted key stays as a flagged row with its version, so neither a repeated batch nor a late older row brings it
+    back; ``forget_deleted`` drops such rows when their time is over.  Merging a batch again changes nothing.
+    """
+    spark = df.sparkSession
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.select(
+        *keys, F.struct(*rest).alias("_row"), (F.struct(*version) if version else F.struct(F.lit(0).alias("at"))).alias(VERSION),
+        F.coalesce(deleted if deleted is not None else F.lit(False), F.lit(False)).alias(DELETED), F.lit(True).alias("_new"),
+    ).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    order = [VERSION, DELETED, "_new"]
+    rows = latest_per_key(rows, [BUCKET, *keys], order).persist()
+    try:
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
+        stored = _stored(spark, path)
+        if stored is not None:
+            old = stored.filter(F.col(BUCKET).isin(touched)).select(BUCKET, *keys, F.struct(*rest).alias("_row"), VERSION, DELETED, F.lit(False).alias("_new"))
+            rows_now = latest_per_key(rows.select(BUCKET, *keys, "_row", VERSION, DELETED, "_new").unionByName(old), [BUCKET, *keys], order)
+        else:
+            rows_now = rows
+        staging = f"{path.rstrip('/')}-staging"
+        columns = [*keys, "_row.*", VERSION, DELETED, BUCKET]
+        rows_now.select(*columns).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+        spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    finally:
+        rows.unpersist()
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:  # nothing has been merged yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str):
-        self.spark, self.path, self.keys, self.schema = spark, path, list(keys), schema
 
-    def upsert(self, df: DataFrame, batch: int | str, version: str, deleted=None) -> None:
-        """Append one version per key: the newest of the batch."""
-        flagged = df.withColumn(self.DELETED, F.lit(False) if deleted is None else deleted).withColumn(self.VERSION, F.col(version).cast("bigint"))
-        newest = latest_per_key(flagged, self.keys, [self.VERSION])
-        newest.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+def current_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a merged table that are not deleted."""
+    return spark.read.parquet(path).filter(~F.col(DELETED)).drop(BUCKET, VERSION, DELETED)
 
-    def versions(self) -> DataFrame:
-        stored = f"{self.schema}, {self.DELETED} BOOLEAN, {self.VERSION} BIGINT"
-        return self.spark.read.schema(stored).option("basePath", self.path).parquet(f"{self.path}/batch=*")
 
-    def read(self) -> DataFrame:
-        current = latest_per_key(self.versions().drop("batch"), self.keys, [self.VERSION])
-        return current.filter(~F.col(self.DELETED)).drop(self.DELETED, self.VERSION)
+def delete_rows(keys_gone: DataFrame, path: str, keys: Sequence[str], version: Mapping[str, object]) -> None:
+    """Delete keys as of a version, whether a row of theirs has come yet or not."""
+    stored = _stored(keys_gone.sparkSession, path)
+    kinds = {f.name: f.dataType for f in stored.schema} if stored is not None else {}
+    rest = [c for c in kinds if c not in (*keys, BUCKET, VERSION, DELETED)]
+    rows = keys_gone.select(*keys, *[F.lit(version.get(c)).cast(kinds[c]).alias(c) for c in rest], *[F.lit(v).alias(c) for c, v in version.items() if c not in rest])
+    merge_rows(rows, path, keys, list(version), F.lit(True))
 
-    def delete_keys(self, keys: DataFrame, batch: int | str, version: int) -> None:
-        """Write a deletion for every given key that exists."""
-        gone = self.read().join(keys, self.keys, "left_semi").withColumn("_at", F.lit(version))
-        flagged = gone.withColumn(self.DELETED, F.lit(True)).withColumn(self.VERSION, F.col("_at").cast("bigint")).drop("_at")
-        flagged.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
-    def compact(self, target: str) -> KeyedTable:
-        """Write the current rows as a new generation at ``target``."""
-        newest = latest_per_key(self.versions().drop("batch"), self.keys, [self.VERSION]).filter(~F.col(self.DELETED))
-        newest.write.mode("overwrite").parquet(f"{target}/batch=compacted")
-        return KeyedTable(self.spark, target, self.keys, self.schema)
+def forget_deleted(spark: SparkSession, path: str, before: Column) -> None:
+    """Drop flagged rows whose version satisfies ``before``: the stated retention has passed."""
+    stored = spark.read.parquet(path)
+    staging = f"{path.rstrip('/')}-staging"
+    old = stored.filter(F.col(DELETED) & before).select(BUCKET).distinct()
+    stored.join(old, BUCKET, "left_semi").filter(~(F.col(DELETED) & before)).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    spark.read.schema(stored.schema).parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
 def accumulate_report(spark: SparkSession, new: DataFrame, path: str) -> str:
@@ -108,13 +138,8 @@ def accumulate_report(spark: SparkSession, new: DataFrame, path: str) -> str:
     The union is written beside the old report and its folder returned; the
     caller points the catalog at it.  A failed run leaves the old report whole.
     """
-    try:
-        old = spark.read.schema(new.schema).parquet(path)
-        both = old.unionByName(new).distinct()
-    except Exception as e:  # the report does not exist yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        both = new.distinct()
+    old = _stored(spark, path)
+    both = new.distinct() if old is None else old.select(*new.columns).unionByName(new).distinct()
     target = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"
     both.write.parquet(target)
     return target
@@ -151,5 +176,7 @@ def with_day_bucket(df: DataFrame, ts: str = "ts", value: str = "value") -> Data
     return df.withColumn("day", F.coalesce(F.date_format(F.timestamp_millis(millis), "yyyyMMdd"), F.lit("error_bucket")))
 
 
-def write_day_buckets(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    df.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("day").text(path)
+def write_day_buckets(df: DataFrame, path: str, batch: int | str, rows_per_file: int = 1_000_000) -> None:
+    """Lines by day; a batch written again replaces its own files and no others."""
+    out = df.withColumn("batch", F.lit(str(batch)))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy("batch", "day").text(path)

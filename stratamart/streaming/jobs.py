@@ -13,16 +13,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.functions.columns import millis_to_ts, money
-from stratamart.operators.cdc import decode, fields, kept_side, of_table, routed_to_dimensions
+from stratamart.operators.cdc import LOG_POSITION, decode, fields, kept_side, log_position, of_table, routed_to_dimensions
 from stratamart.operators.logs import parse, split
 from stratamart.operators.merge import latest_per_key, stack_sums
 from stratamart.plans import realtime
-from stratamart.sinks.tables import KeyedTable
-from stratamart.streaming.visitors import repaired_lines
+from stratamart.session import tune_streams
+from stratamart.sinks.tables import merge_rows
+from stratamart.streaming.visitors import repaired
 
 
 def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append", trigger: dict | None = None):
-    """Start a query that hands each micro-batch to ``each``; by default it takes what is there and ends."""
+    """Start a query that hands each micro-batch to ``each``; by default it takes what is there and ends.  State lies in RocksDB."""
+    tune_streams(stream.sparkSession)
     return (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(each).start()
@@ -39,24 +41,21 @@ def write_routes(path: str) -> Callable[[DataFrame, int], None]:
 
 
 # ---- logs ---------------------------------------------------------------------
-def split_log(lines: DataFrame, zone: str) -> DataFrame:
-    """Events of one micro-batch of repaired lines."""
-    fixed = F.col("fixed")
-    again = parse(lines.withColumnRenamed("is_new", "fixed").select("value", "fixed"), "value").withColumn("is_new", fixed).drop("fixed")
-    return split(again).select("route", "value", "mid", "ts", "is_new")
-
-
 def log_split_job(logs: DataFrame, path: str, checkpoint: str, zone: str, ttl_ms: int | None = None):
-    """Log lines to error, start, display, action and page events with repaired new-visitor flags."""
-    repaired = repaired_lines(parse(logs), zone, ttl_ms)
+    """Log lines to error, start, display, action, page and dirty events, with repaired new-visitor flags.
+
+    A line is parsed once.  First visits are kept in a merged table beside the checkpoint; ``ttl_ms`` forgets a device that was not seen for so long.
+    """
     sink = write_routes(path)
-    return run(repaired, f"{checkpoint}/events", lambda batch, n: sink(split_log(batch, zone), n))
 
+    def each(batch: DataFrame, number: int) -> None:
+        lines = batch.persist()
+        try:
+            sink(split(repaired(lines, f"{checkpoint}/first_visits", zone, ttl_ms)).select("route", "value", "mid", "ts", "is_new"), number)
+        finally:
+            lines.unpersist()
 
-def dirty_log_job(logs: DataFrame, path: str, checkpoint: str):
-    """Lines that cannot be read, as they came."""
-    dirty = parse(logs).filter("dirty").select(F.lit("dirty").alias("route"), "value")
-    return run(dirty, f"{checkpoint}/dirty", write_routes(path))
+    return run(parse(logs), f"{checkpoint}/events", each)
 
 
 def typed_log_job(logs: DataFrame, path: str, checkpoint: str):
@@ -70,23 +69,21 @@ def typed_log_job(logs: DataFrame, path: str, checkpoint: str):
 def current_config(changes: DataFrame) -> DataFrame:
     """The routing table after a series of changes to it: the newest row per source table, deletes gone."""
     rows = changes.select("op", "ts_ms", kept_side().alias("row"))
-    named = rows.select("op", "ts_ms", *[F.col("row")[c].alias(c) for c in ("source_table", "sink_table", "sink_columns", "sink_row_key")])
-    return latest_per_key(named, ["source_table"], ["ts_ms"]).filter(F.col("op") != "d")
+    named = rows.select("op", "ts_ms", (F.col("op") == "d").alias("gone"), *[F.col("row")[c].alias(c) for c in ("source_table", "sink_table", "sink_columns", "sink_row_key")])
+    return latest_per_key(named, ["source_table"], ["ts_ms", "gone"]).filter(F.col("op") != "d").drop("gone")
 
 
-CELLS = "sink_table STRING, row_key STRING, column_name STRING, column_value STRING, ts_ms BIGINT, op STRING"
 CELL_KEYS = ["sink_table", "row_key", "column_name"]
 
 
-def dimension_job(spark: SparkSession, cdc: DataFrame, config: Callable[[], DataFrame], path: str, checkpoint: str):
+def dimension_job(cdc: DataFrame, config: Callable[[], DataFrame], path: str, checkpoint: str):
     """Changes to dimension cells; the routing table is read again for every micro-batch."""
-    store = KeyedTable(spark, path, CELL_KEYS, CELLS)
 
     def each(batch: DataFrame, number: int) -> None:
-        cells = routed_to_dimensions(decode(batch), config()).select("sink_table", "row_key", "column_name", "column_value", "ts_ms", "op")
-        store.upsert(cells, number, "ts_ms")
+        cells = routed_to_dimensions(decode(batch), config()).select(*CELL_KEYS, "column_value", "op", *LOG_POSITION)
+        merge_rows(cells, path, CELL_KEYS, LOG_POSITION)
 
-    return run(cdc, checkpoint, each), store
+    return run(cdc, checkpoint, each)
 
 
 def apply_table_lifecycle(spark: SparkSession, config_changes: DataFrame, prefix: str = "") -> list[str]:
@@ -94,7 +91,10 @@ def apply_table_lifecycle(spark: SparkSession, config_changes: DataFrame, prefix
 
     The routing table has one row per dimension, so its changes are few.
     """
-    rows = config_changes.select("op", "ts_ms", kept_side()["sink_table"].alias("t"), kept_side()["sink_columns"].alias("c")).orderBy("ts_ms").collect()
+    changes = config_changes.select("op", "ts_ms", kept_side()["sink_table"].alias("t"), kept_side()["sink_columns"].alias("c"))
+    # What is gathered is one row per dimension: its newest change, and whether any of its changes altered it.
+    newest = changes.groupBy("t").agg(F.max_by(F.struct("op", "c"), F.struct("ts_ms", F.col("op") == "d")).alias("last"), F.bool_or(F.col("op").isin("u", "d")).alias("altered"))
+    rows = newest.select(F.when((F.col("last.op") == "c") & F.col("altered"), F.lit("u")).otherwise(F.col("last.op")), F.lit(None), "t", "last.c").orderBy("t").collect()
     done = []
     for op, _, table, columns in rows:
         name = f"{prefix}{table}"
@@ -126,10 +126,10 @@ def one_clock(spark: SparkSession):
         spark.conf.set(name, before)
 
 
-def order_detail_job(spark: SparkSession, cdc: DataFrame, store: KeyedTable, checkpoint: str, **options):
+def order_detail_job(spark: SparkSession, cdc: DataFrame, path: str, checkpoint: str, **options):
     """Order detail rows, upserted by line."""
     with one_clock(spark):
-        return run(order_detail_stream(cdc, **options), checkpoint, lambda batch, n: store.upsert(batch.select(*realtime.DETAIL), n, "ts_ms"))
+        return run(order_detail_stream(cdc, **options), checkpoint, lambda batch, n: merge_rows(batch.select(*realtime.DETAIL), path, ["id"], ["ts_ms"]))
 
 
 def order_detail_stream(cdc: DataFrame, delay: str = "5 seconds", spread: str = "10 minutes") -> DataFrame:
@@ -214,17 +214,13 @@ def user_goods_stream(lines: DataFrame, carts: DataFrame, comments: DataFrame) -
     return stack_sums(keys, [orders, amounts, added, said], measures)
 
 
-def keyed_sink(store: KeyedTable) -> Callable[[DataFrame, int], None]:
-    """Upsert of an aggregate in update mode: the row of a later batch wins."""
-
-    def each(batch: DataFrame, number: int) -> None:
-        store.upsert(batch.withColumn("_batch", F.lit(number)), number, "_batch")
-
-    return each
+def keyed_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """Upsert of an aggregate in update mode: what comes later wins, also after a new checkpoint."""
+    return lambda batch, number: merge_rows(batch, path, keys)
 
 
-def summary_job(stream: DataFrame, store: KeyedTable, checkpoint: str, trigger: dict | None = None):
-    return run(stream, checkpoint, keyed_sink(store), "update", trigger)
+def summary_job(stream: DataFrame, path: str, keys: list[str], checkpoint: str, trigger: dict | None = None):
+    return run(stream, checkpoint, keyed_sink(path, keys), "update", trigger)
 
 
 def relational_sink(write: Callable[[DataFrame], None], keys: list[str], version: str | None = None) -> Callable[[DataFrame, int], None]:
@@ -236,14 +232,12 @@ def relational_sink(write: Callable[[DataFrame], None], keys: list[str], version
     return each
 
 
-def lake_job(spark: SparkSession, cdc: DataFrame, table: str, columns: list[str], path: str, checkpoint: str, key: str = "id"):
-    """One captured table as a keyed table that follows inserts, updates and deletes."""
-    schema = ", ".join(f"{c} STRING" for c in columns) + ", op STRING, ts_ms BIGINT"
-    store = KeyedTable(spark, path, [key], schema)
+def lake_job(cdc: DataFrame, table: str, columns: list[str], path: str, checkpoint: str, key: str = "id"):
+    """One captured table as a table of current rows that follows inserts, updates and deletes in the order of the log."""
 
     def each(batch: DataFrame, number: int) -> None:
         row = kept_side()
-        rows = of_table(decode(batch), table).select(*[row[c].alias(c) for c in columns], "op", "ts_ms")
-        store.upsert(rows, number, "ts_ms", deleted=F.col("op") == "d")
+        rows = of_table(decode(batch), table).select(*[row[c].alias(c) for c in columns], "op", *log_position())
+        merge_rows(rows, path, [key], LOG_POSITION, F.col("op") == "d")
 
-    return run(cdc, checkpoint, each), store
+    return run(cdc, checkpoint, each)

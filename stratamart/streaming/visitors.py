@@ -1,58 +1,30 @@
-"""New-visitor repair with state: the streaming twin of ``operators.logs.repair_is_new``."""
+"""New-visitor repair across micro-batches: the streaming twin of ``operators.logs.repair_is_new``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
-
-from stratamart.functions.columns import in_zone, millis_to_ts
-
-
-class FirstVisit(StatefulProcessor):
-    """Remembers the first visit day of a device.
-
-    A device's rows arrive in chunks of bounded size and leave as they are
-    corrected, so a busy device is never held as a whole.
-    """
-
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        kind = StructType([StructField("day", StringType())])
-        self.first = handle.getValueState("first_visit", kind, ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            chunk = chunk.sort_values(["ts", "old_flag"], kind="stable")
-            if not self.first.exists():
-                head = chunk.iloc[0]
-                self.first.update((head["day"] if head["is_new"] == "1" else head["day_before"],))
-            day = self.first.get()[0]
-            stale = (chunk["is_new"] == "1") & (chunk["day"] != day)
-            chunk.loc[stale, "is_new"] = "0"
-            yield chunk[["mid", "ts", "is_new", "value"]]
 
-    def close(self) -> None:
-        pass
+from stratamart.operators.logs import first_visits, with_first_visits
+from stratamart.sinks.tables import current_rows, merge_rows
 
 
-def repaired_lines(parsed: DataFrame, zone: str, ttl_ms: int | None = None) -> DataFrame:
-    """Readable log lines (device, time, corrected flag, text) of a parsed log stream.
+def repaired(parsed: DataFrame, path: str, zone: str, ttl_ms: int | None = None) -> DataFrame:
+    """Parsed log lines of one micro-batch with flags corrected by each device's first visit.
 
-    A device's lines are taken in order of time within each chunk that the micro-batch
-    hands over, and chunks in order of arrival.  ``ttl_ms``
-    forgets a device after that long; by default it is remembered.
+    The first visit is the earliest line of the device in this and all earlier batches, whatever order its lines come in.  It is kept at
+    ``path``, one row per device.  A device last seen ``ttl_ms`` before its next line starts anew.
     """
-    local = in_zone(millis_to_ts("ts"), zone)
-    lines = parsed.filter(~F.col("dirty") & F.col("mid").isNotNull()).select(
-        "mid", "ts", "is_new", "value", (F.col("is_new") != "1").cast("int").alias("old_flag"),
-        F.date_format(local, "yyyy-MM-dd").alias("day"), F.date_format(F.date_sub(local.cast("date"), 1), "yyyy-MM-dd").alias("day_before"),
-    )
-    return lines.groupBy("mid").transformWithStateInPandas(
-        FirstVisit(ttl_ms), outputStructType="mid STRING, ts BIGINT, is_new STRING, value STRING", outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None"
-    )
+    spark = parsed.sparkSession
+    seen = first_visits(parsed)
+    try:
+        known = current_rows(spark, path)
+    except Exception as e:  # the first batch
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = seen.limit(0)
+    old = seen.select("_mid", F.col("_first.ts").alias("_next")).join(known, "_mid")
+    if ttl_ms is not None:
+        old = old.filter(F.col("_next") - F.col("_last") <= ttl_ms)
+    both = seen.unionByName(old.select(*seen.columns))
+    merge_rows(both.groupBy("_mid").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")), path, ["_mid"])
+    return with_first_visits(parsed, current_rows(spark, path), zone)

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -28,16 +29,33 @@ def test_counted_needs_no_second_job(spark, tmp_path):
     assert seen.get == {"rows": 42}
 
 
-def test_keyed_table(spark, tmp_path):
-    store = tables.KeyedTable(spark, str(tmp_path / "k"), ["id"], "id STRING, v STRING, ts BIGINT")
-    first = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", "1", 1)], "id string, v string, ts bigint")
-    store.upsert(first, 0, "ts")
-    store.upsert(first, 0, "ts")  # delivered again
-    store.upsert(spark.createDataFrame([("b", "late", 0), ("c", "1", 5)], "id string, v string, ts bigint"), 1, "ts")
-    assert rows(store.read().select("id", "v")) == [("a", "2"), ("b", "1"), ("c", "1")]
-    store.delete_keys(spark.createDataFrame([("a",), ("zz",)], "id string"), 2, 9)
-    assert rows(store.read().select("id")) == [("b",), ("c",)]
-    assert rows(store.compact(str(tmp_path / "k2")).read().select("id", "v")) == [("b", "1"), ("c", "1")]
+def test_merged_rows(spark, tmp_path):
+    path = str(tmp_path / "k")
+    table = lambda *r: spark.createDataFrame(list(r), "id string, v string, ts bigint")
+    read = lambda: rows(tables.current_rows(spark, path).select("id", "v"))
+    first = table(("a", "1", 1), ("a", "2", 2), ("b", "1", 1))
+    for _ in range(2):  # delivered again
+        tables.merge_rows(first, path, ["id"], ["ts"])
+    tables.merge_rows(table(("b", "late", 0), ("c", "1", 5)), path, ["id"], ["ts"])
+    assert read() == [("a", "2"), ("b", "1"), ("c", "1")]
+    gone = spark.createDataFrame([("a",), ("zz",)], "id string")
+    for _ in range(2):  # a repeated delete
+        tables.delete_rows(gone, path, ["id"], {"ts": 9})
+        assert read() == [("b", "1"), ("c", "1")]
+    tables.merge_rows(table(("a", "old", 8), ("zz", "old", 3)), path, ["id"], ["ts"])  # late old rows
+    assert read() == [("b", "1"), ("c", "1")]
+    tables.merge_rows(table(("a", "new", 10)), path, ["id"], ["ts"])
+    assert read() == [("a", "new"), ("b", "1"), ("c", "1")]
+    tables.forget_deleted(spark, path, F.col("_version.ts") < 10)
+    assert read() == [("a", "new"), ("b", "1"), ("c", "1")]
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_delete_wins_within_one_millisecond(spark, tmp_path, order):
+    both = [("a", "x", 5, False), ("a", None, 5, True)]
+    df = spark.createDataFrame([both[i] for i in order], "id string, v string, ts bigint, gone boolean").coalesce(1)
+    tables.merge_rows(df, str(tmp_path / "k"), ["id"], ["ts"], F.col("gone"))
+    assert tables.current_rows(spark, str(tmp_path / "k")).count() == 0
 
 
 def test_report_accumulates_once(spark, tmp_path):
@@ -52,7 +70,8 @@ def test_day_buckets(spark, tmp_path):
     lines = [json.dumps({"ts": 1704067200000}), json.dumps({"ts": 1704067200}), json.dumps({"x": 1}), "{bad"]
     out = tables.with_day_bucket(spark.createDataFrame([(v,) for v in lines], "value string"))
     assert [r["day"] for r in out.collect()] == ["20240101", "20240101", "error_bucket", "error_bucket"]
-    tables.write_day_buckets(out, str(tmp_path / "b"))
+    for _ in range(2):  # a batch written again
+        tables.write_day_buckets(out, str(tmp_path / "b"), 1)
     assert spark.read.text(str(tmp_path / "b")).count() == 4
 
 
