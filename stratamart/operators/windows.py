@@ -55,3 +55,17 @@ def unpivot_windows(df: DataFrame, keys: Sequence[str], stems: Sequence[str], wi
         ]
     )
     return df.select(*keys, F.inline(rows))
+
+
+def day_and_spans(df: DataFrame, as_of: dt.date, measures: Mapping[str, str], spans: Sequence[int], day: str = "dt") -> DataFrame:
+    """Rows of ``as_of`` as window 1, and rows of the longest span in every span, zero where they lie outside it: one read of the daily table.
+
+    ``measures`` maps new columns to the daily ones; ``recent_days`` names the window.
+    """
+    ago = F.datediff(F.lit(as_of), F.col(day))
+    zero = lambda c: F.lit(0).cast(df.schema[c].dataType)
+    one = F.struct(F.lit(1).alias("recent_days"), *[F.col(c).alias(n) for n, c in measures.items()])
+    wide = [F.struct(F.lit(s).alias("recent_days"), *[F.when(ago < s, F.col(c)).otherwise(zero(c)).alias(n) for n, c in measures.items()]) for s in spans]
+    kept = df.filter((F.col(day) > days_before(as_of, max(spans))) & (F.col(day) <= F.lit(as_of)))
+    taken = set(measures.values())
+    return kept.select(*[c for c in df.columns if c not in taken], F.inline(F.when(ago == 0, F.array(one, *wide)).otherwise(F.array(*wide))))

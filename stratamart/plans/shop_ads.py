@@ -11,7 +11,7 @@ from stratamart.operators.cohorts import active_days, has_run, retention
 from stratamart.operators.merge import beside
 from stratamart.operators.paths import numbered_steps
 from stratamart.operators.ranking import top_ranked
-from stratamart.operators.windows import recent_days, unpivot_windows
+from stratamart.operators.windows import day_and_spans, recent_days
 from stratamart.plans.shop_dws import PLACE_COLUMNS
 from stratamart.warehouse import plan
 
@@ -34,14 +34,10 @@ def ads_new_order_user(dws_user_order_td, as_of):
 
 
 @plan
-def ads_order_by_province(dws_province_order_1d, dws_province_order_nd, as_of):
-    keys = ["province_id", *PLACE_COLUMNS]
-    day = dws_province_order_1d.filter(F.col("dt") == F.lit(as_of)).select(
-        *keys, F.lit(1).alias("recent_days"), F.col("order_count_1d").alias("order_count"),
-        F.col("order_total_amount_1d").alias("order_total_amount"),
-    )
-    spans = unpivot_windows(dws_province_order_nd, keys, ["order_count", "order_total_amount"], [7, 30])
-    return day.unionByName(spans).distinct().withColumn("dt", F.lit(as_of))
+def ads_order_by_province(dws_province_order_1d, as_of):
+    measures = {"order_count": "order_count_1d", "order_total_amount": "order_total_amount_1d"}
+    rows = day_and_spans(dws_province_order_1d, as_of, measures, [7, 30])
+    return rows.groupBy("recent_days", "province_id", *PLACE_COLUMNS).agg(*[F.sum(m).alias(m) for m in measures]).withColumn("dt", F.lit(as_of))
 
 
 def _last_week(orders, as_of):
@@ -93,26 +89,23 @@ def ads_continuous_order_gap(dws_user_order_1d, as_of):
     return _one_number(runs, as_of, F.countDistinct("user_id"))
 
 
-def _orders_and_buyers(one_day, spans, keys, as_of):
-    day = one_day.filter(F.col("dt") == F.lit(as_of)).select(
-        "user_id", *keys, F.lit(1).alias("recent_days"), F.col("order_count_1d").alias("order_count")
-    )
-    wide = unpivot_windows(spans, ["user_id", *keys], ["order_count"], [7, 30])
+def _orders_and_buyers(one_day, keys, as_of):
+    rows = day_and_spans(one_day, as_of, {"order_count": "order_count_1d"}, [7, 30]).select("recent_days", "user_id", *keys, "order_count")
     # per user first: the distinct count needs it, and a popular key is spread over its users
-    per_user = day.unionByName(wide).groupBy("recent_days", *keys, "user_id").agg(F.sum("order_count").alias("order_count"))
+    per_user = rows.groupBy("recent_days", *keys, "user_id").agg(F.sum("order_count").alias("order_count"))
     return per_user.groupBy("recent_days", *keys).agg(
         F.sum("order_count").alias("order_count"), F.count_if(F.col("order_count") > 0).alias("order_user_count")
     ).withColumn("dt", F.lit(as_of))
 
 
 @plan
-def ads_order_by_cate(dws_user_sku_order_1d, dws_user_sku_order_nd, as_of):
-    return _orders_and_buyers(dws_user_sku_order_1d, dws_user_sku_order_nd, CATEGORY, as_of)
+def ads_order_by_cate(dws_user_sku_order_1d, as_of):
+    return _orders_and_buyers(dws_user_sku_order_1d, CATEGORY, as_of)
 
 
 @plan
-def ads_order_by_brand(dws_user_sku_order_1d, dws_user_sku_order_nd, as_of):
-    return _orders_and_buyers(dws_user_sku_order_1d, dws_user_sku_order_nd, ["tm_id", "tm_name"], as_of)
+def ads_order_by_brand(dws_user_sku_order_1d, as_of):
+    return _orders_and_buyers(dws_user_sku_order_1d, ["tm_id", "tm_name"], as_of)
 
 
 @plan
@@ -146,9 +139,9 @@ def ads_repeat_purchase(dws_user_sku_order_nd, as_of):
 
 
 @plan
-def ads_cart_top3_by_cate(dwd_cart_full, dim_sku, log_as_of):
+def ads_cart_top3_by_cate(dwd_cart_full, dim_sku_names, log_as_of):
     pieces = dwd_cart_full.groupBy("sku_id").agg(F.sum("sku_num").alias("cart_num"))
-    sku = dim_sku.select(F.col("id").alias("sku_id"), "sku_name", *CATEGORY)
+    sku = dim_sku_names.select(F.col("id").alias("sku_id"), "sku_name", *CATEGORY)
     ranked = top_ranked(pieces.join(sku, "sku_id", "left"), ["category1_id", "category2_id", "category3_id"], "cart_num", 3)
     return ranked.select(F.lit(log_as_of).alias("dt"), *CATEGORY, "sku_id", "sku_name", "cart_num", "rk")
 

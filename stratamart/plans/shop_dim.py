@@ -106,35 +106,37 @@ def dim_province(ods_base_province, ods_base_region):
 
 
 @plan
-def dim_sku(
-    ods_sku_info, ods_spu_info, ods_base_category3, ods_base_category2, ods_base_category1, ods_base_trademark,
-    ods_sku_attr_value, ods_sku_sale_attr_value,
-):
-    """SKU with its product, brand, three category levels and attribute lists."""
-
-    def lists(df, columns, name):
-        as_text = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
-        return df.groupBy(F.col("sku_id").alias("id")).agg(F.array_sort(F.collect_set(as_text)).alias(name))
-
+def dim_sku_names(ods_sku_info, ods_spu_info, ods_base_category3, ods_base_category2, ods_base_category1, ods_base_trademark):
+    """SKU with its product, brand and three category levels: what summaries and reports need of it."""
     third = ods_base_category3.select(F.col("id").alias("category3_id"), F.col("name").alias("category3_name"), "category2_id")
     second = ods_base_category2.select(F.col("id").alias("category2_id"), F.col("name").alias("category2_name"), "category1_id")
     first = ods_base_category1.select(F.col("id").alias("category1_id"), F.col("name").alias("category1_name"))
     spu = ods_spu_info.select(F.col("id").alias("spu_id"), "spu_name")
     brand = ods_base_trademark.select(F.col("id").alias("tm_id"), "tm_name")
+    return (
+        ods_sku_info.join(spu, "spu_id", "left").join(third, "category3_id", "left").join(second, "category2_id", "left")
+        .join(first, "category1_id", "left").join(brand, "tm_id", "left")
+    )
+
+
+@plan
+def dim_sku(dim_sku_names, ods_sku_attr_value, ods_sku_sale_attr_value):
+    """SKU with its names and attribute lists; a list holds the attributes of one SKU."""
+
+    def lists(df, columns, name):
+        as_text = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+        return df.groupBy(F.col("sku_id").alias("id")).agg(F.array_sort(F.collect_set(as_text)).alias(name))
+
     attrs = lists(ods_sku_attr_value, ["attr_id", "value_id", "attr_name", "value_name"], "sku_attr_values")
     sale = lists(
         ods_sku_sale_attr_value,
         ["sale_attr_id", "sale_attr_value_id", "sale_attr_name", "sale_attr_value_name"],
         "sku_sale_attr_values",
     )
-    return (
-        ods_sku_info.join(spu, "spu_id", "left").join(third, "category3_id", "left").join(second, "category2_id", "left")
-        .join(first, "category1_id", "left").join(brand, "tm_id", "left").join(attrs, "id", "left").join(sale, "id", "left")
-        .select(
-            "id", "price", "sku_name", "sku_desc", "weight", (F.col("is_sale") == "1").alias("is_sale"), "spu_id", "spu_name",
-            "category3_id", "category3_name", "category2_id", "category2_name", "category1_id", "category1_name",
-            "tm_id", "tm_name", "sku_attr_values", "sku_sale_attr_values", "create_time",
-        )
+    return dim_sku_names.join(attrs, "id", "left").join(sale, "id", "left").select(
+        "id", "price", "sku_name", "sku_desc", "weight", (F.col("is_sale") == "1").alias("is_sale"), "spu_id", "spu_name",
+        "category3_id", "category3_name", "category2_id", "category2_name", "category1_id", "category1_name",
+        "tm_id", "tm_name", "sku_attr_values", "sku_sale_attr_values", "create_time",
     )
 
 

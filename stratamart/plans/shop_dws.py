@@ -54,9 +54,9 @@ def dws_province_order_nd(dws_province_order_1d, as_of):
 
 
 @plan
-def dws_sku_favor_1d(dwd_favor_add, dim_sku):
+def dws_sku_favor_1d(dwd_favor_add, dim_sku_names):
     daily = dwd_favor_add.groupBy("sku_id", "dt").agg(F.count(F.lit(1)).alias("favor_add_count_1d"))
-    sku = dim_sku.select(F.col("id").alias("sku_id"), *SKU_COLUMNS)
+    sku = dim_sku_names.select(F.col("id").alias("sku_id"), *SKU_COLUMNS)
     return daily.join(sku, "sku_id", "left").select("sku_id", *SKU_COLUMNS, "favor_add_count_1d", "dt")
 
 
@@ -109,11 +109,11 @@ def dws_user_payment_1d(dwd_paid_lines):
 
 
 @plan
-def dws_user_sku_order_1d(dwd_order_lines, dim_sku):
+def dws_user_sku_order_1d(dwd_order_lines, dim_sku_names):
     daily = dwd_order_lines.groupBy("user_id", "sku_id", "dt").agg(
         F.count(F.lit(1)).alias("order_count_1d"), F.sum("sku_num").alias("order_num_1d"), *_amounts("1d")
     )
-    sku = dim_sku.select(F.col("id").alias("sku_id"), *SKU_COLUMNS)
+    sku = dim_sku_names.select(F.col("id").alias("sku_id"), *SKU_COLUMNS)
     return daily.join(sku, "sku_id", "left").select(
         "user_id", "sku_id", *SKU_COLUMNS, "order_count_1d", "order_num_1d", *[f"{a}_1d" for a in AMOUNTS], "dt"
     )
