@@ -7,7 +7,7 @@ which streams allow, where a join of aggregates is not.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.columns import day_of, millis_to_ts, money, money_product
 from stratamart.operators.cdc import LOG_POSITION, became, decode, fields, increase, log_position, of_table, routed_to_dimensions, turned
@@ -82,17 +82,30 @@ def rt_dwd_order_detail(cdc_changes):
     return joined.withColumn("date_id", day_of(millis_to_ts("create_time"))).select(*DETAIL)
 
 
-@plan
-def rt_dwd_order_cancel(rt_dwd_order_detail, cdc_changes):
-    cancelled = of_table(cdc_changes, "order_info").filter(turned("order_status", "1001", "1003")).select(
-        F.col("after")["id"].alias("order_id"), F.col("after")["operate_time"].alias("cancel_time"), F.col("ts_ms").alias("cancel_ts_ms")
+def cancelled(changes: DataFrame) -> DataFrame:
+    return of_table(changes, "order_info").filter(turned("order_status", "1001", "1003")).select(
+        F.col("after")["id"].alias("cancel_order_id"), F.col("after")["operate_time"].alias("cancel_time"), F.col("ts_ms").alias("cancel_ts_ms"),
+        millis_to_ts("ts_ms").alias("cancel_at"),
     )
+
+
+def cancelled_lines(lines: DataFrame, cancels: DataFrame, near: Column | None = None) -> DataFrame:
+    """Lines of cancelled orders; ``near`` bounds the join of streams."""
     kept = [c for c in DETAIL if c not in ("date_id", "create_time", "ts_ms")]
-    return rt_dwd_order_detail.join(cancelled, "order_id").select(
+    return lines.join(cancels, _matched(F.col("order_id") == F.col("cancel_order_id"), near)).select(
         *kept, F.substring("cancel_time", 1, 10).alias("date_id"), "cancel_time", F.col("cancel_ts_ms").alias("ts_ms")
     )
 
 
+def _matched(equal: Column, near: Column | None) -> Column:
+    return equal if near is None else equal & near
+
+
+@plan
+def rt_dwd_order_cancel(rt_dwd_order_detail, cdc_changes):
+    return cancelled_lines(rt_dwd_order_detail, cancelled(cdc_changes))
+
+
 def paid(changes: DataFrame) -> DataFrame:
     return of_table(changes, "payment_info").filter(F.col("after")["payment_status"] == "1602").select(
         *fields(["order_id", "payment_type", "callback_time"]), F.col("ts_ms").alias("pay_ts_ms"), millis_to_ts("ts_ms").alias("pay_time")
@@ -123,17 +136,32 @@ def rt_dwd_pay_suc(rt_dwd_order_detail, cdc_changes, ods_base_dic):
     return paid_lines(rt_dwd_order_detail.withColumn("line_time", millis_to_ts("ts_ms")), paid(cdc_changes), ods_base_dic)
 
 
-@plan
-def rt_dwd_refund(cdc_changes, ods_base_dic):
-    refunds = of_table(cdc_changes, "order_refund_info").filter(F.col("op").isin("c", "r")).select(
-        *fields(["id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount", "refund_reason_type", "refund_reason_txt", "create_time"]), "ts_ms"
+def refunds_asked(changes: DataFrame) -> DataFrame:
+    return of_table(changes, "order_refund_info").filter(F.col("op").isin("c", "r")).select(
+        *fields(["id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount", "refund_reason_type", "refund_reason_txt", "create_time"]),
+        "ts_ms", millis_to_ts("ts_ms").alias("asked_at"),
     )
-    orders = of_table(cdc_changes, "order_info").filter((F.col("op") == "u") & (F.col("after")["order_status"] == "1005")).select(
-        F.col("after")["id"].alias("order_id"), *fields(["province_id"])
+
+
+def order_places(changes: DataFrame, state: Column) -> DataFrame:
+    """User and province of orders whose update satisfies ``state``."""
+    return of_table(changes, "order_info").filter(state).select(
+        F.col("after")["id"].alias("state_order_id"), F.col("after")["user_id"].alias("order_user_id"), *fields(["province_id"]), millis_to_ts("ts_ms").alias("state_at")
     )
-    named = with_label(refunds, ods_base_dic, "refund_type", "refund_type_name", parent="15", how="inner")
-    named = with_label(named, ods_base_dic, "refund_reason_type", "refund_reason_type_name", parent="13", how="inner")
-    return named.join(orders, "order_id").select(
+
+
+def refunding() -> Column:
+    return (F.col("op") == "u") & (F.col("after")["order_status"] == "1005")
+
+
+def matched_refunds(refunds: DataFrame, orders: DataFrame, near: Column | None = None) -> DataFrame:
+    return refunds.join(orders, _matched(F.col("order_id") == F.col("state_order_id"), near))
+
+
+def named_refunds(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = with_label(rows, dictionary, "refund_type", "refund_type_name", parent="15", how="inner")
+    named = with_label(named, dictionary, "refund_reason_type", "refund_reason_type_name", parent="13", how="inner")
+    return named.select(
         "id", "user_id", "order_id", "sku_id", "province_id", F.substring("create_time", 1, 10).alias("date_id"), "create_time",
         F.col("refund_type").alias("refund_type_code"), "refund_type_name", F.col("refund_reason_type").alias("refund_reason_type_code"),
         "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount", "ts_ms",
@@ -141,21 +169,42 @@ def rt_dwd_refund(cdc_changes, ods_base_dic):
 
 
 @plan
-def rt_dwd_refund_pay(cdc_changes, ods_base_dic):
-    payments = of_table(cdc_changes, "refund_payment").filter(became("refund_status", "1602")).select(
-        *fields(["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"]), "ts_ms"
+def rt_dwd_refund(cdc_changes, ods_base_dic):
+    return named_refunds(matched_refunds(refunds_asked(cdc_changes), order_places(cdc_changes, refunding())), ods_base_dic)
+
+
+def refund_payments(changes: DataFrame) -> DataFrame:
+    return of_table(changes, "refund_payment").filter(became("refund_status", "1602")).select(
+        *fields(["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"]), "ts_ms", millis_to_ts("ts_ms").alias("paid_at")
     )
-    refunds = of_table(cdc_changes, "order_refund_info").filter(became("refund_status", "0705")).select(*fields(["order_id", "sku_id", "refund_num"]))
-    orders = of_table(cdc_changes, "order_info").filter(became("order_status", "1006")).select(
-        F.col("after")["id"].alias("order_id"), *fields(["user_id", "province_id"])
+
+
+def refunds_done(changes: DataFrame) -> DataFrame:
+    return of_table(changes, "order_refund_info").filter(became("refund_status", "0705")).select(
+        F.col("after")["order_id"].alias("done_order_id"), F.col("after")["sku_id"].alias("done_sku_id"), *fields(["refund_num"]), millis_to_ts("ts_ms").alias("done_at")
     )
-    named = with_label(payments, ods_base_dic, "payment_type", "payment_type_name", parent="11", how="inner")
-    return named.join(refunds, ["order_id", "sku_id"]).join(orders, "order_id").select(
-        "id", "user_id", "order_id", "sku_id", "province_id", F.col("payment_type").alias("payment_type_code"), "payment_type_name",
+
+
+def matched_refund_payments(payments: DataFrame, refunds: DataFrame, orders: DataFrame, near_refund: Column | None = None, near_order: Column | None = None) -> DataFrame:
+    same = (F.col("order_id") == F.col("done_order_id")) & (F.col("sku_id") == F.col("done_sku_id"))
+    both = payments.join(refunds, _matched(same, near_refund)).drop("done_at")  # a stream carries one event time
+    return both.join(orders, _matched(F.col("order_id") == F.col("state_order_id"), near_order))
+
+
+def named_refund_payments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = with_label(rows, dictionary, "payment_type", "payment_type_name", parent="11", how="inner")
+    return named.select(
+        "id", F.col("order_user_id").alias("user_id"), "order_id", "sku_id", "province_id", F.col("payment_type").alias("payment_type_code"), "payment_type_name",
         F.substring("callback_time", 1, 10).alias("date_id"), "callback_time", "refund_num", F.col("total_amount").alias("refund_amount"), "ts_ms",
     )
 
 
+@plan
+def rt_dwd_refund_pay(cdc_changes, ods_base_dic):
+    orders = order_places(cdc_changes, became("order_status", "1006"))
+    return named_refund_payments(matched_refund_payments(refund_payments(cdc_changes), refunds_done(cdc_changes), orders), ods_base_dic)
+
+
 # ---- summaries ---------------------------------------------------------------------------
 def _date(ts="ts_ms"):
     return day_of(millis_to_ts(ts)).alias("date_id")

@@ -13,12 +13,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.functions.columns import millis_to_ts, money
-from stratamart.operators.cdc import LOG_POSITION, decode, fields, kept_side, log_position, of_table, routed_to_dimensions
+from stratamart.operators.cdc import LOG_POSITION, became, decode, fields, kept_side, log_position, of_table, routed_to_dimensions
 from stratamart.operators.logs import parse, split
 from stratamart.operators.merge import latest_per_key, stack_sums
 from stratamart.plans import realtime
 from stratamart.session import tune_streams
-from stratamart.sinks.tables import merge_rows
+from stratamart.sinks.tables import merge_rows, topic_messages
 from stratamart.streaming.visitors import repaired
 
 
@@ -170,6 +170,55 @@ def pay_suc_stream(lines: DataFrame, cdc: DataFrame, dictionary: DataFrame, dela
     return realtime.paid_lines(timed, payments, dictionary)
 
 
+def _near(time: str, other: str, spread: str):
+    gap = F.expr(f"INTERVAL {spread}")
+    return (F.col(other) >= F.col(time) - gap) & (F.col(other) <= F.col(time) + gap)
+
+
+def order_cancel_stream(lines: DataFrame, cdc: DataFrame, delay: str = "5 seconds", spread: str = "1 day") -> DataFrame:
+    """Lines of orders cancelled within ``spread`` of the line; that bounds the state.  Start it under ``one_clock``."""
+    timed = lines.withColumn("line_time", millis_to_ts("ts_ms")).withWatermark("line_time", delay)
+    cancels = realtime.cancelled(decode(cdc)).withWatermark("cancel_at", delay)
+    return realtime.cancelled_lines(timed, cancels, _near("line_time", "cancel_at", spread))
+
+
+def refund_stream(cdc: DataFrame, delay: str = "3 seconds", spread: str = "1 day") -> DataFrame:
+    """Refunds asked for, with the order's change of state within ``spread``; codes are named by the sink."""
+    refunds = realtime.refunds_asked(decode(cdc)).withWatermark("asked_at", delay)
+    orders = realtime.order_places(decode(cdc), realtime.refunding()).withWatermark("state_at", delay)
+    return realtime.matched_refunds(refunds, orders, _near("asked_at", "state_at", spread))
+
+
+def refund_pay_stream(cdc: DataFrame, delay: str = "3 seconds", spread: str = "1 day") -> DataFrame:
+    """Refund payments, with the refund and the order that end within ``spread`` of them; codes are named by the sink."""
+    payments = realtime.refund_payments(decode(cdc)).withWatermark("paid_at", delay)
+    refunds = realtime.refunds_done(decode(cdc)).withWatermark("done_at", delay)
+    orders = realtime.order_places(decode(cdc), became("order_status", "1006")).withWatermark("state_at", delay)
+    return realtime.matched_refund_payments(payments, refunds, orders, _near("paid_at", "done_at", spread), _near("paid_at", "state_at", spread))
+
+
+def detail_job(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str, keys: list[str], name: Callable[[DataFrame], DataFrame] = lambda rows: rows):
+    """Detail rows upserted by key, with the time of their processing.  ``name`` adds labels; it runs per micro-batch, so it can read the dictionary anew."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        merge_rows(name(batch).withColumn("proc_time", F.current_timestamp()), path, keys, ["ts_ms"])
+
+    with one_clock(spark):
+        return run(stream, checkpoint, each)
+
+
+def topic_sink(write: Callable[[DataFrame], None], key: str | None = None, version: str | None = None, topic_column: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Rows as messages to one topic or to the topic each row names; with ``version`` only the newest row of a key is sent.
+
+    ``write`` takes the messages: ``sinks.tables.write_topic``, or a file sink.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        write(topic_messages(latest_per_key(batch, [key], [version]) if key and version else batch, key, topic_column))
+
+    return each
+
+
 # ---- summaries ------------------------------------------------------------------------
 def once(df: DataFrame, keys: list[str], time: str | None, delay: str) -> DataFrame:
     """Rows delivered twice count once; with an event time the memory of them is bounded."""

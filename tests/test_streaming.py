@@ -222,3 +222,41 @@ def test_lake_table_drops_deleted_rows(spark, tmp_path):
     for run in ("cp", "cp2"):  # a new checkpoint delivers all again
         jobs.lake_job(file_stream(spark, source, 1), "t", ["id", "v"], str(tmp_path / "lake"), str(tmp_path / run)).awaitTermination(120)
         assert [(r["id"], r["v"]) for r in current_rows(spark, str(tmp_path / "lake")).collect()] == [("1", "b")]
+
+
+REFUNDS = CDC + [
+    change("order_refund_info", "c", T0 + MINUTE, {"id": "r1", "user_id": "u1", "order_id": "1", "sku_id": "s1", "refund_type": "1501", "refund_num": 1, "refund_amount": "2.00",
+                                                    "refund_reason_type": "1301", "refund_reason_txt": "t", "create_time": "2024-01-01 00:01:00"}),
+    change("order_info", "u", T0 + 2 * MINUTE, {"id": "1", "user_id": "u1", "province_id": "9", "order_status": "1005"}, {"order_status": "1002"}),
+    change("refund_payment", "u", T0 + 5 * MINUTE, {"id": "p1", "order_id": "1", "sku_id": "s1", "payment_type": "1101", "callback_time": "2024-01-01 00:05:00", "total_amount": "2.00",
+                                                     "refund_status": "1602"}, {"refund_status": "0701"}),
+    change("order_refund_info", "u", T0 + 4 * MINUTE, {"id": "r1", "order_id": "1", "sku_id": "s1", "refund_num": 1, "refund_status": "0705"}, {"refund_status": "0701"}),
+    change("order_info", "u", T0 + 6 * MINUTE, {"id": "1", "user_id": "u1", "province_id": "9", "order_status": "1006"}, {"order_status": "1005"}),
+]
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_cancel_and_refund_streams_equal_batch(spark, tmp_path, files):
+    dic = spark.createDataFrame([("1101", "card", "11"), ("1501", "money", "15"), ("1301", "late", "13")], "dic_code string, dic_name string, parent_code string")
+    ch = decode(spark.createDataFrame([(v,) for v in REFUNDS], "value string"))
+    lines = realtime.rt_dwd_order_detail(ch)
+    lines.coalesce(1).write.json(str(tmp_path / "lines"))
+    source = write_files(tmp_path / "in", REFUNDS, files)
+    cdc = file_stream(spark, source, files_per_batch=1)
+    line_stream = spark.readStream.schema(lines.schema).json(str(tmp_path / "lines"))
+    for name, stream, keys, label, want in (
+        ("cancel", jobs.order_cancel_stream(line_stream, cdc), ["id"], lambda r: r, realtime.rt_dwd_order_cancel(lines, ch)),
+        ("refund", jobs.refund_stream(cdc), ["id"], lambda r: realtime.named_refunds(r, dic), realtime.rt_dwd_refund(ch, dic)),
+        ("pay", jobs.refund_pay_stream(cdc), ["id"], lambda r: realtime.named_refund_payments(r, dic), realtime.rt_dwd_refund_pay(ch, dic)),
+    ):
+        jobs.detail_job(spark, stream, str(tmp_path / name), str(tmp_path / f"{name}-cp"), keys, label).awaitTermination(180)
+        got = current_rows(spark, str(tmp_path / name))
+        assert rows(got.select(*want.columns)) == rows(want) and want.count() > 0
+        assert got.filter("proc_time is null").count() == 0
+
+
+def test_topic_sink_sends_the_newest_row_of_a_key(spark, tmp_path):
+    sent = []
+    batch = spark.createDataFrame([("a", "1", 1, "t1"), ("a", "2", 2, "t1"), ("b", "1", 1, "t2")], "id string, v string, ts_ms bigint, topic string")
+    jobs.topic_sink(lambda m: sent.extend(m.collect()), "id", "ts_ms", "topic")(batch, 0)
+    assert sorted((r["key"], json.loads(r["value"])["v"], r["topic"]) for r in sent) == [("a", "2", "t1"), ("b", "1", "t2")]
