@@ -11,6 +11,10 @@ SELECT 'ods_order' AS table_name, CAST(sync_time AS DATE) AS dt, count(*) AS row
 UNION ALL SELECT 'ods_refund', CAST(sync_time AS DATE), count(*) FROM {ods_rf_refund} GROUP BY ALL
 UNION ALL SELECT 'ods_logistics', CAST(sync_time AS DATE), count(*) FROM {ods_rf_logistics} GROUP BY ALL
 UNION ALL SELECT CASE WHEN behavior_type = 'error' THEN 'ods_error_data' ELSE 'ods_user_behavior' END, CAST(sync_time AS DATE), count(*) FROM {ods_rf_behavior} GROUP BY ALL"""
+SQL["rf_ods_error_data"] = """
+SELECT md5('ods_user_behavior|' || raw) AS error_id, 'ods_user_behavior' AS table_name, CASE WHEN user_id IS NULL THEN 'user_id' ELSE 'behavior_type' END AS error_field,
+       CASE WHEN user_id IS NULL THEN 'missing user' ELSE 'unknown behaviour type' END AS error_reason, raw AS raw_data, sync_time AS create_time, CAST(sync_time AS DATE) AS dt
+FROM (SELECT *, concat_ws('|', behavior_id, user_id, behavior_type, page_url) AS raw FROM {ods_rf_behavior}) WHERE user_id IS NULL OR behavior_type NOT IN ('view', 'click', 'purchase', 'signup')"""
 _RPO = """(SELECT order_id, sum(refund_amount) AS refund_amount, arg_max(refund_status, (refund_apply_time, refund_id)) AS refund_status, count(*) AS refund_count
   FROM {ods_rf_refund} GROUP BY order_id)"""
 SQL["rf_dwd_order_wide"] = f"""

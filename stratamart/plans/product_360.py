@@ -62,10 +62,13 @@ def dwd03_comment(ods03_comment_info):
 
 @plan
 def dws03_item_order_month(dwd03_order_detail):
-    return dwd03_order_detail.groupBy(*GRAIN).agg(
-        F.countDistinct("user_id").alias("order_user_cnt"), F.countDistinct("order_id").alias("order_cnt"),
-        F.sum(F.col("order_price").cast("decimal(16,2)") * F.col("quantity")).alias("order_amt"),
+    """Buyers, orders and amount of an item: per order, then per user, then per item, so that no line is copied and a busy item spreads."""
+    per_order = dwd03_order_detail.groupBy(*GRAIN, "user_id", "order_id").agg(
+        F.sum(F.col("order_price").cast("decimal(16,2)") * F.col("quantity")).alias("amt")
     )
+    # an order has one user, so the orders of an item's users add up
+    per_user = per_order.groupBy(*GRAIN, "user_id").agg(F.count("order_id").alias("orders"), F.sum("amt").alias("amt"))
+    return per_user.groupBy(*GRAIN).agg(F.count("user_id").alias("order_user_cnt"), F.sum("orders").alias("order_cnt"), F.sum("amt").alias("order_amt"))
 
 
 @plan
@@ -77,16 +80,16 @@ def dws03_item_comment_month(dwd03_comment):
 
 
 @plan
-def dws03_item_behavior_month(dwd03_content_log, dws03_item_comment_month):
-    """Interactions and comments of an item; each side is counted before they meet."""
+def dws03_item_content_month(dwd03_content_log):
+    """Interactions with an item's content, by kind."""
+    kinds = {"view": "view_cnt", "cart": "cart_cnt", "collect": "collect_cnt", "click": "content_click_cnt"}
+    return dwd03_content_log.groupBy(*GRAIN).agg(*[F.count_if(F.col("interaction_type") == k).alias(n) for k, n in kinds.items()])
 
-    def times(kind):
-        return F.count_if(F.col("interaction_type") == kind)
 
-    log = dwd03_content_log.groupBy(*GRAIN).agg(
-        times("view").alias("view_cnt"), times("cart").alias("cart_cnt"), times("collect").alias("collect_cnt")
-    )
-    return log.join(dws03_item_comment_month, GRAIN, "left").na.fill(0, ["comment_cnt", "good_cnt", "bad_cnt"]).select(
+@plan
+def dws03_item_behavior_month(dws03_item_content_month, dws03_item_comment_month):
+    """Interactions and comments of an item; each side is counted before they meet."""
+    return dws03_item_content_month.join(dws03_item_comment_month, GRAIN, "left").na.fill(0, ["comment_cnt", "good_cnt", "bad_cnt"]).select(
         "item_id", "view_cnt", "cart_cnt", "collect_cnt", "comment_cnt", "good_cnt", "bad_cnt", "avg_score", "dt"
     )
 
@@ -120,20 +123,16 @@ def dws03_item_conversion_month(dws03_item_behavior_month, dws03_item_payment_mo
 
 @plan
 def ads03_item_360(
-    dws03_item_order_month, dws03_item_payment_month, dws03_item_behavior_month, dws03_item_comment_month, dwd03_content_log, dwd03_sku
+    dws03_item_order_month, dws03_item_payment_month, dws03_item_content_month, dws03_item_comment_month, dwd03_sku
 ):
-    content = dwd03_content_log.groupBy(*GRAIN).agg(
-        F.count_if(F.col("interaction_type") == "view").alias("content_exp_cnt"),
-        F.count_if(F.col("interaction_type") == "click").alias("content_click_cnt"),
-    )
-    behavior = dws03_item_behavior_month.select(*GRAIN, "view_cnt", "cart_cnt", "collect_cnt")
+    content = dws03_item_content_month.withColumn("content_exp_cnt", F.col("view_cnt"))
     comment = dws03_item_comment_month.select(*GRAIN, "comment_cnt", "avg_score")
     sku = dwd03_sku.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("sku_cnt"),
         rate(F.sum(F.col("sku_price").cast("decimal(16,2)")), F.count("sku_price"), 2).alias("avg_price"),
     )
     out = dws03_item_order_month
-    for side in (dws03_item_payment_month, behavior, content, comment):
+    for side in (dws03_item_payment_month, content, comment):
         out = out.join(side, GRAIN, "left")
     out = out.join(sku, "item_id", "left")
     counts = ["pay_cnt", "pay_user_cnt", "view_cnt", "cart_cnt", "collect_cnt", "comment_cnt", "content_exp_cnt", "content_click_cnt", "sku_cnt"]

@@ -63,6 +63,18 @@ def rf_ods_tables(ods_rf_order, ods_rf_refund, ods_rf_logistics, ods_rf_behavior
     return out
 
 
+@plan
+def rf_ods_error_data(ods_rf_behavior):
+    """Rejected rows of the behaviour source: what is wrong, where, and the row as it came."""
+    reason = F.when(F.col("user_id").isNull(), F.lit("missing user")).when(~F.col("behavior_type").isin(*BEHAVIOR_TYPES), F.lit("unknown behaviour type"))
+    field = F.when(F.col("user_id").isNull(), F.lit("user_id")).otherwise(F.lit("behavior_type"))
+    raw = F.concat_ws("|", *[F.col(c).cast("string") for c in ("behavior_id", "user_id", "behavior_type", "page_url")])
+    return ods_rf_behavior.withColumn("error_reason", reason).filter("error_reason is not null").select(
+        F.md5(F.concat_ws("|", F.lit("ods_user_behavior"), raw)).alias("error_id"), F.lit("ods_user_behavior").alias("table_name"), field.alias("error_field"),
+        "error_reason", raw.alias("raw_data"), F.col("sync_time").alias("create_time"), F.col("sync_time").cast("date").alias("dt"),
+    )
+
+
 def _refunds_per_order(refund: DataFrame) -> DataFrame:
     latest = F.max_by("refund_status", F.struct("refund_apply_time", "refund_id"))
     return refund.groupBy("order_id").agg(
@@ -224,10 +236,15 @@ def rf_ads_overall_metrics(rf_dws_order_by_user, rf_dws_refund_by_user):
 def rf_ads_behavior_trend(ods_rf_behavior):
     """Behaviour per day: events, users, types."""
     day = F.col("behavior_time").cast("date").alias("stat_date")
-    cell = ods_rf_behavior.groupBy(day, "user_id").agg(F.count(F.lit(1)).alias("n"))
-    daily = cell.groupBy("stat_date").agg(F.sum("n").alias("behavior_count"), F.count("user_id").alias("distinct_user_count"))
-    kinds = ods_rf_behavior.groupBy(day).agg(F.countDistinct("behavior_type").alias("distinct_behavior_types"))
-    return daily.join(kinds, "stat_date").withColumn("avg_behavior_per_user", rate("behavior_count", "distinct_user_count", 2))
+    # one read: per user and type, then per user with the types seen, then per day; the types of a day are the few that occur at all
+    cell = ods_rf_behavior.groupBy(day, "user_id", "behavior_type").agg(F.count(F.lit(1)).alias("n"))
+    user = cell.groupBy("stat_date", "user_id").agg(F.sum("n").alias("n"), F.collect_set("behavior_type").alias("types"))
+    daily = user.groupBy("stat_date").agg(
+        F.sum("n").alias("behavior_count"), F.count("user_id").alias("distinct_user_count"), F.flatten(F.collect_set("types")).alias("types")
+    )
+    return daily.withColumn("distinct_behavior_types", F.size(F.array_distinct("types")).cast("bigint")).drop("types").withColumn(
+        "avg_behavior_per_user", rate("behavior_count", "distinct_user_count", 2)
+    )
 
 
 @plan
