@@ -63,7 +63,7 @@ def _text(name: str, as_of: str = AS_OF) -> str:
 def _needs(name: str, seen: dict[str, None]) -> None:
     if name in RAW or name in seen:
         return
-    for other in re.findall(r"\{(\w+)\}", _text(name)):
+    for other in re.findall(r"\{([a-z]\w*)\}", _text(name)):
         _needs(other, seen)
     seen[name] = None
 
@@ -71,7 +71,7 @@ def _needs(name: str, seen: dict[str, None]) -> None:
 def expanded(name: str, as_of: str = AS_OF) -> str:
     order: dict[str, None] = {}
     _needs(name, order)
-    ctes = ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', _text(n, as_of)).strip()})" for n in order)
+    ctes = ",\n".join(f"{n} AS ({re.sub(r'[{]([a-z]\w*)[}]', r'\1', _text(n, as_of)).strip()})" for n in order)
     return f"WITH {ctes}\n"
 
 

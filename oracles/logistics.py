@@ -1,5 +1,7 @@
 """Logistics statements."""
 
+from oracles.patterns import EMAIL, MOBILE
+
 SQL: dict[str, str] = {}
 
 SQL["dim_complex"] = """
@@ -30,8 +32,6 @@ SELECT k.id, k.team_id, t.name AS team_name, t.team_no, t.org_id, o.org_name, t.
        k.license_last_check_date, k.license_expire_date, k.is_enabled
 FROM {ods_tms_truck} k JOIN {ods_tms_team} t ON t.id = k.team_id JOIN {ods_tms_model} m ON m.id = k.truck_model_id JOIN {ods_tms_organ} o ON o.id = t.org_id
 JOIN {ods_tms_dic} a ON a.id = CAST(m.model_type AS BIGINT) JOIN {ods_tms_dic} b ON b.id = CAST(m.brand AS BIGINT) WHERE k.is_deleted = '0'"""
-MOBILE = r"^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])" + r"\d" * 8 + "$"
-EMAIL = r"^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$"
 SQL["dim_user_zip_tms"] = f"""
 SELECT id, login_name, nick_name, md5(passwd) AS passwd, md5(real_name) AS realname, CASE WHEN regexp_matches(phone_num, '{MOBILE}') THEN md5(phone_num) END AS phone_num,
        CASE WHEN regexp_matches(email, '{EMAIL}') THEN md5(email) END AS email, user_level, DATE '1970-01-01' + birthday AS birthday, gender,

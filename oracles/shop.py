@@ -1,5 +1,7 @@
 """Shop statements."""
 
+from oracles.patterns import EMAIL, MOBILE
+
 SQL: dict[str, str] = {}
 
 SQL["dim_activity"] = """
@@ -39,8 +41,6 @@ SELECT s.id, s.price, s.sku_name, s.sku_desc, s.weight, s.is_sale = '1' AS is_sa
 FROM {ods_sku_info} s LEFT JOIN {ods_spu_info} p ON p.id = s.spu_id LEFT JOIN {ods_base_category3} c3 ON c3.id = s.category3_id
 LEFT JOIN {ods_base_category2} c2 ON c2.id = c3.category2_id LEFT JOIN {ods_base_category1} c1 ON c1.id = c2.category1_id
 LEFT JOIN {ods_base_trademark} t ON t.id = s.tm_id"""
-MOBILE = r"^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])" + r"\d" * 8 + "$"
-EMAIL = r"^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$"
 SQL["dim_user_zip"] = f"""
 SELECT id, left(name, 1) || '*' AS name, CASE WHEN regexp_matches(phone_num, '{MOBILE}') THEN left(phone_num, 3) || '*' END AS phone_num,
        CASE WHEN regexp_matches(email, '{EMAIL}') THEN '*@' || split_part(email, '@', 2) END AS email, user_level,
