@@ -216,7 +216,9 @@ def parse(rows: DataFrame, model: Model | None = None) -> DataFrame:
     size = 256
 
     def roles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def emit(held: list[tuple], before: np.ndarray, after: int | None) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+
+        def decode(held: list[tuple], before: np.ndarray, after: int | None) -> None:
             """Viterbi over the rows of one conversation in this partition."""
             steps = [(r, k, m, lines) for r in held for k, (m, lines) in enumerate(blocks(r[3]))]
             scores = [before]
@@ -228,13 +230,15 @@ def parse(rows: DataFrame, model: Model | None = None) -> DataFrame:
             for v, s in zip(scores[-2::-1], matrices[::-1]):
                 path.append(int((v + s[:, path[-1]]).argmax()))
             path.reverse()  # path[0] is the role before the first row
-            out = []
             for i, (r, k, _, lines) in enumerate(steps):
                 new = path[i + 1] != path[i]
                 name = model.roles[path[i + 1]]
                 out.append((r[0], r[1], k, r[2], name, bool(new), (HEADER.format(role=name) if new else "") + "\n".join(lines)))
-            for a in range(0, len(out), size):
-                yield pd.DataFrame(out[a : a + size], columns=["conv_id", "turn", "block", "role_given", "role", "new_turn", "rendered"])
+
+        def full(least: int) -> Iterator[pd.DataFrame]:
+            while len(out) > least:
+                yield pd.DataFrame(out[:size], columns=["conv_id", "turn", "block", "role_given", "role", "new_turn", "rendered"])
+                del out[:size]
 
         held: list[tuple] = []
         now, at_start, part = None, True, None
@@ -242,12 +246,14 @@ def parse(rows: DataFrame, model: Model | None = None) -> DataFrame:
             for part, conv, *row in zip(b["part"], b["conv"], b["conv_id"].astype(object), b["turn"].astype(object), b["role"], b["text"]):
                 row = [None if x is None or x != x else x for x in row]
                 if conv != now and held:
-                    yield from emit(held, shared.value[part][0] if at_start else model.start(), None)
+                    decode(held, shared.value[part][0] if at_start else model.start(), None)
+                    yield from full(size)
                     held, at_start = [], False
                 now = conv
                 held.append(tuple(row))
         if held:
-            yield from emit(held, shared.value[part][0] if at_start else model.start(), shared.value[part][1])
+            decode(held, shared.value[part][0] if at_start else model.start(), shared.value[part][1])
+        yield from full(0)
 
     kinds = {f.name: f.dataType.simpleString() for f in ordered.schema}
     return ordered.select("part", "conv", "conv_id", "turn", "role", "text").mapInPandas(
