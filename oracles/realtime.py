@@ -85,10 +85,10 @@ SQL["rf_cdc_to_lake"] = " UNION ALL ".join(
     "UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE (pk_, op_, ts_))))" for t in _T
 )
 
-# the split log, with every event's text spelled out
+# the split log, with every event's text spelled out; a block's fields come in order of their names
 _COMMON = (
     """'{"ar":"' || ar || '","ba":"' || ba || '","ch":"' || ch || '","md":"' || md || '","mid":"' || mid || '","os":"' || os || '"' """
-    """|| coalesce(',"uid":"' || uid || '"', '') || ',"vc":"' || vc || '","sid":"' || sid || '","is_new":"' || fixed || '"}'"""
+    """|| ',"sid":"' || sid || '"' || coalesce(',"uid":"' || uid || '"', '') || ',"vc":"' || vc || '","is_new":"' || fixed || '"}'"""
 )
 _PAGE = (
     """'{"during_time":' || during_time || ',"from_pos_id":"' || from_pos_id || '","from_pos_seq":"' || from_pos_seq || '","item":"' || item || '","item_type":"sku_id"' """

@@ -7,24 +7,25 @@ from pyspark.sql import DataFrame, functions as F
 from stratamart.functions.columns import in_zone, millis_to_ts
 from stratamart.operators.merge import join_salted
 
-# Blocks are read as variants, so whatever fields a client sends travel on unchanged.
+# A line is read once, as a variant, so whatever fields a client sends travel on unchanged.
 # Only the common block, whose values are texts, is opened.
 BLOCKS = ("common", "page", "start", "err", "displays", "actions")
 OBJECT = "MAP<STRING,STRING>"
+KINDS = {"common": OBJECT, "displays": "ARRAY<VARIANT>", "actions": "ARRAY<VARIANT>"}
 
 
 def parse(df: DataFrame, value: str = "value") -> DataFrame:
-    """Blocks of each log line, the device, the event time; ``dirty`` marks lines that are not JSON objects."""
+    """Blocks of each log line, its other fields (``rest``), the device, the event time; ``dirty`` marks lines that are not JSON objects."""
     text = F.col(value).cast("string")
-    doc = F.from_json(
-        text, f"common {OBJECT}, page VARIANT, start VARIANT, err VARIANT, displays ARRAY<VARIANT>, actions ARRAY<VARIANT>, ts BIGINT, _bad STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
-    )
     keep = [c for c in df.columns if c != value]
-    parsed = df.filter(F.col(value).isNotNull()).select(*keep, text.alias("value"), doc.alias("_d"))
+    parsed = df.filter(F.col(value).isNotNull()).select(*keep, text.alias("value"), F.try_parse_json(text).alias("_d"))
+    blocks = [F.try_variant_get("_d", f"$.{b}", KINDS.get(b, "VARIANT")).alias(b) for b in BLOCKS]
+    parsed = parsed.select(
+        *keep, "value", *blocks, F.try_variant_get("_d", "$.ts", "BIGINT").alias("ts"), F.try_variant_get("_d", "$", "MAP<STRING,VARIANT>").alias("_all")
+    )
     return parsed.select(
-        *keep, "value", F.col("_d._bad").isNotNull().alias("dirty"), *[F.col(f"_d.{b}").alias(b) for b in BLOCKS], F.col("_d.ts").alias("ts"),
-        F.col("_d.common")["mid"].alias("mid"), F.col("_d.common")["is_new"].alias("is_new"),
+        *keep, "value", F.col("_all").isNull().alias("dirty"), *BLOCKS, F.map_filter("_all", lambda k, v: ~k.isin(*BLOCKS, "ts")).alias("rest"), "ts",
+        F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
     )
 
 
@@ -58,8 +59,8 @@ def split(parsed: DataFrame) -> DataFrame:
 
     An error is sent on its own and taken out of its line.  A start line is
     nothing else.  Displays and actions keep the common block, the page and the
-    time.  What is left of the line goes to page.  One pass over the lines
-    makes all routes, so a sink can write them by ``route``.
+    time.  What is left of the line, with every other field of it, goes to page or start.
+    One pass over the lines makes all routes, so a sink can write them by ``route``.
     """
     common = F.when(F.col("common").isNotNull(), F.map_from_entries(F.filter(
         F.map_entries("common"), lambda e: e["key"] != "is_new"))).otherwise(F.create_map().cast(OBJECT))
@@ -67,18 +68,22 @@ def split(parsed: DataFrame) -> DataFrame:
     made = parsed.withColumn("_common", F.map_concat(common, F.create_map(F.lit("is_new"), F.col("is_new"))))
     common = F.col("_common")
 
-    def event(route, **blocks):
+    others = F.when(F.size("rest") > 0, F.concat(F.lit(","), F.substring(F.to_json("rest"), 2, 1 << 30))).otherwise(F.lit("}"))
+
+    def event(route, whole_line=False, **blocks):
         body = F.to_json(F.struct(*[b.alias(name) for name, b in blocks.items()]))
+        if whole_line:  # the closing brace makes room for the other fields
+            body = F.concat(F.left(body, F.length(body) - 1), others)
         return F.struct(F.lit(route).alias("route"), body.alias("value"))
 
     page, ts = F.col("page"), F.col("ts")
     dirty = F.array(F.struct(F.lit("dirty").alias("route"), F.col("value").alias("value")))
     none = F.filter(dirty, lambda e: F.lit(False))
     err = F.when(F.col("err").isNotNull(), F.array(event("err", err=F.col("err"), common=common, ts=ts))).otherwise(none)
-    start = F.array(event("start", common=common, start=F.col("start"), ts=ts))
+    start = F.array(event("start", whole_line=True, common=common, start=F.col("start"), ts=ts))
     displays = F.coalesce(F.transform("displays", lambda d: event("display", common=common, page=page, display=d, ts=ts)), none)
     actions = F.coalesce(F.transform("actions", lambda a: event("action", common=common, page=page, action=a, ts=ts)), none)
-    rest = F.array(event("page", common=common, page=page, ts=ts))
+    rest = F.array(event("page", whole_line=True, common=common, page=page, ts=ts))
     whole = F.when(F.col("start").isNotNull(), F.concat(err, start)).otherwise(F.concat(err, displays, actions, rest))
-    keep = [c for c in parsed.columns if c not in (*BLOCKS, "value", "dirty")]
+    keep = [c for c in parsed.columns if c not in (*BLOCKS, "rest", "value", "dirty")]
     return made.select(*keep, F.inline(F.when(F.col("dirty"), dirty).otherwise(whole)))

@@ -63,6 +63,16 @@ def test_split_log_routes(spark):
     assert page["page"] == {"page_id": "home", "during_time": 5}
 
 
+def test_other_fields_of_a_line_travel_on(spark):
+    line = log_line("a", T0, "1", page={"page_id": "home", "x": {"y": [1, 2]}}, extra={"deep": [1, {"z": None}]}, flag=True)
+    plain = log_line("b", T0, "1", start={"entry": "icon"}, version=3)
+    out = split(parse(spark.createDataFrame([(line,), (plain,), ("[1]",), ('"text"',)], "value string")))
+    got = {r["route"]: r["value"] for r in out.collect()}
+    page = json.loads(got["page"])
+    assert page["extra"] == {"deep": [1, {"z": None}]} and page["flag"] is True and page["page"]["x"] == {"y": [1, 2]}
+    assert json.loads(got["start"])["version"] == 3 and out.filter("route = 'dirty'").count() == 2
+
+
 @pytest.mark.parametrize("files", [1, 4])
 def test_log_split_stream_equals_batch(spark, tmp_path, files):
     source = write_files(tmp_path / "in", LOGS, files)
