@@ -39,6 +39,8 @@ MIN_COUNT = 2
 SHARPNESS = 6.0
 ACCEPT_QUANTILE = 0.999
 UNKNOWN = "und"
+#: Languages up to which their sizes may be broadcast; beyond, texts are shuffled by language.
+BROADCAST_LANGUAGES = 100_000
 _LETTER = re.compile(r"[^\W\d_]")
 _EDGE = "\0"
 FOLDS, HELD_OUT = 3, 1
@@ -117,7 +119,8 @@ def _pairs(docs: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
     """Texts to learn from: not held out, with a language, at most about ``per_language`` of each."""
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    sizes = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGUAGES else sizes
     chance = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << 20)) / F.lit(1 << 20)
     return rows.join(sizes, "lang").filter(chance < F.lit(float(per_language)) / F.col("of")).select("doc_id", "lang", "text")
 
