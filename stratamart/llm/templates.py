@@ -56,7 +56,7 @@ def tokens(word: str) -> list[tuple[int, str]]:
     low = bare.lower()
     if not low:
         return []
-    if m := _NUMBER.match(low):
+    if not low.isalpha() and (m := _NUMBER.match(low)):
         before, number, after = m.groups()
         return [(_UNIT, u) for u in (before,) if u] + [(_NUM, number)] + [(_UNIT, u) for u in (after,) if u]
     if low in _numbers:
@@ -68,6 +68,19 @@ def tokens(word: str) -> list[tuple[int, str]]:
     return [(_PLAIN, low)]
 
 
+class _Places(dict):
+    """The place of each word in the lexicon's arrays; a new word gets the next one."""
+
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> int:
+        i = self[word] = len(self)
+        self.lexicon.fill(i, word)
+        return i
+
+
 class Lexicon:
     """Template tokens of words, as arrays.  Words seen are kept up to a bound, then forgotten."""
 
@@ -77,44 +90,40 @@ class Lexicon:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.places = _Places(self)
         n = self.LIMIT
         self.count = np.zeros(n, dtype=np.int8)
         self.ends = np.zeros(n, dtype=bool)
-        self.kind, self.hash, self.value, self.plain = (np.zeros((3, n), dtype=t) for t in (np.int8, np.uint64, np.uint64, np.uint64))
+        self.kind, self.hash, self.value = (np.zeros((3, n), dtype=t) for t in (np.int8, np.uint64, np.uint64))
 
-    def add(self, word: str) -> int:
-        i = self.index[word] = len(self.index)
-        made = tokens(word)[:3] if word != "\0" else []
+    def fill(self, i: int, word: str) -> None:
+        made = tokens(word) if word != "\0" else []
         self.count[i], self.ends[i] = len(made), word == "\0" or word[-1] in ".!?:;"
         for k, (kind, value) in enumerate(made):
             self.kind[k, i] = kind
-            self.plain[k, i] = self.value[k, i] = xxhash.xxh64_intdigest(value)
-            self.hash[k, i] = xxhash.xxh64_intdigest(_PLACEHOLDER.get(kind, value))
-        return i
+            self.value[k, i] = xxhash.xxh64_intdigest(value)
+            self.hash[k, i] = xxhash.xxh64_intdigest(_PLACEHOLDER[kind]) if kind else self.value[k, i]
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(type, template hash, value hash) of each token of a text."""
         words = text.replace("\n", " \0 ").split()
-        if len(self.index) + len(words) > self.LIMIT:
+        if len(self.places) + len(words) > self.LIMIT:
+            self.LIMIT = max(self.LIMIT, len(words))
             self.reset()
-            if len(words) > self.LIMIT:
-                self.LIMIT = len(words)
-                self.reset()
-        get, add = self.index.get, self.add
-        ids = np.fromiter((add(w) if (i := get(w)) is None else i for w in words), dtype=np.int64, count=len(words))
+        ids = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
         starts = np.r_[True, self.ends[ids[:-1]]] if len(ids) else np.zeros(0, dtype=bool)
         count = self.count[ids]
-        if (count == 1).all():
-            nth = np.zeros(len(ids), dtype=np.int64)
-        else:
+        one = count == 1
+        if (count > 1).any():
             begin = np.repeat(np.cumsum(count) - count, count)
             ids, starts = np.repeat(ids, count), np.repeat(starts, count)
             nth = np.arange(len(ids)) - begin
-        kind = self.kind[nth, ids].copy()
+            kind, hashes, values = (t[nth, ids] for t in (self.kind, self.hash, self.value))
+        else:
+            ids, starts = ids[one], starts[one]
+            kind, hashes, values = (t[0][ids] for t in (self.kind, self.hash, self.value))
         first = (kind == _NAME) & starts  # the capital of a sentence's first word says nothing
-        kind[first] = _PLAIN
-        return kind, np.where(first, self.plain[nth, ids], self.hash[nth, ids]), self.value[nth, ids]
+        return np.where(first, _PLAIN, kind), np.where(first, values, hashes), values
 
 
 def windows(kind: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
