@@ -303,3 +303,27 @@ def test_prior_estimate_and_odd_rows(spark, odd):
     got = pu_quality.op9(odd, labels)
     assert got.count() == odd.count() and all(0 <= r["score"] <= 1 for r in got.collect())
     assert {r["score"] for r in pu_quality.op9(odd, labels.filter("false")).collect()} == {0.5}
+
+
+# ---- all: empty tables and foreign columns
+
+
+def test_operators_on_empty_tables(spark, docs):
+    none = docs.filter("false")
+    conversations = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").filter("false")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    made = [
+        bitplanes.op1(none), templates.op2(none, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")), transcripts.op4(conversations), covering.op6(none),
+        char_models.op7(none), prefix_counts.op8(none), pu_quality.op9(none, labels), pu_quality.op9(none, labels.filter("false")),
+    ]
+    assert [m.count() for m in made] == [0] * len(made)
+
+
+def test_operators_ignore_columns_that_share_their_names(spark):
+    rows = [(i, f"the quick brown fox number {i} jumps over the dog", "en", "s", "x", "x", "x", "x") for i in range(12)]
+    names = "doc_id bigint, text string, lang string, source string, text_hash string, entropy string, n_bytes string, x string"
+    table = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(1, 1, "x")], "doc_id bigint, quality int, text string")
+    items = spark.createDataFrame([(1, rows[3][1], "x")], "item_id bigint, text string, hash string")
+    assert {m.count() for m in (bitplanes.op1(table), covering.op6(table), char_models.op7(table), prefix_counts.op8(table), pu_quality.op9(table, labels))} == {12}
+    assert {r["doc_id"] for r in templates.op2(table, items).collect()} >= {3}
