@@ -16,7 +16,7 @@ from stratamart.llm.common import Memory
 class WordIds(Memory):
     """The ids of words, as bytes of little-endian uint32."""
 
-    LIMIT = 3 << 16
+    LIMIT = 3 << 17
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -35,7 +35,9 @@ class WordIds(Memory):
             return self[word.lower()]
         if word.isalpha() and max(word) < "\u0130":
             # Letters that no normalisation touches but lower case: straight to the merges, with bytes spelled as the vocabulary spells them.
-            return array("I", [t.id for t in self.merge(word.lower().encode().decode("latin-1").translate(self.spelling))]).tobytes()
+            low = word.lower()
+            spelled = low if low.isascii() else low.encode().decode("latin-1").translate(self.spelling)
+            return array("I", [t.id for t in self.merge(spelled)]).tobytes()
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
