@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Sequence
 from typing import TypeVar
@@ -15,7 +16,16 @@ BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def found_by_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, also when neither is started in its folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    found_by_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -26,6 +36,7 @@ _kept: dict[str, object] = {}
 
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """(doc_id, more, text) for a Python operator, in small batches."""
+    found_by_workers(docs.sparkSession)
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return docs.select("doc_id", *more, "text")
 
