@@ -15,7 +15,7 @@ no rows give no rows; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -183,10 +183,13 @@ def groups(docs: DataFrame) -> DataFrame:
     return rows.join(stored(fps.join(ids, "root").select("fp", "component_id", "root")), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """Of each component the row with the smallest id (then the smallest hash of its text), with all its columns."""
+def one_per_group(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = groups) -> DataFrame:
+    """Of each component the row with the smallest id (then the smallest hash of its text), with all its columns.
+
+    ``grouped`` gives (doc_id, text_hash, root) of each row.
+    """
     key = lambda: [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"]
-    winners = stored(groups(docs).groupBy("root").agg(F.min(F.struct(*key())).alias("w")).select("w.*"))
+    winners = stored(grouped(docs).groupBy("root").agg(F.min(F.struct(*key())).alias("w")).select("w.*"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash")).select("row", *key())
     names = ["no_id", "id", "text_hash"]
     # Rows repeated in id and text share a key; one of them stays.
