@@ -16,10 +16,12 @@ by their texts' hashes; rows without role teach nothing; no rows give no rows; e
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -93,15 +95,23 @@ class Model:
         inside[n, :] = inside[:, n] = NEVER
         first, *rest = symbols(marker, lines)
         out = self.turn + self.emission(first)
-        for s, k in Counter(rest).items():
-            if k > 64 or len(rest) > 64:  # within a long block the role stays: its lines add up
-                out = out + k * (self.emission(s) + np.log(STAY))
-            else:
-                for _ in range(k):
-                    out = _product(out, inside + self.emission(s))
+        for s, run in groupby(rest):
+            out = _product(out, _power(inside + self.emission(s), len(list(run))))
         return out
 
 
+def _power(a: np.ndarray, k: int) -> np.ndarray:
+    """The product of k equal matrices, by repeated squaring."""
+    out = None
+    while True:
+        if k & 1:
+            out = a if out is None else _product(out, a)
+        k >>= 1
+        if not k:
+            return out
+        a = _product(a, a)
+
+
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
@@ -119,16 +129,19 @@ def _sorted(rows: DataFrame) -> DataFrame:
 def train(ordered: DataFrame) -> Model:
     """Count beginnings, turns and emissions of rows with a role outside the held-out conversations.
 
-    Turns across two partitions are not counted: one in a partition's rows.
+    Whether a partition's first row begins a conversation is seen from the rows at the partitions' ends, one pair per partition.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
-        last, role_before = None, None
+        first, last, role_before = None, None, None
         for b in batches:
-            for conv, known, role, text in zip(b["conv"], b["known"], b["role"], b["text"]):
+            for part, conv, known, role, text in zip(b["part"], b["conv"], b["known"], b["role"], b["text"]):
+                opens, first = first is None, first or [int(part), conv, bool(known), role]
                 if known and role is not None:
-                    if conv != last:
+                    if opens:
+                        pass
+                    elif conv != last:
                         seen["begin", role, ""] += 1
                     elif role_before is not None:
                         seen["turn", role_before, role] += 1
@@ -136,10 +149,22 @@ def train(ordered: DataFrame) -> Model:
                         for s in symbols(marker, lines):
                             seen["emit", role, s] += 1
                 last, role_before = conv, role
+        if first:
+            seen["ends", json.dumps([*first, last, role_before]), ""] += 1
         yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["kind", "a", "b", "n"])
 
-    rows = ordered.select("conv", (fold(F.col("conv_id"), FOLDS) != HELD_OUT).alias("known"), "role", "text")
+    rows = ordered.select("part", "conv", (fold(F.col("conv_id"), FOLDS) != HELD_OUT).alias("known"), "role", "text")
     counts = rows.mapInPandas(count, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()
+    last, role_before = None, None
+    borders = []
+    for _, conv, known, role, *end in sorted((json.loads(r["a"]) for r in counts if r["kind"] == "ends"), key=lambda e: e[0]):
+        if known and role is not None:
+            if conv != last:
+                borders.append({"kind": "begin", "a": role, "b": "", "n": 1})
+            elif role_before is not None:
+                borders.append({"kind": "turn", "a": role_before, "b": role, "n": 1})
+        last, role_before = end
+    counts = [r for r in counts if r["kind"] != "ends"] + borders
     roles = tuple(sorted({r["a"] for r in counts} | set(ROLES)))
     at = {r: i for i, r in enumerate(roles)}
     n = len(roles)
