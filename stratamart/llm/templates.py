@@ -215,21 +215,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("windows"))
     runs = runs.join(totals, "item_id").withColumn("share", F.col("matched") / F.col("windows"))
     enough = (F.col("share") >= MIN_SHARE) | (F.col("matched") + F.col("size") - 1 >= MIN_TOKENS)
-    best = runs.filter(enough).groupBy(*key).agg(F.max_by(F.struct("shift", "matched", "share"), F.struct("matched", "shift")).alias("b")).select(*key, "b.*")
-    # Slots under the best alignment: distinct pairs against distinct values on either side.
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*key, "shift"]]
-    pairs = met.alias("m").join(best.alias("b"), same, "left_semi").select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).distinct()
-    slots = pairs.groupBy(*key).agg(
+    runs = stored(runs.filter(enough).select(*key, "shift", "matched", "share"))
+    # Slots under each such alignment: distinct pairs against distinct values on either side.
+    place = [*key, "shift"]
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}")) for c in place]
+    pairs = met.alias("m").join(runs.alias("r"), same, "left_semi").select(*place, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).distinct()
+    slots = pairs.groupBy(*place).agg(
         F.count(F.lit(1)).alias("pairs"), F.countDistinct("p.item_slots").alias("item_values"), F.countDistinct("p.slots").alias("doc_values"),
         F.max(F.col("p.item_slots") != F.col("p.slots")).alias("reworded"),
     )
-    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key]
-    out = best.alias("b").join(slots.alias("s"), same, "left").select(
-        *[f"b.{c}" for c in key], "matched", "share",
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in place]
+    out = runs.alias("r").join(slots.alias("s"), same, "left").select(
+        *[f"r.{c}" for c in place], "matched", "share",
         F.coalesce(F.least("item_values", "doc_values") / F.col("pairs"), F.lit(1.0)).alias("consistency"),
         F.coalesce("reworded", F.lit(False)).alias("reworded"),
     )
-    return out.filter(F.col("consistency") >= MIN_CONSISTENT)
+    # The best of the alignments that pass.
+    columns = ["matched", "share", "consistency", "reworded"]
+    best = F.max_by(F.struct(*columns), F.struct("matched", "shift")).alias("b")
+    return out.filter(F.col("consistency") >= MIN_CONSISTENT).groupBy(*key).agg(best).select(*key, "b.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
