@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from stratamart.llm import bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates, transcripts
+from stratamart.llm import (
+    ball_kmeans, bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates, token_alignment, transcripts,
+)
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
 
@@ -28,6 +30,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_prefix_counts": _over_documents(prefix_counts.op8),
         "op9_pu_quality": lambda spark, folder: pu_quality.op9(table(spark, folder, "documents"), table(spark, folder, "labels")),
         "op10_source_mix": _over_documents(mixing.op10),
+        "op11_ball_kmeans": lambda spark, folder: ball_kmeans.op11(table(spark, folder, "embeddings")),
+        "op13_pointer_jumping": _over_documents(token_alignment.op13),
         "pipeline": corpus_pipeline.run,
     }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratamart.llm.ball_kmeans import ENTRIES, PARTS, ROUNDS, SCALE
 from stratamart.llm.mixing import MAX_EPOCHS, SEED
 from stratamart.llm.quality_rules import MIN_WORDS, RULES, STOP_WORDS, SYMBOLS
 
@@ -61,4 +62,33 @@ SELECT doc_id, size, source_size, target,
        (epochs * size + CASE WHEN key < cut_key THEN size WHEN key = cut_key THEN part ELSE 0 END)::BIGINT AS taken FROM y
 """
 
-STATEMENTS = {"op3_quality_rules": OP3, "op10_source_mix": OP10}
+
+def _round(k: int) -> str:
+    """Parts with the nearest entry of codebook k, and (all but the last time) codebook k + 1."""
+    nearest = f"""
+a{k} AS MATERIALIZED (SELECT rid, part, min(struct_pack(d := d, e := entry)) AS best FROM
+  (SELECT x.rid, x.part, c.entry, list_sum(list_transform(list_zip(x.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+   FROM x JOIN c{k} c USING (part)) GROUP BY rid, part)"""
+    if k == ROUNDS:
+        return nearest
+    return nearest + f""",
+m{k} AS (SELECT part, entry, list((s - (((s % n) + n) % n)) // n ORDER BY j)::BIGINT[] AS x FROM
+  (SELECT x.part, best.e AS entry, j, sum(x.x[j]) AS s, count(*) AS n FROM x JOIN a{k} USING (rid, part), (SELECT unnest(range(1, (SELECT max(len(x)) FROM x) + 1)) AS j)
+   GROUP BY x.part, best.e, j) GROUP BY part, entry),
+c{k + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m USING (part, entry))"""
+
+
+OP11 = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+x AS MATERIALIZED (SELECT rid, part, list_slice(v, (part * len(v) // {PARTS} + 1)::BIGINT, ((part + 1) * len(v) // {PARTS})::BIGINT) AS x FROM v, (SELECT unnest(range(0, {PARTS})) AS part)),
+f AS (SELECT rid, row_number() OVER (ORDER BY vec_id, v) - 1 AS entry FROM v WHERE vec_id IS NOT NULL ORDER BY entry LIMIT {ENTRIES}),
+c0 AS MATERIALIZED (SELECT part, entry, x FROM x JOIN f USING (rid)),
+{",".join(_round(k) for k in range(ROUNDS + 1))},
+s AS (SELECT sha256(string_agg(value::VARCHAR, ',' ORDER BY part, entry, j)) AS codebooks_sha256 FROM
+  (SELECT part, entry, unnest(x) AS value, generate_subscripts(x, 1) AS j FROM c{ROUNDS})),
+r AS (SELECT rid, string_agg(format('{{:02x}}', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{ROUNDS} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN r USING (rid), s
+"""
+
+STATEMENTS = {"op3_quality_rules": OP3, "op10_source_mix": OP10, "op11_ball_kmeans": OP11}
