@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Sequence
@@ -125,3 +126,9 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of results that have since been stored: it does so when the driver's garbage collector meets them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

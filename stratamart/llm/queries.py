@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from stratamart.llm import (
-    ball_kmeans, bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, secret_scan, templates, token_alignment, transcripts,
+    ball_kmeans, bitplanes, char_models, covering, mixing, prefix_counts, pu_quality, quality_rules, repeat_spans, secret_scan, templates, token_alignment, transcripts,
 )
 from stratamart.llm.common import table
 from stratamart.llm.sql import STATEMENTS
@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pu_quality": lambda spark, folder: pu_quality.op9(table(spark, folder, "documents"), table(spark, folder, "labels")),
         "op10_source_mix": _over_documents(mixing.op10),
         "op11_ball_kmeans": lambda spark, folder: ball_kmeans.op11(table(spark, folder, "embeddings")),
+        "op12_prefix_free_parsing": _over_documents(repeat_spans.op12),
         "op13_pointer_jumping": _over_documents(token_alignment.op13),
         "pipeline": corpus_pipeline.run,
     }
