@@ -45,13 +45,23 @@ def with_first_visits(parsed: DataFrame, visits: DataFrame, zone: str) -> DataFr
     return joined.withColumn("is_new", fixed).drop("_mid", "_first")
 
 
-def repair_is_new(parsed: DataFrame, zone: str) -> DataFrame:
+NARROW = "common STRUCT<mid: STRING, is_new: STRING>, ts BIGINT"
+
+
+def visits_of(df: DataFrame, value: str = "value") -> DataFrame:
+    """First visits from log texts, of which only the device, its flag and the time are opened."""
+    text = F.col(value).cast("string")
+    one = df.filter(F.col(value).isNotNull()).select(F.from_json(text, NARROW).alias("_n"))
+    return first_visits(one.select(F.lit(False).alias("dirty"), F.col("_n.common.mid").alias("mid"), F.col("_n.ts").alias("ts"), F.col("_n.common.is_new").alias("is_new")))
+
+
+def repair_is_new(parsed: DataFrame, zone: str, visits: DataFrame | None = None) -> DataFrame:
     """New-visitor flags corrected by the first event of each device.
 
     A device is new only on the day of its first event, and only if that event
-    says so.
+    says so.  ``visits``: the first visits, if they are known already.
     """
-    return with_first_visits(parsed, first_visits(parsed), zone)
+    return with_first_visits(parsed, first_visits(parsed) if visits is None else visits, zone)
 
 
 def split(parsed: DataFrame) -> DataFrame:

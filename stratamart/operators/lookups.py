@@ -7,8 +7,6 @@ above it, so a dimension may grow without a plan change.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -39,18 +37,3 @@ def with_columns_of(
         F.col(dimension_key).alias("_key"), *[F.col(c).alias(name) for c, name in take.items()]
     )
     return df.join(side, F.col(key) == F.col("_key"), how).drop("_key")
-
-
-def walk_up(
-    df: DataFrame, regions: DataFrame, start: str, levels: Sequence[tuple[str, str]], how: str = "left"
-) -> DataFrame:
-    """Follows ``parent_id`` from the region in ``start``: one (id, name) pair of columns per level."""
-    at = df.join(
-        regions.select(F.col("id").alias("_id"), F.col("parent_id").alias("_up")), F.col(start) == F.col("_id"), how
-    ).drop("_id")
-    for id_name, label in levels:
-        level = regions.select(
-            F.col("id").alias(id_name), F.col("name").alias(label), F.col("parent_id").alias("_next_up")
-        )
-        at = at.join(level, F.col("_up") == F.col(id_name), how).drop("_up").withColumnRenamed("_next_up", "_up")
-    return at.drop("_up")

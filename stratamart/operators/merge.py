@@ -29,22 +29,23 @@ def stack_sums(keys: Sequence[str], inputs: Sequence[DataFrame], measures: Mappi
     return stacked.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+#: Tasks among which rows without a key are dealt; they meet nothing.
+KEYLESS = 4096
+
+
 def join_salted(fact: DataFrame, one_per_key: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "left", salts: int = 16) -> DataFrame:
     """Join of a fact with a table of one row per key, where one key may hold most of the fact.
 
     A side that is an aggregate on the join key keeps adaptive execution from splitting a hot key, so the fact is spread over
-    ``salts`` by a hash of ``spread_by`` and the small side is copied to each.  Rows of the fact with a null key meet nothing and are not shuffled.
+    ``salts`` by a hash of ``spread_by`` and the small side is copied to each.  Rows of the fact with a null key go along under salts that no copy has, so the fact is made and read once.
     """
-    keyed = [F.col(k).isNotNull() for k in on]
-    has_key = keyed[0]
-    for k in keyed[1:]:
-        has_key = has_key & k
-    salted = fact.filter(has_key).withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    has_key = F.col(on[0]).isNotNull()
+    for k in on[1:]:
+        has_key = has_key & F.col(k).isNotNull()
+    spread = F.xxhash64(*spread_by)
+    salted = fact.withColumn("_salt", F.when(has_key, F.pmod(spread, F.lit(salts))).otherwise(-1 - F.pmod(spread, F.lit(KEYLESS))).cast("int"))
     copies = one_per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, [*on, "_salt"], how).drop("_salt")
-    if how in ("inner", "left_semi"):
-        return joined
-    return joined.unionByName(fact.filter(~has_key), allowMissingColumns=True)
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def signed_balance(plus: DataFrame, minus: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

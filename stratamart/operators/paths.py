@@ -18,36 +18,28 @@ def numbered_steps(
 
     Same result as ``row_number`` and ``lead`` over the session, but no task has
     to hold a whole session.  ``slice_of`` cuts a session into stretches that
-    follow one another in ``order`` (for example the hour of the event): windows
-    run per stretch, one summary row per stretch carries the count and the first
-    page, and the offsets and the page after each stretch come from those rows.
-    Only the summary is ordered per session.
+    follow one another in ``order`` (for example the minute of the event): windows
+    run per stretch, and the first row of a stretch, with the stretch's size, stands for it when
+    offsets and the page after each stretch are carried over along the session.
+
+    Rows are shuffled once, by a key that is one column: the stretches' first rows are read from the
+    same shuffle (both sides use the same columns of it), the offsets come back by the same key, and null sessions meet themselves.
     """
-    sliced = df.withColumn("_slice", slice_of)
-    stretch = [*session, "_slice"]
-    inside = Window.partitionBy(*stretch).orderBy(*order)
-    local = sliced.withColumn("_local", F.row_number().over(inside)).withColumn("_next", F.lead(page).over(inside))
-
-    first = F.min_by(F.struct(F.col(page).alias("page")), F.struct(*[F.col(c) for c in order]))
-    summary = sliced.groupBy(*stretch).agg(F.count(F.lit(1)).alias("_size"), first.alias("_first"))
-    along = Window.partitionBy(*session).orderBy("_slice")
-    offsets = (
-        summary.withColumn("_before", F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_after", F.lead(F.col("_first.page")).over(along))
-        .select(*stretch, F.coalesce("_before", F.lit(0)).alias("_before"), "_size", "_after")
+    key = F.struct(*session, slice_of.alias("_slice"))
+    rest = [c for c in df.columns if c not in session]
+    sliced = df.select(key.alias("_key"), *rest)
+    inside = Window.partitionBy("_key").orderBy(*order)
+    size = F.count(F.lit(1)).over(Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    local = sliced.select("*", F.row_number().over(inside).alias("_local"), F.lead(page).over(inside).alias("_next"), size.alias("_size"))
+    along = Window.partitionBy(*[F.col("_key")[c] for c in session]).orderBy(F.col("_key._slice"))
+    offsets = local.filter("_local = 1").select(
+        F.col("_key").alias("_of"), F.coalesce(F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead(page).over(along).alias("_after")
     )
-    keys = {c: f"_k_{c}" for c in stretch}
-    offsets = offsets.select(*[F.col(c).alias(k) for c, k in keys.items()], "_before", "_size", "_after")
-    on = None
-    for c, k in keys.items():
-        same = F.col(c).eqNullSafe(F.col(k))
-        on = same if on is None else on & same
-    joined = local.join(offsets, on)
-    last = F.col("_local") == F.col("_size")
-    return joined.select(
-        *df.columns,
+    columns = [F.col("_key")[c].alias(c) if c in session else F.col(c) for c in df.columns]
+    return local.join(offsets, F.col("_key") == F.col("_of")).select(
+        *columns,
         (F.col("_before") + F.col("_local")).cast("int").alias("step"),
-        F.when(last, F.col("_after")).otherwise(F.col("_next")).alias("next_page"),
+        F.when(F.col("_local") == F.col("_size"), F.col("_after")).otherwise(F.col("_next")).alias("next_page"),
     )
 
 

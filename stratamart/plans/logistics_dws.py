@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.operators.lookups import walk_up, with_columns_of
+from stratamart.operators.hierarchy import placed
+from stratamart.operators.lookups import with_columns_of
 from stratamart.operators.merge import sum_once
 from stratamart.operators.windows import recent_days
 from stratamart.warehouse import plan
@@ -44,8 +45,8 @@ def _by_org_and_place(daily: DataFrame, district: str, organ: DataFrame, region:
     The facts are already summed per district, so only the small table is joined.
     """
     org = daily.join(_organ_by_district(organ, district).withColumn("_place", F.col(district)), district, "left")
-    placed = walk_up(org, region, "_place", [("city_id", "city_name"), ("province_id", "province_name")])
-    return placed.groupBy(*ORG, *PLACE, "dt").agg(*[F.sum(m).alias(m) for m in measures])
+    places = placed(region, [("_id0", "_n0"), ("city_id", "city_name"), ("province_id", "province_name")])
+    return org.join(places, F.col("_place") == F.col("_own"), "left").groupBy(*ORG, *PLACE, "dt").agg(*[F.sum(m).alias(m) for m in measures])
 
 
 @plan
@@ -88,9 +89,9 @@ def dws_tms_org_sort_1d(dwd_tms_sort, dim_organ, dim_region):
 def _with_level_place(df: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
     """City and province of an organisation by its level."""
     org = organ.select(F.col("id").alias("org_id"), "org_name", "org_level", "region_id")
-    out = df.drop("org_name").join(org, "org_id", "left")
-    own = region.select(F.col("id").alias("region_id"), F.col("name").alias("_n0"), F.col("parent_id").alias("_p0"))
-    out = walk_up(out.join(own, "region_id", "left"), region, "region_id", [("_id1", "_n1"), ("_id2", "_n2")])
+    places = placed(region, [("_id0", "_n0"), ("_id1", "_n1"), ("_id2", "_n2")])
+    # the small tables meet first, so the facts are joined once
+    out = df.drop("org_name").join(org.join(places, F.col("region_id") == F.col("_own"), "left"), "org_id", "left")
     hub = F.col("org_level") == 1
 
     def pick(at_hub, at_branch):

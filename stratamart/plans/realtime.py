@@ -33,7 +33,7 @@ def cdc_changes(ods_cdc):
 def rt_cdc_to_dim(cdc_changes, ods_dim_config):
     """Current cell values of the dimension store."""
     cells = routed_to_dimensions(cdc_changes, ods_dim_config)
-    return latest_per_key(cells, ["sink_table", "row_key", "column_name"], ["ts_ms", "op"]).select(
+    return latest_per_key(cells, ["sink_table", "row_key", "column_name"], [*LOG_POSITION, "op"]).select(
         "sink_table", "row_key", "column_name", "column_value"
     )
 
@@ -89,18 +89,14 @@ def cancelled(changes: DataFrame) -> DataFrame:
     )
 
 
-def cancelled_lines(lines: DataFrame, cancels: DataFrame, near: Column | None = None) -> DataFrame:
-    """Lines of cancelled orders; ``near`` bounds the join of streams."""
+def cancelled_lines(lines: DataFrame, cancels: DataFrame) -> DataFrame:
+    """Lines of cancelled orders."""
     kept = [c for c in DETAIL if c not in ("date_id", "create_time", "ts_ms")]
-    return lines.join(cancels, _matched(F.col("order_id") == F.col("cancel_order_id"), near)).select(
+    return lines.join(cancels, F.col("order_id") == F.col("cancel_order_id")).select(
         *kept, F.substring("cancel_time", 1, 10).alias("date_id"), "cancel_time", F.col("cancel_ts_ms").alias("ts_ms")
     )
 
 
-def _matched(equal: Column, near: Column | None) -> Column:
-    return equal if near is None else equal & near
-
-
 @plan
 def rt_dwd_order_cancel(rt_dwd_order_detail, cdc_changes):
     return cancelled_lines(rt_dwd_order_detail, cancelled(cdc_changes))
@@ -119,11 +115,18 @@ def within_payment_window():
     )
 
 
-def paid_lines(lines: DataFrame, payments: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Interval join of order lines (with ``line_time``) and payments (with ``pay_time``), then the name of the payment type."""
+def matched_payments(lines: DataFrame, payments: DataFrame) -> DataFrame:
+    """Interval join of order lines (with ``line_time``) and payments (with ``pay_time``)."""
     pay = payments.withColumnRenamed("order_id", "pay_order_id")
-    joined = lines.join(pay, (F.col("order_id") == F.col("pay_order_id")) & within_payment_window())
-    named = with_label(joined, dictionary, "payment_type", "payment_type_name", parent="11", how="inner")
+    return lines.join(pay, (F.col("order_id") == F.col("pay_order_id")) & within_payment_window())
+
+
+def paid_lines(lines: DataFrame, payments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Paid lines with the name of the payment type."""
+    return paid_columns(with_label(matched_payments(lines, payments), dictionary, "payment_type", "payment_type_name", parent="11", how="inner"))
+
+
+def paid_columns(named: DataFrame) -> DataFrame:
     return named.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id",
         "coupon_id", F.col("payment_type").alias("payment_type_code"), "payment_type_name", "callback_time", "sku_num", "split_original_amount",
@@ -154,8 +157,8 @@ def refunding() -> Column:
     return (F.col("op") == "u") & (F.col("after")["order_status"] == "1005")
 
 
-def matched_refunds(refunds: DataFrame, orders: DataFrame, near: Column | None = None) -> DataFrame:
-    return refunds.join(orders, _matched(F.col("order_id") == F.col("state_order_id"), near))
+def matched_refunds(refunds: DataFrame, orders: DataFrame) -> DataFrame:
+    return refunds.join(orders, F.col("order_id") == F.col("state_order_id"))
 
 
 def named_refunds(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -185,10 +188,9 @@ def refunds_done(changes: DataFrame) -> DataFrame:
     )
 
 
-def matched_refund_payments(payments: DataFrame, refunds: DataFrame, orders: DataFrame, near_refund: Column | None = None, near_order: Column | None = None) -> DataFrame:
+def matched_refund_payments(payments: DataFrame, refunds: DataFrame, orders: DataFrame) -> DataFrame:
     same = (F.col("order_id") == F.col("done_order_id")) & (F.col("sku_id") == F.col("done_sku_id"))
-    both = payments.join(refunds, _matched(same, near_refund)).drop("done_at")  # a stream carries one event time
-    return both.join(orders, _matched(F.col("order_id") == F.col("state_order_id"), near_order))
+    return payments.join(refunds, same).join(orders, F.col("order_id") == F.col("state_order_id"))
 
 
 def named_refund_payments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from stratamart.operators.merge import latest_per_key
+from stratamart.sinks.keyed import (  # noqa: F401  (tables of current rows are sinks too)
+    _add, _fs, _names, _read, current_rows, delete_rows, drop_folder, forget_deleted, merge_rows,
+)
 
 
 def write_partition(df: DataFrame, path: str, day: dt.date | str, column: str = "dt", fmt: str = "parquet") -> None:
@@ -62,76 +64,15 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-# Columns that a table of current rows keeps beside its own.
-BUCKET, VERSION, DELETED = "_bucket", "_version", "_deleted"
-
-
-def merge_rows(df: DataFrame, path: str, keys: Sequence[str], version: Sequence[str] = (), deleted: Column | None = None, buckets: int = 64) -> None:
-    """Merge rows into a table of current rows by key.
-
-    Rows lie in buckets by a hash of the key.  Only the buckets that ``df`` touches are read; the newest row of each key by ``version`` (columns
-    of ``df``) goes to a folder beside the table, and from there replaces those buckets.  At one version a deletion beats a row, and an
-    incoming row a stored one.  A deleted key stays as a flagged row with its version, so neither a repeated batch nor a late older row brings it
-    back; ``forget_deleted`` drops such rows when their time is over.  Merging a batch again changes nothing.
-    """
-    spark = df.sparkSession
-    rest = [c for c in df.columns if c not in keys]
-    rows = df.select(
-        *keys, F.struct(*rest).alias("_row"), (F.struct(*version) if version else F.struct(F.lit(0).alias("at"))).alias(VERSION),
-        F.coalesce(deleted if deleted is not None else F.lit(False), F.lit(False)).alias(DELETED), F.lit(True).alias("_new"),
-    ).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    order = [VERSION, DELETED, "_new"]
-    rows = latest_per_key(rows, [BUCKET, *keys], order).persist()
-    try:
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-        if not touched:
-            return
-        stored = _stored(spark, path)
-        if stored is not None:
-            old = stored.filter(F.col(BUCKET).isin(touched)).select(BUCKET, *keys, F.struct(*rest).alias("_row"), VERSION, DELETED, F.lit(False).alias("_new"))
-            rows_now = latest_per_key(rows.select(BUCKET, *keys, "_row", VERSION, DELETED, "_new").unionByName(old), [BUCKET, *keys], order)
-        else:
-            rows_now = rows
-        staging = f"{path.rstrip('/')}-staging"
-        columns = [*keys, "_row.*", VERSION, DELETED, BUCKET]
-        rows_now.select(*columns).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-        spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-    finally:
-        rows.unpersist()
-
-
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException as e:  # nothing has been merged yet
+    except AnalysisException as e:  # nothing has been written yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
 
 
-def current_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a merged table that are not deleted."""
-    return spark.read.parquet(path).filter(~F.col(DELETED)).drop(BUCKET, VERSION, DELETED)
-
-
-def delete_rows(keys_gone: DataFrame, path: str, keys: Sequence[str], version: Mapping[str, object]) -> None:
-    """Delete keys as of a version, whether a row of theirs has come yet or not."""
-    stored = _stored(keys_gone.sparkSession, path)
-    kinds = {f.name: f.dataType for f in stored.schema} if stored is not None else {}
-    rest = [c for c in kinds if c not in (*keys, BUCKET, VERSION, DELETED)]
-    rows = keys_gone.select(*keys, *[F.lit(version.get(c)).cast(kinds[c]).alias(c) for c in rest], *[F.lit(v).alias(c) for c, v in version.items() if c not in rest])
-    merge_rows(rows, path, keys, list(version), F.lit(True))
-
-
-def forget_deleted(spark: SparkSession, path: str, before: Column) -> None:
-    """Drop flagged rows whose version satisfies ``before``: the stated retention has passed."""
-    stored = spark.read.parquet(path)
-    staging = f"{path.rstrip('/')}-staging"
-    old = stored.filter(F.col(DELETED) & before).select(BUCKET).distinct()
-    stored.join(old, BUCKET, "left_semi").filter(~(F.col(DELETED) & before)).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    spark.read.schema(stored.schema).parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-
-
 def accumulate_report(spark: SparkSession, new: DataFrame, path: str) -> str:
     """Add rows to a report once, however often the run is repeated.
 
@@ -180,3 +121,80 @@ def write_day_buckets(df: DataFrame, path: str, batch: int | str, rows_per_file:
     """Lines by day; a batch written again replaces its own files and no others."""
     out = df.withColumn("batch", F.lit(str(batch)))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy("batch", "day").text(path)
+
+
+def pack_day(spark: SparkSession, path: str, day: str, file_bytes: int = 128 << 20, older_than: str | None = None) -> int:
+    """Lines of one day that many batches left in small files, in files of about ``file_bytes``; returns their number.
+
+    The files are packed by their measured sizes: whole files go side by side until a bin is full, a larger one is split.  ``older_than`` (a batch mark, compared
+    as a number) leaves the files of younger batches alone, which may still be written again.  The packed files lie under ``packed/`` and are added before the small ones go; a run
+    that stops in between is made good by the next one, which finds in the names of the packed folder what it holds already.
+    """
+    root = path.rstrip("/")
+    fs, hadoop = _fs(spark, root)
+    packed = f"{root}/packed/day={day}"
+    done, stopped = set(), []
+    for name in _names(spark, packed):
+        if "_batches" in _names(spark, f"{packed}/{name}"):
+            done |= set(_read(spark, f"{packed}/{name}/_batches").split())
+        else:
+            stopped.append(name)
+    for name in stopped:
+        drop_folder(spark, f"{packed}/{name}")
+    batches = sorted(n.removeprefix("batch=") for n in _names(spark, root) if n.startswith("batch="))
+    small = [b for b in batches if f"day={day}" in _names(spark, f"{root}/batch={b}")]
+    small = [b for b in small if older_than is None or int(b) < int(older_than)]
+    new = [b for b in small if b not in done]
+    files = 0
+    if new:
+        folders = [f"{root}/batch={b}/day={day}" for b in new]
+        size = sum(fs.getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(f)).getLength() for f in folders)
+        files = max(1, -(-size // file_bytes))
+        target = f"{packed}/upto={new[-1]}"
+        spark.read.text(folders).coalesce(files).write.text(target)
+        _add(spark, f"{target}/_batches", "\n".join(new))
+    for b in small:
+        drop_folder(spark, f"{root}/batch={b}/day={day}")
+    return files
+
+
+def day_lines(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Lines of one day: packed ones, and those of batches that are not packed yet."""
+    root = path.rstrip("/")
+    packed = [f"{root}/packed/day={day}/{n}" for n in _names(spark, f"{root}/packed/day={day}")]
+    whole = [f for f in packed if "_batches" in _names(spark, f)]
+    done = {b for f in whole for b in _read(spark, f"{f}/_batches").split()}
+    loose = [f"{root}/{n}/day={day}" for n in _names(spark, root) if n.startswith("batch=") and n.removeprefix("batch=") not in done and f"day={day}" in _names(spark, f"{root}/{n}")]
+    return spark.read.text([*whole, *loose]) if whole or loose else spark.createDataFrame([], "value string")
+
+
+# ---- topics: sent once in effect ---------------------------------------------------------
+def outbox_messages(df: DataFrame, batch: int, key: str, topic_column: str | None = None) -> DataFrame:
+    """Messages with an id made of batch, topic, key and body, so that the same row of a batch bears the same id whenever it is sent; of equal rows the count tells them apart."""
+    out = topic_messages(df, key, topic_column)
+    if topic_column is None:
+        out = out.withColumn("topic", F.lit(None).cast("string"))
+    alike = out.groupBy("topic", "key", "value").agg(F.count(F.lit(1)).alias("_n"))  # equal rows are numbered by what they are, not by where they lie
+    out = alike.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("_n")
+    text = F.concat_ws("|", F.lit(str(batch)), F.coalesce("topic", F.lit("")), F.coalesce("key", F.lit("")), F.col("_i").cast("string"), "value")
+    return out.select(F.sha2(text, 256).alias("message_id"), F.lit(batch).cast("bigint").alias("batch"), "topic", "key", "value")
+
+
+def outbox_sink(path: str, send: Callable[[DataFrame], None], key: str, topic_column: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Each batch is first laid into the outbox, one folder per batch that a repeat replaces by the same, and sent from there with its message ids."""
+
+    def each(df: DataFrame, number: int) -> None:
+        folder = f"{path.rstrip('/')}/batch={number}"
+        outbox_messages(df, number, key, topic_column).drop("batch").write.mode("overwrite").parquet(folder)
+        send(df.sparkSession.read.parquet(folder))
+
+    return each
+
+
+def received_once(messages: DataFrame, delay: str | None = None, time: str = "timestamp") -> DataFrame:
+    """What a topic holds without repeats: the first message of each id.  On a stream, ``delay`` bounds for how long after a message its repeat is known."""
+    if not messages.isStreaming:
+        return messages.dropDuplicates(["message_id"])
+    if delay is None:
+        raise ValueError("a stream needs a delay within which a repeated batch comes")
+    return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark(["message_id"])

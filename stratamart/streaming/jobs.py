@@ -13,12 +13,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.functions.columns import millis_to_ts, money
-from stratamart.operators.cdc import LOG_POSITION, became, decode, fields, kept_side, log_position, of_table, routed_to_dimensions
+from stratamart.operators.cdc import LOG_POSITION, became, decode, fields, increase, kept_side, log_position, of_table, routed_to_dimensions
 from stratamart.operators.logs import parse, split
 from stratamart.operators.merge import latest_per_key, stack_sums
+from stratamart.operators.versions import as_of, validity_ranges
 from stratamart.plans import realtime
 from stratamart.session import tune_streams
+from stratamart.sinks.keyed import stored_rows
 from stratamart.sinks.tables import merge_rows, topic_messages
+from stratamart.streaming.touched import Side, by_touched_keys, deltas_by_touched_keys, summed_deltas
 from stratamart.streaming.visitors import repaired
 
 
@@ -68,9 +71,11 @@ def typed_log_job(logs: DataFrame, path: str, checkpoint: str):
 # ---- dimensions -----------------------------------------------------------------
 def current_config(changes: DataFrame) -> DataFrame:
     """The routing table after a series of changes to it: the newest row per source table, deletes gone."""
-    rows = changes.select("op", "ts_ms", kept_side().alias("row"))
-    named = rows.select("op", "ts_ms", (F.col("op") == "d").alias("gone"), *[F.col("row")[c].alias(c) for c in ("source_table", "sink_table", "sink_columns", "sink_row_key")])
-    return latest_per_key(named, ["source_table"], ["ts_ms", "gone"]).filter(F.col("op") != "d").drop("gone")
+    at = log_position() if "source" in changes.columns else [F.col("ts_ms")]
+    rows = changes.select("op", *at, kept_side().alias("row"))
+    order = [c for c in rows.columns if c not in ("op", "row")]
+    named = rows.select("op", *order, (F.col("op") == "d").alias("gone"), *[F.col("row")[c].alias(c) for c in ("source_table", "sink_table", "sink_columns", "sink_row_key")])
+    return latest_per_key(named, ["source_table"], [*order, "gone"]).filter(F.col("op") != "d").drop("gone", *order[1:])
 
 
 CELL_KEYS = ["sink_table", "row_key", "column_name"]
@@ -163,38 +168,117 @@ def order_detail_stream(cdc: DataFrame, delay: str = "5 seconds", spread: str =
     return joined.withColumn("date_id", millis_to_ts("create_time").cast("date")).select(*realtime.DETAIL, "line_time")
 
 
-def pay_suc_stream(lines: DataFrame, cdc: DataFrame, dictionary: DataFrame, delay: str = "5 seconds") -> DataFrame:
-    """Interval join of order lines (columns of the detail table) and successful payments."""
+def pay_suc_stream(lines: DataFrame, cdc: DataFrame, dictionary: DataFrame | None = None, delay: str = "5 seconds") -> DataFrame:
+    """Interval join of order lines (columns of the detail table) and successful payments.
+
+    A dictionary given here is bound for the life of the query; without one the rows go out with their code, for ``named_as_of`` to name per micro-batch.
+    """
     timed = lines.withColumn("line_time", millis_to_ts("ts_ms")).withWatermark("line_time", delay)
     payments = realtime.paid(decode(cdc)).withWatermark("pay_time", delay)
+    if dictionary is None:
+        return realtime.matched_payments(timed, payments)
     return realtime.paid_lines(timed, payments, dictionary)
 
 
-def _near(time: str, other: str, spread: str):
-    gap = F.expr(f"INTERVAL {spread}")
-    return (F.col(other) >= F.col(time) - gap) & (F.col(other) <= F.col(time) + gap)
+def dictionary_changes(cdc: DataFrame, table: str = "base_dic") -> DataFrame:
+    """Changes of the code dictionary, as rows to be kept: one per code and change."""
+    row = kept_side()
+    rows = of_table(decode(cdc), table).select(*[row[c].alias(c) for c in ("dic_code", "parent_code", "dic_name")], (F.col("op") == "d").alias("gone"), *log_position())
+    return rows.filter(F.col("dic_code").isNotNull())
 
 
-def order_cancel_stream(lines: DataFrame, cdc: DataFrame, delay: str = "5 seconds", spread: str = "1 day") -> DataFrame:
-    """Lines of orders cancelled within ``spread`` of the line; that bounds the state.  Start it under ``one_clock``."""
-    timed = lines.withColumn("line_time", millis_to_ts("ts_ms")).withWatermark("line_time", delay)
-    cancels = realtime.cancelled(decode(cdc)).withWatermark("cancel_at", delay)
-    return realtime.cancelled_lines(timed, cancels, _near("line_time", "cancel_at", spread))
+def keep_dictionary(batch: DataFrame, path: str) -> None:
+    """Add a micro-batch's dictionary changes to the kept versions."""
+    merge_rows(dictionary_changes(batch), path, ["dic_code", "parent_code", *LOG_POSITION])
+
+
+def named_as_of(rows: DataFrame, path: str, code: str, label: str, parent: str, time: str = "ts_ms", how: str = "inner") -> DataFrame:
+    """Rows with the name that their code had at their own time, from the dictionary versions kept at ``path``."""
+    kept = stored_rows(rows.sparkSession, path)
+    if kept is None:
+        named = rows.withColumn(label, F.lit(None).cast("string"))
+        return named if how == "left" else named.limit(0)
+    kept = kept.filter((F.col("parent_code") == parent) | F.col("gone"))
+    ranges = validity_ranges(kept.select("dic_code", "ts_ms", "dic_name", "gone", *LOG_POSITION[1:]), ["dic_code"], "ts_ms", LOG_POSITION[1:], F.col("gone"))
+    return as_of(rows, ranges, {code: "dic_code"}, time, {"dic_name": label}, how=how)
+
+
+def comment_job(cdc: DataFrame, path: str, checkpoint: str):
+    """Comments with the name that their appraisal had when they were made.
+
+    A batch's dictionary changes are kept before its comments are named, so a dictionary that changes halfway names each comment by its own time.  A change that comes after
+    comments of its time were named does not name them again.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            keep_dictionary(batch, f"{path}/dictionary")
+            rows = of_table(decode(batch), "comment_info").select(*fields(["id", "user_id", "sku_id", "appraise", "comment_txt"]), "ts_ms")
+            named = named_as_of(rows, f"{path}/dictionary", "appraise", "appraise_name", "12")
+            merge_rows(named.withColumn("appraise_key", F.md5("appraise")), f"{path}/result", ["id"], ["ts_ms"])
+        finally:
+            batch.unpersist()
+
+    return run(cdc, checkpoint, each)
+
+
+# Detail rows and captured changes travel in one stream, so that a batch holds both.
+def with_lines(lines: DataFrame, cdc: DataFrame) -> DataFrame:
+    """One stream of detail rows (``line``) and change texts (``value``)."""
+    line = F.struct(*realtime.DETAIL)
+    return lines.select(line.alias("line"), F.lit(None).cast("string").alias("value")).unionByName(cdc.select(F.lit(None).cast(lines.select(line.alias("l")).schema["l"].dataType).alias("line"), "value"))
+
+
+def _lines_of(batch: DataFrame) -> DataFrame:
+    return batch.filter("line is not null").select("line.*")
+
+
+def _changes_of(batch: DataFrame) -> DataFrame:
+    """Decoded changes with a mark of their own text, by which a repeated message is known."""
+    return decode(batch.filter("value is not null").select("value", F.sha2("value", 256).alias("message")))
+
+
+def order_cancel_job(lines: DataFrame, cdc: DataFrame, path: str, checkpoint: str):
+    """Lines of cancelled orders, however late the cancel or the line comes."""
+    sides = {
+        "lines": Side(_lines_of, ["order_id", "id"]),
+        "cancels": Side(lambda b: realtime.cancelled(_changes_of(b)).withColumnRenamed("cancel_order_id", "order_id"), ["order_id", "cancel_ts_ms"], ["cancel_ts_ms"]),
+    }
+
+    def build(lines: DataFrame, cancels: DataFrame) -> DataFrame:
+        return realtime.cancelled_lines(lines, cancels.withColumnRenamed("order_id", "cancel_order_id"))
+
+    return run(with_lines(lines, cdc), checkpoint, by_touched_keys(path, sides, ["order_id"], build, ["order_id", "id", "ts_ms"]))
 
 
-def refund_stream(cdc: DataFrame, delay: str = "3 seconds", spread: str = "1 day") -> DataFrame:
-    """Refunds asked for, with the order's change of state within ``spread``; codes are named by the sink."""
-    refunds = realtime.refunds_asked(decode(cdc)).withWatermark("asked_at", delay)
-    orders = realtime.order_places(decode(cdc), realtime.refunding()).withWatermark("state_at", delay)
-    return realtime.matched_refunds(refunds, orders, _near("asked_at", "state_at", spread))
+def _states(state) -> Side:
+    """Places of orders at changes of their state."""
+    return Side(lambda b: realtime.order_places(decode(b), state).withColumnRenamed("state_order_id", "order_id"), ["order_id", "state_at"], ["state_at"])
 
 
-def refund_pay_stream(cdc: DataFrame, delay: str = "3 seconds", spread: str = "1 day") -> DataFrame:
-    """Refund payments, with the refund and the order that end within ``spread`` of them; codes are named by the sink."""
-    payments = realtime.refund_payments(decode(cdc)).withWatermark("paid_at", delay)
-    refunds = realtime.refunds_done(decode(cdc)).withWatermark("done_at", delay)
-    orders = realtime.order_places(decode(cdc), became("order_status", "1006")).withWatermark("state_at", delay)
-    return realtime.matched_refund_payments(payments, refunds, orders, _near("paid_at", "done_at", spread), _near("paid_at", "state_at", spread))
+def refund_job(cdc: DataFrame, path: str, checkpoint: str, name: Callable[[DataFrame], DataFrame]):
+    """Refunds asked for, with the order's change of state, however far apart; ``name`` adds the labels."""
+    sides = {"refunds": Side(lambda b: realtime.refunds_asked(decode(b)), ["order_id", "id"]), "orders": _states(realtime.refunding())}
+
+    def build(refunds: DataFrame, orders: DataFrame) -> DataFrame:
+        return name(realtime.matched_refunds(refunds, orders.withColumnRenamed("order_id", "state_order_id")))
+
+    return run(cdc, checkpoint, by_touched_keys(path, sides, ["order_id"], build, ["order_id", "id"]))
+
+
+def refund_pay_job(cdc: DataFrame, path: str, checkpoint: str, name: Callable[[DataFrame], DataFrame]):
+    """Refund payments, with the refund and the order that end with them, however far apart; ``name`` adds the labels."""
+    sides = {
+        "payments": Side(lambda b: realtime.refund_payments(decode(b)), ["order_id", "id"]),
+        "refunds": Side(lambda b: realtime.refunds_done(decode(b)).withColumnRenamed("done_order_id", "order_id"), ["order_id", "done_sku_id", "done_at"], ["done_at"]),
+        "orders": _states(became("order_status", "1006")),
+    }
+
+    def build(payments: DataFrame, refunds: DataFrame, orders: DataFrame) -> DataFrame:
+        return name(realtime.matched_refund_payments(payments, refunds.withColumnRenamed("order_id", "done_order_id"), orders.withColumnRenamed("order_id", "state_order_id")))
+
+    return run(cdc, checkpoint, by_touched_keys(path, sides, ["order_id"], build, ["order_id", "id"]))
 
 
 def detail_job(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str, keys: list[str], name: Callable[[DataFrame], DataFrame] = lambda rows: rows):
@@ -246,21 +330,45 @@ def province_stream(lines: DataFrame) -> DataFrame:
     return stack_sums(keys, [orders, amounts], measures)
 
 
-def user_goods_stream(lines: DataFrame, carts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Orders, carts and comments of a user for a product, by the day of each."""
-    day = millis_to_ts("ts_ms").cast("date").alias("date_id")
-    keys = ["user_id", "sku_id", "date_id"]
-    orders = lines.dropDuplicates([*keys, "order_id"]).select(*keys, F.lit(1).alias("order_count"))
-    amounts = lines.select(
-        *keys, F.col("sku_num").cast("bigint").alias("order_num"), *[money(c, 16).alias(n) for n, c in realtime.AMOUNTS.items()]
-    )
-    added = carts.select("user_id", "sku_id", day, F.lit(1).alias("cart_add_count"), F.col("sku_num").alias("cart_add_num"))
-    said = comments.select(
-        "user_id", "sku_id", day, F.lit(1).alias("comment_count"), (F.col("appraise") == realtime.GOOD_COMMENT).cast("int").alias("good_comment_count")
-    )
-    counts = ("order_count", "order_num", "cart_add_count", "cart_add_num", "comment_count", "good_comment_count")
-    measures = {**{m: "bigint" for m in counts}, **{n: "decimal(28,2)" for n in realtime.AMOUNTS}}
-    return stack_sums(keys, [orders, amounts, added, said], measures)
+def user_goods_job(lines: DataFrame, cdc: DataFrame, path: str, checkpoint: str, dictionary: Callable[[], DataFrame]):
+    """Orders of a user for a product and day, with all carts and comments of the two: the table of ``rt_dws_user_goods``, kept up by retraction.
+
+    A cart or comment changes the rows of all order days of its user and product, so these are made anew from the kept sides.
+    """
+    pair = ["user_id", "sku_id"]
+
+    def carts(batch: DataFrame) -> DataFrame:
+        rows = of_table(_changes_of(batch), "cart_info").select(*fields(["id", *pair]), increase("sku_num").alias("sku_num"), "ts_ms", "message")
+        return rows.filter(F.col("sku_num").isNotNull())
+
+    sides = {
+        "lines": Side(_lines_of, [*pair, "order_id", "id"]),
+        "carts": Side(carts, [*pair, "message"]),
+        "comments": Side(lambda b: realtime.rt_dwd_comment(_changes_of(b), dictionary()), [*pair, "id", "ts_ms"]),
+    }
+    return run(with_lines(lines, cdc), checkpoint, by_touched_keys(path, sides, pair, lambda lines, carts, comments: realtime.rt_dws_user_goods(lines, carts, comments), [*pair, "date_id"]))
+
+
+PROVINCE_DAY, PROVINCE_MEASURES = ["province_id", "date_id"], ["order_count", "order_num", *realtime.AMOUNTS]
+
+
+def province_job(lines: DataFrame, path: str, checkpoint: str, name: str):
+    """Orders and amounts per province and day, exact at any lateness and without streaming state.
+
+    An order counts once in its day, whatever number of its lines come and when; ``name`` tells this checkpoint from others.  ``province_totals`` reads the sums.
+    """
+
+    def orders(lines: DataFrame) -> DataFrame:
+        amounts = [F.sum(money(c, 16)).alias(n) for n, c in realtime.AMOUNTS.items()]
+        per_order = lines.groupBy("order_id", *PROVINCE_DAY).agg(F.sum(F.col("sku_num").cast("bigint")).alias("order_num"), *amounts)
+        return per_order.withColumn("order_count", F.lit(1).cast("bigint"))
+
+    sides = {"lines": Side(lambda b: b.select(*realtime.DETAIL), ["order_id", "id"])}
+    return run(lines, checkpoint, deltas_by_touched_keys(path, sides, ["order_id"], orders, PROVINCE_DAY, PROVINCE_MEASURES, name))
+
+
+def province_totals(spark: SparkSession, path: str) -> DataFrame:
+    return summed_deltas(spark, path, PROVINCE_DAY, PROVINCE_MEASURES).filter("order_count > 0")
 
 
 def keyed_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:

@@ -199,3 +199,40 @@ def test_word_flags(spark):
     words = spark.createDataFrame([("bad",), ("worse",)], "word string")
     got = rows(flag_words(docs, words, "text", ["id"]).select("id", "hits"))
     assert got == [(1, 1), (2, 0), (3, 0), (4, 1)]
+
+
+def test_closure_of_a_deep_tree_and_circles(spark):
+    from stratamart.operators.hierarchy import closure
+
+    tree = [(i, i - 1 if i else None) for i in range(13)] + [(100, 12), (101, 999)]  # depth 12, a branch, a parent that is no row
+    circle = [(201, 202), (202, 203), (203, 201), (204, 203)]
+    up, lost = closure(spark.createDataFrame(tree + circle, "id int, parent_id int"))
+    parent = dict(tree)
+    want = set()
+    for i in parent:
+        at, d = i, 0
+        while at is not None and at in parent:
+            want.add((i, at, d))
+            at, d = parent[at], d + 1
+    assert {tuple(r) for r in up.collect()} == want
+    assert {tuple(r) for r in lost.collect()} == {(201, 201), (202, 201), (203, 201), (204, 201)}
+
+
+def test_lookup_as_of_equals_a_scan_over_all_states(spark):
+    import random
+
+    from stratamart.operators.versions import as_of, validity_ranges
+
+    pick = random.Random(4)
+    changes = [(f"c{pick.randint(0, 4)}", pick.randint(-50, 5000), f"n{i}", i, pick.random() < 0.2) for i in range(60)]
+    facts = [(i, None if i % 40 == 0 else f"c{min(pick.randint(0, 30), 5)}", None if i % 55 == 0 else pick.randint(-100, 6000)) for i in range(1500)]
+    ranges = validity_ranges(spark.createDataFrame(changes, "code string, ts bigint, name string, pos int, gone boolean"), ["code"], "ts", ["pos"], F.col("gone"))
+    got = as_of(spark.createDataFrame(facts, "id int, code string, at bigint"), ranges, {"code": "code"}, "at", {"name": "label"}, width=700)
+    want = []
+    for i, code, at in facts:
+        before = [(ts, pos, gone, name) for c, ts, name, pos, gone in changes if c == code and at is not None and ts <= at]
+        last = max(before, default=None)
+        want.append((i, code, at, None if last is None or last[2] else last[3]))
+    assert rows(got) == sorted(want, key=str)
+    inner = as_of(spark.createDataFrame(facts, "id int, code string, at bigint"), ranges, {"code": "code"}, "at", {"name": "label"}, width=700, how="inner")
+    assert inner.count() == sum(w[3] is not None for w in want)

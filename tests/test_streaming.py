@@ -12,7 +12,7 @@ from stratamart.operators.logs import parse, repair_is_new, split
 from stratamart.plans import realtime
 from stratamart.sinks.tables import current_rows
 from stratamart.sources.readers import file_stream
-from stratamart.streaming import jobs
+from stratamart.streaming import jobs, touched
 
 ZONE = "GMT+8"
 DAY = 86_400_000
@@ -245,24 +245,127 @@ REFUNDS = CDC + [
 ]
 
 
+LATE = REFUNDS + [
+    # the cancel of order 3 comes three days later, and so do refund states of order 2
+    change("order_info", "u", T0 + 3 * DAY, {"id": "3", "operate_time": "2024-01-04 00:00:00", "order_status": "1003"}, {"order_status": "1001"}),
+    change("order_refund_info", "c", T0 + MINUTE, {"id": "r2", "user_id": "u1", "order_id": "2", "sku_id": "s2", "refund_type": "1501", "refund_num": 1, "refund_amount": "4.00",
+                                                    "refund_reason_type": "1301", "refund_reason_txt": "t", "create_time": "2024-01-01 00:01:00"}),
+    change("order_info", "u", T0 + 5 * DAY, {"id": "2", "user_id": "u1", "province_id": "9", "order_status": "1005"}, {"order_status": "1002"}),
+    change("refund_payment", "u", T0 + 6 * DAY, {"id": "p2", "order_id": "2", "sku_id": "s2", "payment_type": "1101", "callback_time": "2024-01-07 00:00:00", "total_amount": "4.00",
+                                                  "refund_status": "1602"}, {"refund_status": "0701"}),
+    change("order_refund_info", "u", T0 + 2 * DAY, {"id": "r2", "order_id": "2", "sku_id": "s2", "refund_num": 1, "refund_status": "0705"}, {"refund_status": "0701"}),
+    change("order_info", "u", T0 + 9 * DAY, {"id": "2", "user_id": "u1", "province_id": "9", "order_status": "1006"}, {"order_status": "1005"}),
+]
+
+
+def line_stream(spark, tmp_path, lines, files=1):
+    lines.repartition(files).write.json(str(tmp_path / "lines"))
+    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "lines"))
+
+
 @pytest.mark.parametrize("files", [1, 4])
-def test_cancel_and_refund_streams_equal_batch(spark, tmp_path, files):
+def test_late_cancels_and_refunds_equal_batch(spark, tmp_path, files):
     dic = spark.createDataFrame([("1101", "card", "11"), ("1501", "money", "15"), ("1301", "late", "13")], "dic_code string, dic_name string, parent_code string")
-    ch = decode(spark.createDataFrame([(v,) for v in REFUNDS], "value string"))
+    ch = decode(spark.createDataFrame([(v,) for v in LATE], "value string"))
     lines = realtime.rt_dwd_order_detail(ch)
-    lines.coalesce(1).write.json(str(tmp_path / "lines"))
-    source = write_files(tmp_path / "in", REFUNDS, files)
+    source = write_files(tmp_path / "in", LATE, files)
     cdc = file_stream(spark, source, files_per_batch=1)
-    line_stream = spark.readStream.schema(lines.schema).json(str(tmp_path / "lines"))
-    for name, stream, keys, label, want in (
-        ("cancel", jobs.order_cancel_stream(line_stream, cdc), ["id"], lambda r: r, realtime.rt_dwd_order_cancel(lines, ch)),
-        ("refund", jobs.refund_stream(cdc), ["id"], lambda r: realtime.named_refunds(r, dic), realtime.rt_dwd_refund(ch, dic)),
-        ("pay", jobs.refund_pay_stream(cdc), ["id"], lambda r: realtime.named_refund_payments(r, dic), realtime.rt_dwd_refund_pay(ch, dic)),
-    ):
-        jobs.detail_job(spark, stream, str(tmp_path / name), str(tmp_path / f"{name}-cp"), keys, label).awaitTermination(180)
-        got = current_rows(spark, str(tmp_path / name))
-        assert rows(got.select(*want.columns)) == rows(want) and want.count() > 0
-        assert got.filter("proc_time is null").count() == 0
+    order_lines = line_stream(spark, tmp_path, lines, files)
+    wanted = {
+        "cancel": (realtime.rt_dwd_order_cancel(lines, ch), lambda p, c: jobs.order_cancel_job(order_lines, cdc, p, c)),
+        "refund": (realtime.rt_dwd_refund(ch, dic), lambda p, c: jobs.refund_job(cdc, p, c, lambda r: realtime.named_refunds(r, dic))),
+        "pay": (realtime.rt_dwd_refund_pay(ch, dic), lambda p, c: jobs.refund_pay_job(cdc, p, c, lambda r: realtime.named_refund_payments(r, dic))),
+    }
+    for name, (want, job) in wanted.items():
+        job(str(tmp_path / name), str(tmp_path / f"{name}-cp")).awaitTermination(180)
+        assert rows(touched.result(spark, str(tmp_path / name)).select(*want.columns)) == rows(want) and want.count() >= 2
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_user_goods_are_kept_up_by_retraction(spark, tmp_path, dic, files):
+    ch = decode(spark.createDataFrame([(v,) for v in CDC], "value string"))
+    lines = realtime.rt_dwd_order_detail(ch)
+    source = write_files(tmp_path / "in", CDC[::-1], files)  # carts and comments before the orders
+    jobs.user_goods_job(line_stream(spark, tmp_path, lines, files), file_stream(spark, source, 1), str(tmp_path / "g"), str(tmp_path / "cp"), lambda: dic).awaitTermination(180)
+    want = realtime.rt_dws_user_goods(lines, realtime.rt_dwd_cart_add(ch), realtime.rt_dwd_comment(ch, dic))
+    assert rows(touched.result(spark, str(tmp_path / "g")).select(*want.columns)) == rows(want)
+
+
+def test_province_days_count_each_order_once_however_late(spark, tmp_path):
+    lines = realtime.rt_dwd_order_detail(changes(spark))
+    stream = line_stream(spark, tmp_path, lines.unionByName(lines.filter("id = '1-1'")), 4)
+    late = order("50", T0 + 5000) + order("51", T0 + 9 * DAY)
+    out = str(tmp_path / "p")
+    query = jobs.province_job(stream, out, str(tmp_path / "cp"), "a")
+    query.awaitTermination(180)
+    assert query.lastProgress is None or not query.lastProgress["stateOperators"]  # nothing is held between batches
+    everything = lines.unionByName(realtime.rt_dwd_order_detail(decode(spark.createDataFrame([(v,) for v in late], "value string"))))
+    everything.filter("order_id in ('50', '51')").coalesce(1).write.mode("append").json(str(tmp_path / "lines"))
+    for run in ("cp", "cp2"):  # goes on; and a new checkpoint that delivers all again
+        jobs.province_job(stream, out, str(tmp_path / run), run).awaitTermination(180)
+        want = realtime.rt_dws_province(everything)
+        got = jobs.province_totals(spark, out)
+        assert rows(got.select(*want.columns)) == rows(want)
+    touched.fold_deltas(spark, out, jobs.PROVINCE_DAY, jobs.PROVINCE_MEASURES, "cp2/3")
+    assert rows(jobs.province_totals(spark, out).select(*want.columns)) == rows(want)
+
+
+def test_a_repeated_batch_changes_no_sum(spark, tmp_path):
+    lines = realtime.rt_dwd_order_detail(changes(spark))
+    sides = {"lines": touched.Side(lambda b: b, ["order_id", "id"])}
+    build = lambda lines: lines.groupBy("order_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    each = touched.deltas_by_touched_keys(str(tmp_path / "t"), sides, ["order_id"], build, ["user_id"], ["n"], "r")
+    for number in (0, 1, 1, 1, 2):
+        each(lines.filter(f"pmod(xxhash64(id), 3) = {number}"), number)
+    want = lines.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(touched.summed_deltas(spark, str(tmp_path / "t"), ["user_id"], ["n"]).select("user_id", "n")) == rows(want)
+
+
+def dictionary(op, ts, code, name, parent="12"):
+    return change("base_dic", op, ts, {"dic_code": code, "parent_code": parent, "dic_name": name})
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_comments_bear_the_label_of_their_own_time(spark, tmp_path, files):
+    say = lambda i, ts: change("comment_info", "c", ts, {"id": i, "user_id": "u", "sku_id": "s", "appraise": "1201", "comment_txt": "t"})
+    lines = [dictionary("r", T0, "1201", "good"), say("1", T0 + 1), say("2", T0 + DAY), dictionary("u", T0 + 2 * DAY, "1201", "very good"), say("3", T0 + 2 * DAY),
+             say("0", T0 - 1), say("4", T0 + 40 * DAY), dictionary("c", T0, "1201", "other", "99")]
+    jobs.comment_job(file_stream(spark, write_files(tmp_path / "in", lines, files), 1), str(tmp_path / "c"), str(tmp_path / "cp")).awaitTermination(180)
+    got = {r["id"]: r["appraise_name"] for r in touched.result(spark, str(tmp_path / "c")).collect()}
+    assert got == {"1": "good", "2": "good", "3": "very good", "4": "very good"}
+
+
+def test_paid_lines_are_named_as_of_the_payment(spark, tmp_path):
+    lines = realtime.rt_dwd_order_detail(changes(spark))
+    kept = str(tmp_path / "dic")
+    versions = [dictionary("r", T0, "1101", "old", "11"), dictionary("u", T0 + 10 * MINUTE, "1101", "new", "11")]
+    jobs.keep_dictionary(spark.createDataFrame([(v,) for v in versions], "value string"), kept)
+    stream = jobs.pay_suc_stream(line_stream(spark, tmp_path, lines), file_stream(spark, write_files(tmp_path / "in", CDC, 1)))
+    name = lambda b: realtime.paid_columns(jobs.named_as_of(b, kept, "payment_type", "payment_type_name", "11", "pay_ts_ms"))
+    jobs.detail_job(spark, stream, str(tmp_path / "paid"), str(tmp_path / "cp"), ["order_detail_id"], name).awaitTermination(180)
+    got = {r["order_detail_id"]: r["payment_type_name"] for r in current_rows(spark, str(tmp_path / "paid")).collect()}
+    assert got == {"1-1": "new", "1-2": "new", "3-1": "old", "3-2": "old"}  # paid after 29 minutes and after two
+
+
+@pytest.mark.parametrize("files", [1, 2, 5])
+def test_a_long_silence_starts_a_device_anew_however_lines_are_batched(spark, tmp_path, files):
+    days = [0, 1, 2, 9, 10, 30, 30, 31]
+    lines = [log_line("z", T0 + d * DAY + i, "1", page={"page_id": "a"}) for i, d in enumerate(days)] + [log_line(None, T0, "1", page={"page_id": "x"})]
+    stream = file_stream(spark, write_files(tmp_path / "in", lines, files), files_per_batch=1)
+    jobs.log_split_job(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ZONE, 5 * DAY).awaitTermination(180)
+    got = {(r["mid"], r["ts"]): r["is_new"] for r in spark.read.json(str(tmp_path / "out")).collect()}
+    fresh = {0, 9, 30}  # the days on which a life begins
+    assert got == {("z", T0 + d * DAY + i): "1" if d in fresh else "0" for i, d in enumerate(days)} | {(None, T0): "1"}
+
+
+def test_typed_log_job(spark, tmp_path):
+    source = write_files(tmp_path / "in", [*LOGS, json.dumps({"log_type": "x", "ts": T0})], 3)
+    jobs.typed_log_job(file_stream(spark, source, 1), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    from stratamart.plans.refund import rf_log_route
+
+    want = rf_log_route(spark.read.text(source))
+    got = spark.read.json(str(tmp_path / "out")).select(*want.columns)
+    assert rows(got) == rows(want) and want.count() > 0
 
 
 def test_topic_sink_sends_the_newest_row_of_a_key(spark, tmp_path):

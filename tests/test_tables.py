@@ -7,7 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stratamart.sinks import tables
+from stratamart.operators.surrogates import NUMBER, assign_keys
+from stratamart.sinks import keyed, tables
 from stratamart.sources import readers
 from stratamart.streaming import jobs, times
 
@@ -50,6 +51,52 @@ def test_merged_rows(spark, tmp_path):
     assert read() == [("a", "new"), ("b", "1"), ("c", "1")]
 
 
+def test_a_delete_may_come_before_the_first_row(spark, tmp_path):
+    path = str(tmp_path / "k")
+    tables.delete_rows(spark.createDataFrame([("a",)], "id string"), path, ["id"], {"ts": 5})
+    assert tables.current_rows(spark, path).count() == 0
+    rows_ = spark.createDataFrame([("a", "old", 4, 1.5), ("b", "x", 1, 2.5)], "id string, v string, ts bigint, w double")
+    tables.merge_rows(rows_, path, ["id"], ["ts"])
+    assert rows(tables.current_rows(spark, path).select("id", "v", "w")) == [("b", "x", 2.5)]
+    tables.merge_rows(spark.createDataFrame([("a", "new", 6)], "id string, v string, ts bigint"), path, ["id"], ["ts"])
+    assert rows(tables.current_rows(spark, path).select("id", "v", "w")) == [("a", "new", None), ("b", "x", 2.5)]
+
+
+def test_forgotten_rows_leave_also_a_bucket_that_ends_empty(spark, tmp_path):
+    path = str(tmp_path / "k")
+    tables.delete_rows(spark.createDataFrame([("a",), ("b",)], "id string"), path, ["id"], {"ts": 5})
+    assert keyed.stored_rows(spark, path).count() == 2
+    tables.forget_deleted(spark, path, F.col("_version.ts") < 6)
+    assert keyed.stored_rows(spark, path).count() == 0 and keyed.manifest(spark, path).held == {}
+
+
+def test_a_small_load_touches_few_buckets_of_a_large_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 100)
+    path = str(tmp_path / "k")
+    big = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"), F.lit(1).alias("ts"))
+    tables.merge_rows(big, path, ["id"], ["ts"])
+    before = keyed.manifest(spark, path)
+    assert before.buckets == 256 and before.rows == 20_000  # the number of buckets follows the table
+    tables.merge_rows(big.filter("id < 10").withColumn("v", F.lit(2)).withColumn("ts", F.lit(2)), path, ["id"], ["ts"])
+    after = keyed.manifest(spark, path)
+    changed = [b for b in after.held if after.held[b] != before.held.get(b)]
+    assert len(changed) <= 10 and sum(after.held[b][1] for b in changed) < 2_000
+    assert tables.current_rows(spark, path).agg(F.sum("v")).first()[0] == 20_010
+
+
+def test_a_load_that_fails_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "k")
+    first = spark.createDataFrame([("a", 1)], "id string, ts bigint")
+    tables.merge_rows(first, path, ["id"], ["ts"])
+    monkeypatch.setattr(keyed, "_add", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.merge_rows(spark.createDataFrame([("a", 2), ("b", 2)], "id string, ts bigint"), path, ["id"], ["ts"])
+    assert rows(tables.current_rows(spark, path)) == [("a", 1)]
+    monkeypatch.undo()
+    tables.merge_rows(spark.createDataFrame([("a", 2), ("b", 2)], "id string, ts bigint"), path, ["id"], ["ts"])
+    assert rows(tables.current_rows(spark, path)) == [("a", 2), ("b", 2)]
+
+
 @pytest.mark.parametrize("order", [(0, 1), (1, 0)])
 def test_delete_wins_within_one_millisecond(spark, tmp_path, order):
     both = [("a", "x", 5, False), ("a", None, 5, True)]
@@ -75,6 +122,113 @@ def test_day_buckets(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "b")).count() == 4
 
 
+def test_small_files_of_a_day_are_packed(spark, tmp_path):
+    path = str(tmp_path / "b")
+    texts = [json.dumps({"ts": 1704067200000 + i, "pad": "x" * 200}) for i in range(400)]
+    for batch in range(20):
+        some = spark.createDataFrame([(v,) for v in texts[batch * 20 : batch * 20 + 20]], "value string")
+        tables.write_day_buckets(tables.with_day_bucket(some), path, batch)
+    read = lambda: sorted(r[0] for r in tables.day_lines(spark, path, "20240101").collect())
+    assert read() == sorted(texts)
+    assert tables.pack_day(spark, path, "20240101", file_bytes=20_000, older_than="15") == 4
+    assert read() == sorted(texts)
+    tables.write_day_buckets(tables.with_day_bucket(some), path, 19)  # a young batch is written again
+    tables.pack_day(spark, path, "20240101", file_bytes=1 << 20)
+    assert tables.pack_day(spark, path, "20240101", file_bytes=1 << 20) == 0
+    assert read() == sorted(texts)
+    assert len(list((tmp_path / "b").rglob("part-*.txt"))) <= 6
+
+
+def test_a_stopped_packing_loses_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    lines = tables.with_day_bucket(spark.createDataFrame([(json.dumps({"ts": 1704067200000 + i}),) for i in range(30)], "value string"))
+    for batch in range(3):
+        tables.write_day_buckets(lines.filter(f"pmod(xxhash64(value), 3) = {batch}"), path, batch)
+    for broken in ("_add", "drop_folder"):  # before the packed files count, and before the small ones go
+        with monkeypatch.context() as m:
+            m.setattr(tables, broken, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                tables.pack_day(spark, path, "20240101")
+        assert tables.day_lines(spark, path, "20240101").count() == 30
+    tables.pack_day(spark, path, "20240101")
+    assert tables.day_lines(spark, path, "20240101").count() == 30
+
+
+def test_messages_of_a_repeated_batch_are_read_once(spark, tmp_path):
+    sent = str(tmp_path / "topic")
+    sink = tables.outbox_sink(str(tmp_path / "outbox"), lambda m: m.write.mode("append").parquet(sent), "id", "sink")
+    batch = spark.createDataFrame([("a", 1, "t1"), ("a", 1, "t1"), ("b", 2, "t2")], "id string, v int, sink string")
+    for number in (0, 0, 1):
+        sink(batch, number)
+    messages = spark.read.parquet(sent)
+    assert messages.count() == 9
+    once = tables.received_once(messages)
+    assert once.count() == 6 and once.filter("key = 'a'").count() == 4
+    stream = spark.readStream.schema(messages.schema).parquet(sent).withColumn("timestamp", F.current_timestamp())
+    got = []
+    jobs.run(tables.received_once(stream, "1 hour"), str(tmp_path / "cp"), lambda b, n: got.extend(b.collect())).awaitTermination(120)
+    assert len(got) == 6
+    with pytest.raises(ValueError):
+        tables.received_once(stream)
+
+
+def test_surrogate_keys_are_dense_and_stable(spark, tmp_path):
+    path = str(tmp_path / "map")
+    first = spark.range(1000).select(F.concat(F.lit("k"), F.col("id")).alias("code"), F.col("id").alias("v"))
+    one = assign_keys(first.unionByName(first), path, ["code"])
+    assert one.count() == 2000
+    numbers = sorted({r[NUMBER] for r in one.collect()})
+    assert numbers == list(range(1, 1001))
+    again = {r["code"]: r[NUMBER] for r in assign_keys(first, path, ["code"]).collect()}
+    assert again == {r["code"]: r[NUMBER] for r in one.collect()}
+    more = spark.createDataFrame([("k5", 1), ("new", 2), (None, 3), (None, 4)], "code string, v bigint")
+    got = {r["code"]: r[NUMBER] for r in assign_keys(more, path, ["code"]).collect()}
+    assert got["k5"] == again["k5"] and sorted([got["new"], got[None]]) == [1001, 1002]
+
+
+def test_surrogate_keys_do_not_repeat_at_a_million(spark, tmp_path):
+    many = spark.range(1_000_000).select(F.md5(F.col("id").cast("string")).alias("code"))
+    got = assign_keys(many, str(tmp_path / "map"), ["code"]).agg(F.countDistinct(NUMBER).alias("n"), F.min(NUMBER).alias("a"), F.max(NUMBER).alias("b")).first()
+    assert tuple(got) == (1_000_000, 1, 1_000_000)
+
+
+def view(ts, page, session="s1", mid="m1", channel="c"):
+    return json.dumps({"common": {"mid": mid, "sid": session, "ch": channel, "is_new": "1"}, "page": {"page_id": page, "during_time": 5}, "ts": ts})
+
+
+def test_the_log_is_loaded_in_steps_and_reports_prune_its_days(spark, tmp_path):
+    from stratamart.sinks import log_layer
+    from stratamart.warehouse import Warehouse
+
+    day, t0 = 86_400_000, 1_704_067_200_000
+    steps = [
+        [view(t0 + i, "home") for i in range(3)] + [view(t0 + day, "home", "s2")],
+        [view(t0 + 40 * day, "home", "s3", "m2"), view(t0 + 5, "cart")],  # a late line goes to its own day
+        [view(t0 + 39 * day, "cart", "s4", "m3", "d")],
+    ]
+    import stratamart.plans  # noqa: F401
+
+    log = lambda lines: spark.createDataFrame([(v,) for v in lines], "log string")
+    path = str(tmp_path / "views")
+    for number in (0, 1, 1, 2):  # a step run again replaces itself
+        assert log_layer.load_step(log(steps[number]), path, number, "GMT+8") == len(steps[number])
+    stored = log_layer.page_views(spark, path)
+    settings = dict(as_of=dt.date(2024, 2, 10), zone="GMT+8")
+    raw = Warehouse(lambda name: {"ods_log": log(sum(steps, []))}[name], **settings)
+    kept = Warehouse(lambda name: {"dwd_page_view": stored}[name], stored={"dwd_page_view"}, **settings)
+    want = raw.table("dwd_page_view")
+    assert rows(stored.select(*want.columns)) == rows(want)
+    report = kept.table("ads_traffic_by_channel")
+    want = raw.table("ads_traffic_by_channel")
+    assert rows(report.select(*want.columns)) == rows(want) and want.count() > 0
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "from_json" not in plan
+    assert log_layer.views_of_day(spark, path, dt.date(2024, 1, 1)).count() == 4
+    untouched = {f: f.stat().st_mtime_ns for f in (tmp_path / "views").rglob("*.parquet")}
+    log_layer.load_step(log([view(t0 + 6, "pay")]), path, 3, "GMT+8")
+    assert all(f.stat().st_mtime_ns == t for f, t in untouched.items())
+
+
 def test_topic_messages(spark):
     df = spark.createDataFrame([(1, "t1")], "id int, sink string")
     row = tables.topic_messages(df, key="id", topic_column="sink").first()
