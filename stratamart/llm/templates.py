@@ -1,19 +1,20 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become template tokens: numbers, units and names turn into typed placeholders (slots), other words lose case and outer
-punctuation.  Windows of ``WINDOW`` template tokens of documents and benchmark items meet in a hash join.  Matches of one document
-and item on one alignment add up; an item counts as leaked where at least ``MIN_SHARE`` of its windows match, or a run that covers
-``MIN_TOKENS`` of its tokens.  Slots under matched windows are then compared: each value in the item must stand for one value in the
+punctuation.  Slots that stand side by side in a sentence are one: a number with its unit or number words ("$ 40", "40 dollars", "twenty five"), a name of several
+words.  Windows of ``WINDOW`` template tokens of documents and benchmark items meet in a hash join.  Matches of one document
+and item on neighbouring alignments (``NEAR`` tokens apart at most) add up, so a word more or less does not part them; an item counts as leaked where at least ``MIN_SHARE`` of its
+windows match, or as many as cover ``MIN_TOKENS`` of its tokens.  Slots under matched windows are then compared: each value in the item must stand for one value in the
 document and the other way round, so a re-parameterised question is caught and a chance meeting of placeholders is not.
 
-A name is a capitalised word that does not begin a sentence.  A window must hold at least half plain words.  Items of fewer than
-``WINDOW`` but at least ``MIN_ITEM`` tokens are one window of their own length; shorter items identify nothing and never match.
+A name is a capitalised word that does not begin a sentence.  A window with fewer plain words than slots is kept by its literal values instead of placeholders: it tells
+only verbatim copies, but those it does.  Items of fewer than ``WINDOW`` tokens are one window of their own length, below ``MIN_ITEM`` tokens by their literal values.
 
 Documents first pass a bitmap of the benchmark's window hashes, of fixed size whatever the benchmark's, so only windows that may match are shuffled.
 
-Defined cases: null and empty texts have no windows; an empty benchmark leaks nothing; rows repeated in id and text, or items repeated in text, are
+Defined cases: null and empty texts, and items without a word, have no windows; an empty benchmark leaks nothing; rows repeated in id and text, or items repeated in text, are
 counted once per document and item; an item that repeats a window, or a document that holds an item twice, is aligned at its best
-place; extra columns are not read.
+place (the most windows, then the later place); texts of any length are read whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import kept, stored, texts
+from stratamart.llm.common import found_by_workers, kept, stored, texts
 
 WINDOW, MIN_ITEM = 6, 5
 MIN_SHARE, MIN_TOKENS, MIN_CONSISTENT = 0.5, 13, 0.75
+#: Alignments of a document and an item that are taken together: their shifts differ by this at most.
+NEAR = 8
 #: Bits of the map of benchmark windows: 2^22 are 512 KB.
 MAP_BITS = 22
 #: Contaminated documents up to which their keys may be broadcast.
@@ -59,8 +62,8 @@ def tokens(word: str) -> list[tuple[int, str]]:
     if not low.isalpha() and (m := _NUMBER.match(low)):
         before, number, after = m.groups()
         return [(_UNIT, u) for u in (before,) if u] + [(_NUM, number)] + [(_UNIT, u) for u in (after,) if u]
-    if low in _numbers:
-        return [(_NUM, low)]
+    if low in _numbers or "-" in low and all(part in _numbers for part in low.split("-")):
+        return [(_NUM, low.replace("-", " "))]
     if low in _units and (len(low) > 2 or not low.isalpha() or low in ("km", "kg", "cm", "mm", "mg", "ml", "lb", "oz")):
         return [(_UNIT, low)]
     if bare[0].isupper() and bare[1:].islower() and len(bare) > 1:
@@ -118,41 +121,73 @@ class Lexicon:
             begin = np.repeat(np.cumsum(count) - count, count)
             ids, starts = np.repeat(ids, count), np.repeat(starts, count)
             nth = np.arange(len(ids)) - begin
+            starts &= nth == 0
             kind, hashes, values = (t[nth, ids] for t in (self.kind, self.hash, self.value))
         else:
             ids, starts = ids[one], starts[one]
             kind, hashes, values = (t[0][ids] for t in (self.kind, self.hash, self.value))
         first = (kind == _NAME) & starts  # the capital of a sentence's first word says nothing
-        return np.where(first, _PLAIN, kind), np.where(first, values, hashes), values
-
-
-def windows(kind: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of each window of this length with enough plain words."""
+        return collapsed(np.where(first, _PLAIN, kind), np.where(first, values, hashes), values, starts)
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_SLOT_HASH = {kind: np.uint64(xxhash.xxh64_intdigest(name)) for kind, name in _PLACEHOLDER.items()}
+
+
+def collapsed(kind: np.ndarray, hashes: np.ndarray, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots of one sort that follow each other in a sentence as one; numbers and units are one sort.  The value of such a slot is that of the sequence."""
+    sort = np.where(kind == _UNIT, _NUM, kind)
+    joins = (sort[1:] == sort[:-1]) & (sort[1:] != _PLAIN) & ~starts[1:]
+    if not joins.any():
+        return kind, hashes, values
+    begin = np.flatnonzero(np.r_[True, ~joins])
+    nth = np.arange(len(kind)) - np.repeat(begin, np.diff(np.r_[begin, len(kind)]))
+    power = np.cumprod(np.r_[np.uint64(1), np.full(int(nth.max()), _FACTOR, dtype=np.uint64)])
+    value = np.add.reduceat(values * power[nth], begin)
+    several = np.diff(np.r_[begin, len(kind)]) > 1
+    has_number = np.logical_or.reduceat(kind == _NUM, begin)
+    made = np.where(several & has_number, _NUM, kind[begin])
+    hashed = hashes[begin]
+    for k, h in _SLOT_HASH.items():
+        hashed = np.where(several & (made == k), h, hashed)
+    return made, hashed, value
+
+
+def windows(kind: np.ndarray, hashes: np.ndarray, values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each window of this length, of its template or, where plain words are too few to tell it, of its literal values; and which are literal."""
     n = len(kind) - length + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    h, factor = np.full(n, length, dtype=np.uint64), np.uint64(0x9E3779B97F4A7C15)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
+    h = np.full(n, length, dtype=np.uint64)
     plain = np.zeros(n, dtype=np.int16)
     for j in range(length):
-        h = (h ^ hashes[j : j + n]) * factor
+        h = (h ^ hashes[j : j + n]) * _FACTOR
         h ^= h >> np.uint64(29)
         plain += kind[j : j + n] == _PLAIN
-    good = 2 * plain >= length
-    return np.flatnonzero(good), h[good]
+    by_value = 2 * plain < length if length >= MIN_ITEM else np.ones(n, dtype=bool)
+    if by_value.any():
+        literal = np.flatnonzero(by_value)
+        g = np.full(len(literal), ~np.uint64(length), dtype=np.uint64)
+        for j in range(length):
+            g = (g ^ values[literal + j]) * _FACTOR
+            g ^= g >> np.uint64(29)
+        h[literal] = g
+    return h, by_value
 
 
 def _rows(key: dict, lexicon: Lexicon, text: str | None, lengths: list[int], wanted: np.ndarray | None) -> dict[str, list]:
     kind, hashes, values = lexicon.read(text or "")
     out: dict[str, list] = {"at": [], "size": [], "hash": [], "slots": []}
-    for length in lengths if wanted is not None else [min(WINDOW, len(kind))] * (len(kind) >= MIN_ITEM):
-        at, h = windows(kind, hashes, length)
+    for length in lengths if wanted is not None else [min(WINDOW, len(kind))] * (len(kind) > 0):
+        h, by_value = windows(kind, hashes, values, length)
         if wanted is not None and len(h):
             bit = h >> np.uint64(64 - MAP_BITS)
-            hit = wanted[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 > 0
-            at, h = at[hit], h[hit]
-        signed = h.view(np.int64)
+            at = np.flatnonzero(wanted[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+        else:
+            at = np.arange(len(h))
+        signed = h[at].view(np.int64)
         for a, x in zip(at.tolist(), signed.tolist()):
-            slots = values[a : a + length][kind[a : a + length] != _PLAIN].view(np.int64)
+            slots = values[a : a + length][(kind[a : a + length] != _PLAIN) & ~by_value[a]].view(np.int64)  # literal values are equal as they are
             out["at"].append(a)
             out["size"].append(length)
             out["hash"].append(x)
@@ -166,6 +201,7 @@ def _frame(parts: list[dict[str, list]], names: list[str]) -> pd.DataFrame:
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, at, size, hash, slots) of the benchmark's windows, ``at`` relative to the item."""
+    found_by_workers(benchmark.sparkSession)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon()
@@ -205,12 +241,15 @@ def document_windows(docs: DataFrame, wanted: np.ndarray, lengths: list[int]) ->
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per leaked item of a document: doc_id, text_hash, item_id, matched, share, consistency, reworded."""
     items = stored(item_windows(benchmark.filter("text is not null")))
-    lengths = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW - MIN_ITEM + 1 values
+    lengths = [r[0] for r in items.select("size").distinct().collect()]  # at most WINDOW values
     found = document_windows(docs, bitmap(items), lengths)
     key = ["doc_id", "text_hash", "item_id"]
     i = items.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"))
     # The hash joins; a document's window meets an item's once per place of the window in the item.
-    met = stored(found.join(i, "hash").withColumn("shift", F.col("at") - F.col("item_at")).drop("hash", "at"))
+    # Each shift is judged alone (even numbers) and in bands twice as wide as NEAR that overlap by half, so shifts within NEAR of each other share one (odd numbers).
+    shift = F.col("at") - F.col("item_at")
+    band = F.floor(shift / NEAR) * NEAR
+    met = stored(found.join(i, "hash").withColumn("shift", F.explode(F.array(2 * shift, 2 * band + 1, 2 * (band - NEAR) + 1))).drop("hash", "at"))
     runs = met.groupBy(*key, "shift").agg(F.countDistinct("item_at").alias("matched"), F.max("item_at").alias("hi"), F.min("item_at").alias("lo"), F.max("size").alias("size"))
     totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("windows"))
     runs = runs.join(totals, "item_id").withColumn("share", F.col("matched") / F.col("windows"))
