@@ -6,12 +6,14 @@ different characters come before).  All n-grams of all languages sit in one sort
 binary search.  The language with the lowest cross-entropy per character wins.
 
 The score is the winner's share after a softmax of the cross-entropies; a prediction is accepted where the winner's
-cross-entropy stays under a quantile of its own training texts, so text in no learned language is rejected.
+cross-entropy stays under a quantile of that of texts of its language from which nothing was learned, so text in no learned language is rejected.
 
-Training reads at most ``DOCS_PER_LANGUAGE`` texts of a language in expectation, picked by a hash; every text is scored whole.
+Training reads at most ``DOCS_PER_LANGUAGE`` texts of a language in expectation, picked by a hash, one in ``CALIBRATION`` of them for the limits alone; so many fewer
+of each language that the table keeps within ``CELLS``.  Every text is scored whole.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learned; rows
-without lang teach nothing; repeated rows are scored alike; extra columns are not read.
+Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learned (no rows, or none with lang); of languages
+with equal cross-entropy the first by name wins; rows without lang teach nothing; a language without a text for its limit accepts all; repeated rows are scored alike; texts of any
+length are read whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,15 +36,18 @@ UNIFORM = 1.0 / 4096
 #: Marks around a word that say nothing about its language.
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 DOCS_PER_LANGUAGE = 3_000
-#: n-grams of a language seen fewer times are left to shorter contexts.
-MIN_COUNT = 2
+#: One training text in so many is kept apart to set the limits of acceptance.
+CALIBRATION = 5
+#: Cells of the table of n-grams by languages that is sent to all tasks; with more languages fewer texts of each are read.
+CELLS = 1 << 26
 SHARPNESS = 6.0
 ACCEPT_QUANTILE = 0.999
 UNKNOWN = "und"
 #: Languages up to which their sizes may be broadcast; beyond, texts are shuffled by language.
 BROADCAST_LANGUAGES = 100_000
 _LETTER = re.compile(r"[^\W\d_]")
-_EDGE = "\0"
+#: The edge of a word.  Not NUL, at which the hash tables of pandas end a string.
+_EDGE = "\x02"
 FOLDS, HELD_OUT = 3, 1
 
 
@@ -146,10 +151,19 @@ def grams(pairs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, **how) -> Models | None:
     """Learn one model per language; None without any text to learn from.
 
-    The sample's bound also bounds what is gathered: its distinct n-grams seen MIN_COUNT times.
+    The sample's bound, and ``CELLS``, also bound what is gathered: its distinct n-grams.
     """
     picked = stored(sample(docs, **how))
-    found = grams(_pairs(picked)).filter((F.col("n") >= MIN_COUNT) | (F.length("gram") == 1)).toPandas()
+    apart = F.pmod(F.xxhash64(F.lit(13), "doc_id", "text"), F.lit(CALIBRATION)) == 0
+    learnt = picked.filter(~apart)
+    share = 1.0
+    while True:
+        counted = stored(grams(_pairs(learnt.filter(F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))))))
+        size = counted.agg(F.countDistinct("gram").alias("grams"), F.countDistinct("lang").alias("languages")).first()
+        if size["grams"] * size["languages"] <= CELLS or share < 1e-5:
+            break
+        share /= 2
+    found = counted.toPandas()
     if not len(found):
         return None
     languages = sorted(found["lang"].unique())
@@ -162,7 +176,7 @@ def train(docs: DataFrame, **how) -> Models | None:
     by["back"] = DISCOUNT * by["size"] / by["sum"]
     found = found.merge(by[["lang", "context", "sum"]], on=["lang", "context"])
     found["top"] = np.maximum(found["mass"] - DISCOUNT, 0) / found["sum"]
-    names = sorted(set(found["gram"]), key=lambda g: (len(g), g))
+    names = sorted(set(found["gram"]) | set(filter(None, found["context"])), key=lambda g: (len(g), g))  # the edge before a word is a context only
     place = {g: i for i, g in enumerate(names)}
     top, back, empty = np.zeros((len(names), len(languages))), np.ones((len(names), len(languages))), np.ones(len(languages))
     top[found["gram"].map(place), found["lang"].map(column)] = found["top"]
@@ -177,7 +191,7 @@ def train(docs: DataFrame, **how) -> Models | None:
     hashes = np.array([_mix(_codes(g), len(g))[0] for g in names], dtype=np.uint64)
     rank = np.argsort(hashes)
     models = Models(languages, hashes[rank], prob[rank], back[rank], empty, np.full(len(languages), np.inf))
-    own = predictions(picked, models, keep=["lang"]).filter("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("entropy", ACCEPT_QUANTILE).alias("q")).collect()
+    own = predictions(picked.filter(apart), models, keep=["lang"]).filter("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("entropy", ACCEPT_QUANTILE).alias("q")).collect()
     for r in own:
         models.limits[column[r["lang"]]] = r["q"]
     return models

@@ -26,10 +26,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import fold, texts
+from stratamart.llm.common import fold, stored, texts
 
 POSITIVES, UNLABELLED = 8_000, 16_000
 FOLDS, HELD_OUT = 5, 0
+#: Labelled ids up to which they may be broadcast.
+BROADCAST_IDS = 500_000
 CUT = 0.3
 STEPS, RATE, DECAY = 600, 0.05, 1e-4
 _SYMBOLS = "#*$%&|<>"
@@ -120,15 +122,20 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
     """Fit on rows outside the held-out fold; None without positives."""
-    chance = lambda c: F.pmod(F.xxhash64(F.lit(11), c), F.lit(1 << 20)) / F.lit(1 << 20)
-    open_rows = fold(F.col("doc_id"), FOLDS) != HELD_OUT
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull() & open_rows).select("doc_id").distinct()
-    n, of = good.count(), docs.filter(open_rows).count()
-    if not n or not of:
-        return None
-    good = good.filter(chance("doc_id") < positives / n)  # about ``positives`` ids whatever the tables' size
-    p = _table(docs.join(F.broadcast(good), "doc_id", "left_semi")).toPandas()
-    u = _table(docs.filter(open_rows & (chance("doc_id") < unlabelled / of))).toPandas()
+    # A row's chance follows its id and text; rows alike in both are one example, so neither an id nor a text that is repeated without end fills the sample.
+    part = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1 << 40)) / F.lit(1 << 40)
+    with_id = lambda df: df.filter(F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    good = stored(with_id(labels).filter(F.col("quality") == 1).select("doc_id").distinct())
+    open_rows = with_id(docs)
+    small = good.count() <= BROADCAST_IDS
+    trusted = open_rows.join(F.broadcast(good) if small else good, "doc_id", "left_semi")
+
+    def some(df: DataFrame, most: int) -> DataFrame:
+        of = df.count()
+        return df.filter(part < F.lit(most / max(of, 1))).dropDuplicates(["doc_id", "text"])
+
+    p = _table(some(trusted, positives)).toPandas()
+    u = _table(some(open_rows, unlabelled)).toPandas()
     if not len(p) or not len(u):
         return None
     p, u = np.array(p["x"].tolist()), np.array(u["x"].tolist())

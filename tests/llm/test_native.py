@@ -120,3 +120,37 @@ def test_markov_models_find_random_strings_and_leave_identifiers(spark):
     probe = [(0, "key " + "".join(pick.choices(letters, k=40))), (1, "payment_history_request_handler_factory"), (2, "customer_account_service_manager_update")]
     found = {r["doc_id"]: len(r["markov"]) for r in secret_scan.scan(spark.createDataFrame(probe, "doc_id bigint, text string"), model).collect()}
     assert found == {0: 1, 1: 0, 2: 0}
+
+
+def test_recall_and_false_alarms_by_length_on_supplied_texts(spark):
+    """Random strings outside every pattern, hidden in supplied texts whose words are the identifiers."""
+    import random
+
+    pick = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secret_scan.train(table)
+    texts = [r["text"] for r in table.filter("text is not null").orderBy("doc_id").limit(300).collect()]
+    hidden, rows = {}, []
+    for i, t in enumerate(texts):
+        length = (10, 14, 18, 26, 40)[i % 5]
+        key = "".join(pick.choices(letters, k=length))
+        rows.append((i, f"{t}\nthe key {key} is new"))
+        hidden[i] = (length, len(t) + 9)
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).select("doc_id", "markov").collect()
+    hit, all_, alarms = {}, {}, 0
+    for r in got:
+        length, at = hidden[r["doc_id"]]
+        starts = [s["start"] for s in r["markov"]]
+        all_[length] = all_.get(length, 0) + 1
+        hit[length] = hit.get(length, 0) + (at in starts)
+        alarms += sum(s != at for s in starts)
+    recall = {k: hit[k] / all_[k] for k in sorted(all_)}
+    print(recall, alarms)
+    assert min(recall[k] for k in (18, 26, 40)) > 0.9 and recall[14] > 0.5 and alarms <= 30
+
+
+def test_a_sample_of_any_share_is_picked(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    few = secret_scan.samples(table, 1).select("value").count()
+    assert few <= secret_scan.samples(table, 10**9).count()

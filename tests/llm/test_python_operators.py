@@ -327,3 +327,62 @@ def test_operators_ignore_columns_that_share_their_names(spark):
     items = spark.createDataFrame([(1, rows[3][1], "x")], "item_id bigint, text string, hash string")
     assert {m.count() for m in (bitplanes.op1(table), covering.op6(table), char_models.op7(table), prefix_counts.op8(table), pu_quality.op9(table, labels))} == {12}
     assert {r["doc_id"] for r in templates.op2(table, items).collect()} >= {3}
+
+
+def test_kneser_ney_equals_a_plain_recursion(spark):
+    """Probabilities of the sorted table against the textbook recursion over dictionaries, single n-grams included."""
+    from collections import Counter
+
+    words = {"xx": ["abab", "ab", "abba", "baab", "abc"], "yy": ["cab", "acca", "bca", "abc"]}
+    rows = [(i, k, " ".join(w)) for i, (k, w) in enumerate((k, [w]) for k in words for w in words[k] for _ in range(8))]
+    table = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = char_models.train(table, held_out=99)
+    apart = F.pmod(F.xxhash64(F.lit(13), "doc_id", "text"), F.lit(char_models.CALIBRATION)) == 0
+    learnt = [(r["lang"], r["text"]) for r in char_models.sample(table, held_out=99).filter(~apart).collect()]
+    order, discount = char_models.ORDER, char_models.DISCOUNT
+
+    def probability(lang):
+        grams = [Counter() for _ in range(order + 1)]
+        before = [{} for _ in range(order + 1)]
+        for k, w in learnt:
+            if k == lang:
+                s = char_models._padded(w)
+                for end in range(order, len(s) + 1):
+                    for n in range(1, order + 1):
+                        g = s[end - n : end]
+                        grams[n][g] += 1
+                        before[n].setdefault(g, set()).add(s[end - n - 1] if n < order else "")
+
+        def mass(g):
+            return grams[order][g] if len(g) == order else len(before[len(g)].get(g, ()))
+
+        def p(context, c):
+            g = context + c
+            if not g:
+                return char_models.UNIFORM
+            same = [x for x in grams[len(g)] if x[:-1] == context]
+            total = sum(mass(x) for x in same)
+            lower = p(context[1:], c) if context else char_models.UNIFORM
+            if not total:
+                return lower
+            return max(mass(g) - discount, 0) / total + discount * len(same) / total * lower
+
+        return p
+
+    for lang in words:
+        p, column = probability(lang), model.languages.index(lang)
+        for w in ["abab", "cab", "zz", "abcabc", "b"]:
+            s = char_models._padded(w)
+            want = sum(np.log(p(s[end - order : end - 1], s[end - 1])) for end in range(order, len(s) + 1))
+            assert abs(model.logs([w])[0][column] - want) < 1e-9, (lang, w)
+
+
+def test_rows_without_id_teach_no_quality(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    noise = spark.createDataFrame([(None, "@@@ ### !!!" * 30)] * 2000, "doc_id bigint, text string")
+    model = pu_quality.train(table.select("doc_id", "text"), labels)
+    with_noise = pu_quality.train(table.select("doc_id", "text").union(noise), labels)
+    assert model.prior == with_noise.prior and np.array_equal(model.centre, with_noise.centre)
+    repeated = table.select("doc_id", "text").union(table.filter("doc_id = 1").select("doc_id", "text").crossJoin(spark.range(500)).select("doc_id", "text"))
+    assert abs(pu_quality.train(repeated, labels).prior - model.prior) < 0.2
