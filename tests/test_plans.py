@@ -87,3 +87,10 @@ def test_hot_keys_are_salted(spark, small):
     w = warehouse(spark, small)
     for name in ["rf_dwd_order_wide", "rf_dwd_behavior_wide", "rt_log_split", "word_check"]:
         assert "_salt" in w.table(name)._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_page_path_reads_and_shuffles_the_log_once(spark, small):
+    df = entry.queries()["ads_page_path"](spark, small)
+    df.collect()
+    final = physical(df).split("Initial Plan")[0]  # after adaptive execution found what it can reuse
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
