@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 
-def closure(rows: DataFrame, id: str = "id", parent: str = "parent_id", stored: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def closure(rows: DataFrame, stored: Callable[[DataFrame], DataFrame], id: str = "id", parent: str = "parent_id") -> tuple[DataFrame, DataFrame]:
     """(id, ancestor, distance) of every row and each of its ancestors, itself at distance 0; and (id, cycle) of rows whose way up never ends.
 
     Pointer doubling: a row that knows its ancestors up to distance d asks the one at distance d for its own, so a tree of depth n takes log2(n) joins.  A way
     that is still open after more steps than there are rows goes in a circle; ``cycle`` is the circle's smallest id.  Rows on and below circles have no ancestors here but
-    are reported.  A parent that is no row ends the way; of several rows of one id the one with the smallest parent counts.  ``stored`` keeps each step's result (a checkpoint, say).
+    are reported.  A parent that is no row ends the way; of several rows of one id the one with the smallest parent counts.  ``stored`` keeps each step's result (a checkpoint or a written
+    table), as each step uses the one before it twice.
     """
-    keep = stored or (lambda df: df)
+    keep = stored
     nodes = keep(rows.select(F.col(id).alias("id"), F.col(parent).alias("up")).filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("up").alias("up")))
     up = nodes.join(nodes.select(F.col("id").alias("up")), "up", "left_semi").select("id", F.col("up").alias("to"))
     # ``to``: 2^k steps up; ``least``: the smallest id on the way there.

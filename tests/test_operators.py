@@ -201,12 +201,19 @@ def test_word_flags(spark):
     assert got == [(1, 1), (2, 0), (3, 0), (4, 1)]
 
 
-def test_closure_of_a_deep_tree_and_circles(spark):
+def test_closure_of_a_deep_tree_and_circles(spark, tmp_path):
     from stratamart.operators.hierarchy import closure
 
     tree = [(i, i - 1 if i else None) for i in range(13)] + [(100, 12), (101, 999)]  # depth 12, a branch, a parent that is no row
     circle = [(201, 202), (202, 203), (203, 201), (204, 203)]
-    up, lost = closure(spark.createDataFrame(tree + circle, "id int, parent_id int"))
+    written = []
+
+    def stored(df):
+        written.append(str(tmp_path / str(len(written))))
+        df.coalesce(1).write.parquet(written[-1])
+        return spark.read.parquet(written[-1])
+
+    up, lost = closure(spark.createDataFrame(tree + circle, "id int, parent_id int"), stored)
     parent = dict(tree)
     want = set()
     for i in parent:
