@@ -154,3 +154,11 @@ def test_a_sample_of_any_share_is_picked(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     few = secret_scan.samples(table, 1).select("value").count()
     assert few <= secret_scan.samples(table, 10**9).count()
+
+
+def test_models_count_every_row(spark):
+    """One of 40,000 rows holds the only random string; a sample of 20,000 by the hash of the text did not have it."""
+    text = F.concat(F.lit("customer_history_"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 20_011, "token=Zq9XvK2mPw7").otherwise(text).alias("text"))
+    assert secret_scan.train(rows) is not None
+    assert secret_scan.labelled(secret_scan.found(rows)).count() == 40_000
