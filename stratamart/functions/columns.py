@@ -150,36 +150,42 @@ def or_zero(c) -> Column:
     return F.coalesce(col(c), F.lit(0))
 
 
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _decimal_digits(hex_digits: Column) -> Column:
     """Decimal text of a hex text of any length.
 
-    Seven hex digits at a time are carried into limbs of nine decimal digits, the lowest first; no step leaves 64 bits.
+    Up to 14 digits are converted at once.  Of longer texts 14 digits at a time are carried into limbs of 18 decimal digits, the lowest
+    first; no step leaves 38 digits.  Each part is a lambda's argument, or Spark would make the text anew wherever it is read.
     """
-    padded = F.concat(F.repeat(F.lit("0"), F.pmod(-F.length(hex_digits), F.lit(7))), hex_digits)
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.length(padded) - 1) / 7).cast("int")),
-        lambda i: F.conv(F.substring(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("bigint"),
-    )
-    base = F.lit(10**9).cast("bigint")
+    base, shift = F.lit(10**18).cast("decimal(19,0)"), F.lit(16**14).cast("decimal(19,0)")
 
     def add(limbs, chunk):
+        def carried(s, x):
+            both = lambda v: F.struct(F.call_function("div", v, base).alias("carry"), F.array_append(s["out"], (v % base).cast("bigint")).alias("out"))
+            return _named((x.cast("decimal(18,0)") * shift + s["carry"].cast("decimal(19,0)")).cast("decimal(38,0)"), both)
+
         return F.aggregate(
-            limbs,
-            F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("out")),
-            lambda s, x: F.struct(
-                F.call_function("div", x * F.lit(16**7) + s["carry"], base).alias("carry"),
-                F.array_append(s["out"], (x * F.lit(16**7) + s["carry"]) % base).alias("out"),
-            ),
+            limbs, F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("out")), carried,
             lambda s: F.when(s["carry"] > 0, F.array_append(s["out"], s["carry"])).otherwise(s["out"]),
         )
 
-    limbs = F.aggregate(chunks, F.array(F.lit(0).cast("bigint")), add)
-    return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    def in_limbs(padded):
+        chunks = F.transform(
+            F.sequence(F.lit(0), F.floor(F.length(padded) / 14).cast("int") - 1),
+            lambda i: F.conv(F.substring(padded, i * 14 + 1, F.lit(14)), 16, 10).cast("bigint"),
+        )
+        limbs = F.aggregate(chunks, F.array().cast("array<bigint>"), add)
+        return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 18, "0")), "")
 
+    def shown(digits):
+        padded = F.concat(F.repeat(F.lit("0"), F.pmod(-F.length(digits), F.lit(14))), digits)
+        return F.when(digits == "", F.lit("0")).when(F.length(digits) <= 14, F.conv(digits, 16, 10)).otherwise(_named(padded, in_limbs))
 
-def _named(value: Column, use) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return _named(F.ltrim(hex_digits, F.lit("0")), shown)
 
 
 def amount_from_text(c, scale_18: bool = False) -> Column:
@@ -187,12 +193,17 @@ def amount_from_text(c, scale_18: bool = False) -> Column:
 
     Null in is "0"; what is no number is null.
     """
-    text = F.coalesce(F.trim(col(c)), F.lit("0"))
-    hexed = F.regexp_extract(text, "^0[xX]([0-9a-fA-F]+)$", 1)
-    plain = F.regexp_extract(text, r"^[+-]?([0-9]+(?:[.][0-9]+)?)$", 1)
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    whole = F.when(hexed != "", _decimal_digits(hexed)).when(plain != "", F.substring_index(plain, ".", 1))
-    rest = F.when((hexed == "") & plain.contains("."), F.substring_index(plain, ".", -1)).otherwise(F.lit(""))
+
+    def read(text):
+        hexed = F.regexp_extract(text, "^0[xX]([0-9a-fA-F]+)$", 1)
+        plain = F.regexp_extract(text, r"^[+-]?([0-9]+(?:[.][0-9]+)?)$", 1)
+        return _named(F.struct(hexed.alias("hexed"), plain.alias("plain"), F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign")), parted)
+
+    def parted(t):
+        whole = F.when(t["hexed"] != "", _decimal_digits(t["hexed"])).when(t["plain"] != "", F.substring_index(t["plain"], ".", 1))
+        rest = F.when((t["hexed"] == "") & t["plain"].contains("."), F.substring_index(t["plain"], ".", -1)).otherwise(F.lit(""))
+        value = _named(F.struct(whole.alias("whole"), rest.alias("rest")), shown)
+        return _named(value, lambda v: F.when(v != "0", F.concat(t["sign"], v)).otherwise(v))
 
     def shown(parts):
         whole, rest = parts["whole"], parts["rest"]
@@ -204,8 +215,7 @@ def amount_from_text(c, scale_18: bool = False) -> Column:
         rest = F.rtrim(rest, F.lit("0"))
         return F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")))
 
-    value = _named(F.struct(whole.alias("whole"), rest.alias("rest")), shown)
-    return _named(value, lambda v: F.when(v != "0", F.concat(sign, v)).otherwise(v))
+    return _named(F.coalesce(F.trim(col(c)), F.lit("0")), read)
 
 
 # ---- payloads ----------------------------------------------------------------

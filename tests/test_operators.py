@@ -243,3 +243,13 @@ def test_lookup_as_of_equals_a_scan_over_all_states(spark):
     assert rows(got) == sorted(want, key=str)
     inner = as_of(spark.createDataFrame(facts, "id int, code string, at bigint"), ranges, {"code": "code"}, "at", {"name": "label"}, width=700, how="inner")
     assert inner.count() == sum(w[3] is not None for w in want)
+
+
+def test_hex_amounts_of_any_length_make_their_text_once(spark):
+    pick = random.Random(1)
+    texts = ["0x" + "".join(pick.choice("0123456789abcdefABCDEF") for _ in range(n)) for n in [*range(1, 50), 75, 200]]
+    texts += ["0x" + "f" * n for n in range(1, 70)] + ["0x" + "0" * n for n in (1, 14, 15, 40)] + ["0X" + "0" * 50 + "a1", "0x1" + "0" * 45]
+    made = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.amount_from_text("t").alias("a"))
+    assert [r["a"] for r in made.collect()] == [str(int(t, 16)) for t in texts]
+    made = spark.range(1).select(C.amount_from_text(F.concat(F.lit("0x"), F.md5(F.col("id").cast("string")))).alias("a"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
