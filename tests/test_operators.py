@@ -253,3 +253,11 @@ def test_hex_amounts_of_any_length_make_their_text_once(spark):
     assert [r["a"] for r in made.collect()] == [str(int(t, 16)) for t in texts]
     made = spark.range(1).select(C.amount_from_text(F.concat(F.lit("0x"), F.md5(F.col("id").cast("string")))).alias("a"))
     assert made._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+
+
+def test_parts_of_shuffles_stay_small_when_tables_grow(spark, small):
+    from __spark_entry__ import queries
+
+    queries()["dws_user_order_1d"](spark, small)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
