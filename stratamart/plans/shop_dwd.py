@@ -41,7 +41,11 @@ def dwd_order_lines(ods_order_detail, ods_order_info):
 
 @plan
 def dwd_order_detail(dwd_order_lines, ods_order_detail_activity, ods_order_detail_coupon):
-    return _lines_with_promotions(dwd_order_lines, ods_order_detail_activity, ods_order_detail_coupon)
+    # the days follow from the time, so they need not travel
+    lines = _lines_with_promotions(dwd_order_lines.drop("date_id", "dt"), ods_order_detail_activity, ods_order_detail_coupon)
+    return lines.withColumns({"date_id": day_of("create_time"), "dt": day_of("create_time")}).select(
+        *dwd_order_lines.columns, "activity_id", "activity_rule_id", "coupon_id"
+    )
 
 
 @plan
@@ -57,9 +61,10 @@ def dwd_paid_lines(ods_order_detail, ods_payment_info):
 @plan
 def dwd_pay_suc_detail(dwd_paid_lines, ods_order_info, ods_order_detail_activity, ods_order_detail_coupon, ods_base_dic):
     order = ods_order_info.select(F.col("id").alias("order_id"), "province_id")
-    placed = dwd_paid_lines.join(order, "order_id", "left")  # both sides are already partitioned by order
-    named = with_label(placed, ods_base_dic, "payment_type", "payment_type_name", parent="11")
-    return _lines_with_promotions(named, ods_order_detail_activity, ods_order_detail_coupon).select(
+    placed = dwd_paid_lines.drop("dt").join(order, "order_id", "left")  # both sides are already partitioned by order
+    # the day and the name follow from the time and the code, so they need not travel
+    lines = _lines_with_promotions(placed, ods_order_detail_activity, ods_order_detail_coupon).withColumn("dt", day_of("callback_time"))
+    return with_label(lines, ods_base_dic, "payment_type", "payment_type_name", parent="11").select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         F.col("payment_type").alias("payment_type_code"), "payment_type_name", F.col("dt").alias("date_id"), "callback_time", "sku_num",
         "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_payment_amount", "dt",

@@ -261,3 +261,14 @@ def test_parts_of_shuffles_stay_small_when_tables_grow(spark, small):
     queries()["dws_user_order_1d"](spark, small)
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1000
+
+
+
+def test_days_and_names_that_follow_from_other_columns_do_not_travel(spark, small):
+    from stratamart.sources.supplied import warehouse
+
+    plans = {n: warehouse(spark, small).table(n)._jdf.queryExecution().optimizedPlan().toString() for n in ("dwd_order_detail", "dwd_pay_suc_detail")}
+    lines = plans["dwd_order_detail"]
+    assert "AS date_id" in lines[: lines.index("Join LeftOuter")] and "AS date_id" not in lines[lines.index("Join LeftOuter") :]
+    paid = plans["dwd_pay_suc_detail"]
+    assert paid.index("_code") < paid.index("Join LeftOuter, (id")
