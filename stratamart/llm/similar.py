@@ -4,7 +4,9 @@ Order all shingles in one way, whatever it is.  Two sets whose Jaccard similarit
 n - ceil(4n/5) + 1 of either, so documents meet in these shingles and no pair is missed.  The order puts shingles that
 are frequent in a sample last, so that common passages don't bring unrelated documents together; it changes the cost only.
 
-First, most links are found cheaply: each text is compared with ``PARTNERS`` others, of the least ones with which it has the same least hash, by ``ORDERS`` hashes, those met most often.
+First, most links are found cheaply.  Operator 6 links the sets' fingerprints by its covering masks: each set is compared with the least one of its fingerprint, and these with each other along
+the forest of links.  Beside that, as near copies at this similarity often differ in more bits, each is compared with ``PARTNERS`` others, of the least ones with which it has the same least hash,
+by ``ORDERS`` hashes, those met most often.  Pairs that sizes or sketches (below) rule out are not compared.
 Then only shingles that hold texts of different components matter, and only pairs of different components.  A pair goes where it meets if the sizes differ too much, if what comes
 from the shingle on is too little in either text (their first common shingle leaves enough), or if their sketches differ in more bits than the sets may in shingles:
 a sketch holds for each of ``SKETCH`` classes whether the set has an odd number of shingles in it, so each shingle that only one set has changes one bit.  All three bounds are exact.
@@ -22,8 +24,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from stratamart.llm import covering
 from stratamart.llm.common import Memory, kept, released, scratch_table, stored, texts
 from stratamart.llm.components import components
 
@@ -31,7 +34,7 @@ SHINGLE = 5
 #: Similarity of near copies as a fraction, so that the check is exact.
 TOP, BOTTOM = 4, 5
 #: Documents whose shingles give the order, and shingles put last at most.
-SAMPLE, FREQUENT = 4_000, 1 << 16
+SAMPLE, FREQUENT = 20_000, 1 << 18
 #: Rows up to which a counted table of numbers may be broadcast, and pairs of one text that a task checks together, on average.
 BROADCAST_KEYS, PART = 500_000, 1024
 #: Hashes that give each text likely partners, and how many of these it is compared with.
@@ -93,6 +96,14 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([s for s, _ in top], dtype=np.int64), np.array([n for _, n in top], dtype=np.int64)
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """Operator 6's fingerprint of a set of shingles: the bits set in over half of their hashes; zero without any."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(found), 1 << 16):
+        ones += np.unpackbits(found[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(found), bitorder="little").view("<i8")[0])
+
+
 def least_hashes(found: np.ndarray) -> list[int]:
     """The least shingle by each of ``ORDERS`` hashes."""
     return [int((found.view(np.uint64) * np.uint64(k)).min().view(np.int64)) for k in _FACTORS] if len(found) else [0] * ORDERS
@@ -105,7 +116,7 @@ def sketch(found: np.ndarray) -> list[int]:
 
 
 def prefixes(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, node, n, keys, least, sketch) of each row: the set's hash and size, its first shingles in order, its least hashes and sketch."""
+    """(doc_id, text_hash, node, n, keys, fp, least, sketch) of each row: the set's hash and size, its first shingles in order, its fingerprint, least hashes and sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent(docs))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +126,14 @@ def prefixes(docs: DataFrame) -> DataFrame:
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in found], dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({
                 "doc_id": b["doc_id"], "text_hash": b["text_hash"], "node": nodes, "n": np.array([len(s) for s in found], dtype=np.int64),
-                "keys": [prefix(s, *shared.value) for s in found], "least": [least_hashes(s) for s in found],
+                "keys": [prefix(s, *shared.value) for s in found],
+                "fp": np.array([fingerprint(s) for s in found], dtype=np.int64), "least": [least_hashes(s) for s in found],
                 "sketch": [sketch(s) for s in found],
             })
 
     rows = texts(docs, F.xxhash64("text").alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(make, f"doc_id {kind}, text_hash bigint, node bigint, n bigint, keys array<bigint>, least array<bigint>, sketch array<bigint>")
+    return rows.mapInPandas(make, f"doc_id {kind}, text_hash bigint, node bigint, n bigint, keys array<bigint>, fp bigint, least array<bigint>, sketch array<bigint>")
 
 
 def _small(df: DataFrame, times: int = 1) -> DataFrame:
@@ -161,9 +173,19 @@ def checked(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(sent.mapInPandas(check, "a bigint, b bigint"))
 
 
-def likely_pairs(rows: DataFrame) -> DataFrame:
+def covering_pairs(once: DataFrame) -> DataFrame:
+    """(a, b): each set beside the least one of its fingerprint, and these along operator 6's links between fingerprints."""
+    heads = stored(once.groupBy("fp").agg(F.min("node").alias("head")))
+    same = once.select("node", "fp").join(heads, "fp").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    met = covering.links(heads.select("fp"))
+    for x in "ab":
+        met = met.join(heads.select(F.col("fp").alias(x), F.col("head").alias(f"head_{x}")), x)
+    return same.union(met.select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b")))
+
+
+def likely_pairs(once: DataFrame) -> DataFrame:
     """(a, b): each node beside the nodes with which it shares most least hashes, among the least node of each."""
-    each = rows.select("node", F.posexplode("least").alias("k", "m")).distinct()
+    each = once.select("node", F.posexplode("least").alias("k", "m"))
     heads = stored(each.groupBy("k", "m").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("k", "m", "a"))
     met = each.join(heads, ["k", "m"]).filter("node <> a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("times"))
     # A node has at most ORDERS heads.
@@ -171,25 +193,41 @@ def likely_pairs(rows: DataFrame) -> DataFrame:
     return ranked.select(F.explode("heads.a").alias("a"), F.col("node").alias("b"))
 
 
-def pairs_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+_WORDS = [f"s{k}" for k in range(SKETCH // 64)]
+
+
+def _may_link() -> Column:
+    """Whether sizes and sketches of a pair, as columns n_a, n_b, s0_a and so on, leave it similar enough."""
+    both = F.col("n_a") + F.col("n_b")
+    fits = (BOTTOM * F.col("n_a") >= TOP * F.col("n_b")) & (BOTTOM * F.col("n_b") >= TOP * F.col("n_a"))
+    # Similar sets differ in at most (BOTTOM - TOP) / (BOTTOM + TOP) of both sizes together.
+    differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in _WORDS)
+    return fits & ((BOTTOM + TOP) * differ <= (BOTTOM - TOP) * both)
+
+
+def sketches(once: DataFrame) -> DataFrame:
+    return stored(once.select("node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(_WORDS)]))
+
+
+def bounded(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The pairs whose sizes and sketches leave them similar enough."""
+    pairs, side = stored(pairs.distinct()), _small(sketched)
+    for x in "ab":
+        pairs = pairs.join(side.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *_WORDS)]), x)
+    return pairs.filter(_may_link()).select("a", "b")
+
+
+def pairs_apart(once: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
     """(a, b): pairs of nodes of different components that the bounds leave."""
-    # One row stands for all that have its set, however many.
-    once = scratch_table(rows.select("node", "n", "keys", "sketch").dropDuplicates(["node"]), "sets")
-    rooted = once.select("node", "n", "keys").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keyed = rooted.select("node", "n", "root", F.posexplode("keys").alias("at", "key"))
+    rooted = once.select("node", "keys").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = rooted.select("node", "root", F.posexplode("keys").alias("at", "key"))
     apart = stored(keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key"))
-    sketches = stored(once.select("node", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH // 64)]))
-    met = keyed.join(_small(apart, 4), "key").join(_small(sketches), "node")
-    kept = ["n", "root", "at", *[f"s{k}" for k in range(SKETCH // 64)]]
+    met = keyed.join(_small(apart, 4), "key").join(_small(sketched), "node")
+    kept = ["n", "root", "at", *_WORDS]
     a, b = (met.select("key", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in kept]) for x in "ab")
-    both = F.col("n_a") + F.col("n_b")
-    fits = (BOTTOM * F.col("n_a") >= TOP * F.col("n_b")) & (BOTTOM * F.col("n_b") >= TOP * F.col("n_a"))
     # Where the first common shingle is met, all that is common lies from there on.
-    enough = (TOP + BOTTOM) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= TOP * both
-    # Similar sets differ in at most (BOTTOM - TOP) / (BOTTOM + TOP) of both sizes together.
-    differ = sum(F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SKETCH // 64))
-    close = (BOTTOM + TOP) * differ <= (BOTTOM - TOP) * both
-    met = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits & enough & close
+    enough = (TOP + BOTTOM) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= TOP * (F.col("n_a") + F.col("n_b"))
+    met = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough & _may_link()
     return a.join(b, met).select("a", "b").distinct()
 
 
@@ -197,10 +235,13 @@ def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, root) of each row."""
     spark = docs.sparkSession
     rows = scratch_table(prefixes(docs), "prefixes")
-    first = checked(docs, rows, stored(likely_pairs(rows)))
+    # One row stands for all that have its set, however many.
+    once = scratch_table(rows.select("node", "n", "keys", "fp", "least", "sketch").dropDuplicates(["node"]), "sets")
+    sketched = sketches(once)
+    first = checked(docs, rows, stored(bounded(covering_pairs(once).union(likely_pairs(once)), sketched)))
     released(spark)
     roots = stored(components(first))
-    rest = checked(docs, rows, stored(pairs_apart(rows, roots)))
+    rest = checked(docs, rows, stored(pairs_apart(once, roots, sketched)))
     released(spark)
     roots = stored(components(first.union(rest)))
     return rows.select("doc_id", "text_hash", "node").join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))

@@ -63,3 +63,16 @@ def test_stage_on_supplied_documents(spark, small):
     got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, small).collect())
     assert got == brute_force(texts)
     assert len(got) < corpus_pipeline.covering.one_per_group(docs).count()  # three bits of three-word shingles miss some
+
+
+def test_operator_6_links_the_fingerprints_of_the_sets(spark, monkeypatch):
+    from stratamart.llm import covering
+
+    asked, links = [], covering.links
+    monkeypatch.setattr(covering, "links", lambda fps: asked.append(sorted(r["fp"] for r in fps.collect())) or links(fps))
+    texts = near_copies()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    memory = similar.WordHashes()
+    assert asked == [sorted({similar.fingerprint(similar.shingles(t, memory)) for t in texts.values()})]
+    assert sorted(r["doc_id"] for r in got) == brute_force(texts)
