@@ -34,7 +34,7 @@ SHINGLE = 5
 #: Similarity of near copies as a fraction, so that the check is exact.
 TOP, BOTTOM = 4, 5
 #: Documents whose shingles give the order, and shingles put last at most.
-SAMPLE, FREQUENT = 20_000, 1 << 18
+SAMPLE, FREQUENT = 20_000, 1 << 16
 #: Rows up to which a counted table of numbers may be broadcast, and pairs of one text that a task checks together, on average.
 BROADCAST_KEYS, PART = 500_000, 1024
 #: Hashes that give each text likely partners, and how many of these it is compared with.
@@ -211,9 +211,9 @@ def sketches(once: DataFrame) -> DataFrame:
 
 def bounded(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs whose sizes and sketches leave them similar enough."""
-    pairs, side = stored(pairs.distinct()), _small(sketched)
+    pairs = stored(pairs.distinct())
     for x in "ab":
-        pairs = pairs.join(side.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *_WORDS)]), x)
+        pairs = pairs.join(sketched.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *_WORDS)]), x)
     return pairs.filter(_may_link()).select("a", "b")
 
 
