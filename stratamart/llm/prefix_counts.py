@@ -49,7 +49,7 @@ class PrefixCounter:
     """Counts by the pieces and scores of a sentencepiece byte-pair file without text normalisation."""
 
     #: Prefixes and pairs of pieces remembered at once in a task.
-    KEPT = 1 << 18
+    KEPT = 1 << 19
     #: Characters up to which a chunk's prefixes are remembered.
     SHARED = 40
 
@@ -167,13 +167,15 @@ class PrefixCounter:
         """Characters of the longest prefix of at most ``budget`` tokens."""
         if not text:
             return 0
-        parts, totals = self.chunks(text)
-        ends = np.cumsum(totals)
-        k = int(np.searchsorted(ends, budget, side="right"))
-        chars = sum(map(len, parts[:k]))
-        if k < len(parts):
-            left = budget - (int(ends[k - 1]) if k else 0)
-            chars += max(i for i, n in enumerate(self.table(parts[k])) if n <= left)
+        self.totals.renew()
+        left, chars = budget, 0
+        for found in _CHUNK.finditer(SPACE + text.replace(" ", SPACE)):
+            chunk = found.group()
+            n = self.totals[chunk[1:]] if chunk[0] == SPACE else self.total(chunk)
+            if n > left:
+                chars += max(i for i, k in enumerate(self.table(chunk)) if k <= left)
+                break
+            left, chars = left - n, chars + len(chunk)
         return max(0, chars - 1)
 
 

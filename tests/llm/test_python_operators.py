@@ -386,3 +386,16 @@ def test_rows_without_id_teach_no_quality(spark):
     assert model.prior == with_noise.prior and np.array_equal(model.centre, with_noise.centre)
     repeated = table.select("doc_id", "text").union(table.filter("doc_id = 1").select("doc_id", "text").crossJoin(spark.range(500)).select("doc_id", "text"))
     assert abs(pu_quality.train(repeated, labels).prior - model.prior) < 0.2
+
+
+def test_the_longest_prefix_of_a_budget_counts_no_word_behind_it(monkeypatch):
+    import public_tokenizers
+    from stratamart.llm import prefix_counts
+
+    counter = prefix_counts.PrefixCounter(public_tokenizers.path(prefix_counts.VOCABULARY))
+    text = " ".join(f"word{k}" for k in range(500))
+    every, asked, total = counter.every_prefix(text), [], counter.total
+    monkeypatch.setattr(counter, "total", lambda chunk: asked.append(chunk) or total(chunk))
+    for budget in (0, 1, 7, 20):
+        assert counter.fitting(text, budget) == max(i for i, n in enumerate(every) if n <= budget)
+    assert len(asked) <= 22
