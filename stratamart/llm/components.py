@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import stored
+from stratamart.llm.common import released, stored
 
 
 def _star(pairs: DataFrame, keep_root: bool) -> DataFrame:
@@ -35,3 +35,4 @@ def components(edges: DataFrame) -> DataFrame:
         both = stored(now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         large = stored(_star(both, keep_root=False).distinct())
         now = stored(_star(large, keep_root=True).filter("u <> v").distinct())
+        released(edges.sparkSession)

@@ -91,9 +91,19 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles met more than once in the sample, sorted, and how often."""
     share = max(1, docs.count() // SAMPLE)
     some = _sets(docs.filter(F.pmod(F.xxhash64(F.xxhash64("text"), F.lit(1)), F.lit(share)) == 0))
-    counts = some.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    top = sorted((r["s"], r["n"]) for r in counts.orderBy(F.desc("n"), "s").limit(FREQUENT).collect())
-    return np.array([s for s, _ in top], dtype=np.int64), np.array([n for _, n in top], dtype=np.int64)
+    counts = stored(some.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # From how often on: a sort's limit would bring that many rows of each part to the driver.
+    least, left = 0, FREQUENT
+    for n, many in counts.groupBy("n").count().orderBy(F.desc("n")).collect():
+        if many > left:
+            # Of those met equally often about as many as are left, by hash.
+            least = n
+            equal = F.pmod(F.xxhash64("s"), F.lit(many)) < left
+            break
+        left -= many
+    taken = counts if not least else counts.filter((F.col("n") > least) | ((F.col("n") == least) & equal))
+    top = taken.toArrow().sort_by("s")
+    return top["s"].to_numpy(), top["n"].to_numpy()
 
 
 def fingerprint(found: np.ndarray) -> int:

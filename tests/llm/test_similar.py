@@ -76,3 +76,19 @@ def test_operator_6_links_the_fingerprints_of_the_sets(spark, monkeypatch):
     memory = similar.WordHashes()
     assert asked == [sorted({similar.fingerprint(similar.shingles(t, memory)) for t in texts.values()})]
     assert sorted(r["doc_id"] for r in got) == brute_force(texts)
+
+
+def test_frequent_shingles_are_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(60))) for i in range(4)], "doc_id bigint, text string")
+    for limit in (0, 1, 20, 56, 100):
+        monkeypatch.setattr(similar, "FREQUENT", limit)
+        found, n = similar.frequent(docs)
+        assert list(found) == sorted(found) and set(n) <= {4}
+        assert len(found) == 56 if limit >= 56 else len(found) < 56
+
+
+def test_frequent_shingles_come_without_a_sort_on_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "limit", lambda *a: pytest.fail("each part would send that many rows"))
+    assert len(similar.frequent(spark.createDataFrame([(i, "a b c d e f") for i in range(3)], "doc_id bigint, text string"))[0]) == 2
