@@ -5,11 +5,13 @@ n - ceil(4n/5) + 1 of either, so documents meet in these shingles and no pair is
 are frequent in a sample last, so that common passages don't bring unrelated documents together; it changes the cost only.
 
 First, most links are found cheaply.  Operator 6 links the sets' fingerprints by its covering masks: each set is compared with the least one of its fingerprint, and these with each other along
-the forest of links.  Beside that, as near copies at this similarity often differ in more bits, each is compared with ``PARTNERS`` others, of the least ones with which it has the same least hash,
-by ``ORDERS`` hashes, those met most often.  Pairs that sizes or sketches (below) rule out are not compared.
+the forest of links.  Beside that, as near copies at this similarity often differ in more bits, each is compared, for each of ``ORDERS`` hashes, with one of those that have the same least hash:
+another one for each hash, so that a large group of near copies holds together by many links.  Pairs that sizes or sketches (below) rule out are not compared.
 Then only shingles that hold texts of different components matter, and only pairs of different components.  A pair goes where it meets if the sizes differ too much, if what comes
 from the shingle on is too little in either text (their first common shingle leaves enough), or if their sketches differ in more bits than the sets may in shingles:
-a sketch holds for each of ``SKETCH`` classes whether the set has an odd number of shingles in it, so each shingle that only one set has changes one bit.  All three bounds are exact.
+a sketch holds for each of its classes whether the set has an odd number of shingles in it, so each shingle that only one set has changes one bit.  All three bounds are exact.
+There are ``SKETCH`` classes for a short text and more for longer ones, as unrelated sets would else fill all classes alike; they fold into fewer.  A pair that met in
+one of the ``BEFORE`` shingles before goes too: it leaves from there or from before, so a pair leaves where it first meets and hardly again.
 Each other pair is checked by the sets themselves.  So a large group of copies does not leave as all its pairs; texts that share a first shingle without being linked are
 compared as numbers, and only those that all bounds leave are sent.
 
@@ -37,10 +39,12 @@ TOP, BOTTOM = 4, 5
 SAMPLE, FREQUENT = 20_000, 1 << 16
 #: Rows up to which a counted table of numbers may be broadcast, and pairs of one text that a task checks together, on average.
 BROADCAST_KEYS, PART = 500_000, 1024
-#: Hashes that give each text likely partners, and how many of these it is compared with.
-ORDERS, PARTNERS = 8, 2
-#: Bits of a set's sketch, in words of 64.
-SKETCH = 512
+#: Hashes that give each text likely partners.
+ORDERS = 16
+#: Bits of a set's sketch at least and at most.
+SKETCH, FINEST = 512, 1 << 14
+#: Shingles before a common one, in either text, that are looked at for an earlier common one.
+BEFORE = 2
 _FACTORS = [0x9E3779B97F4A7C15 * (2 * k + 1) * (2 * k + 3) % 2**64 | 1 for k in range(ORDERS)]
 
 
@@ -119,9 +123,15 @@ def least_hashes(found: np.ndarray) -> list[int]:
     return [int((found.view(np.uint64) * np.uint64(k)).min().view(np.int64)) for k in _FACTORS] if len(found) else [0] * ORDERS
 
 
+def sketch_bits(n: int) -> int:
+    """Bits of the sketch of a set of n shingles: a power of two; sets similar in size have equal ones or one twice the other."""
+    return min(FINEST, max(SKETCH if n <= SKETCH // 2 else 2 * SKETCH, 1 << (max(n - 1, 1) // 2).bit_length()))
+
+
 def sketch(found: np.ndarray) -> list[int]:
     """For each class of shingles whether their number is odd, as longs."""
-    odd = np.bincount((found.view(np.uint64) * np.uint64(_FACTORS[0]) >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    bits = sketch_bits(len(found))
+    odd = np.bincount((found.view(np.uint64) * np.uint64(_FACTORS[0]) >> np.uint64(40)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
 
 
@@ -194,16 +204,19 @@ def covering_pairs(once: DataFrame) -> DataFrame:
 
 
 def likely_pairs(once: DataFrame) -> DataFrame:
-    """(a, b): each node beside the nodes with which it shares most least hashes, among the least node of each."""
+    """(a, b): each node beside one of the nodes with which it shares a least hash, for each hash another."""
     each = once.select("node", F.posexplode("least").alias("k", "m"))
-    heads = stored(each.groupBy("k", "m").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("k", "m", "a"))
-    met = each.join(heads, ["k", "m"]).filter("node <> a").groupBy("node", "a").agg(F.count(F.lit(1)).alias("times"))
-    # A node has at most ORDERS heads.
-    ranked = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("times", "a")), False), 1, PARTNERS).alias("heads"))
-    return ranked.select(F.explode("heads.a").alias("a"), F.col("node").alias("b"))
+    heads = each.groupBy("k", "m").agg(F.min(F.struct(F.xxhash64("node", "k").alias("h"), F.col("node").alias("a"))).alias("head"), F.count(F.lit(1)).alias("members"))
+    heads = stored(heads.filter("members > 1").select("k", "m", "head.a"))
+    return each.join(heads, ["k", "m"]).filter("node <> a").select("a", F.col("node").alias("b"))
 
 
 _WORDS = [f"s{k}" for k in range(SKETCH // 64)]
+#: Bits that differ between the finer sketches of a pair; the longer one is folded, as similar sizes give at most twice the other's bits.
+_FINE = """aggregate(zip_with(
+    CASE WHEN size(fine_a) > size(fine_b) THEN zip_with(slice(fine_a, 1, size(fine_b)), slice(fine_a, size(fine_b) + 1, size(fine_b)), (x, y) -> x ^ y) ELSE fine_a END,
+    CASE WHEN size(fine_b) > size(fine_a) THEN zip_with(slice(fine_b, 1, size(fine_a)), slice(fine_b, size(fine_a) + 1, size(fine_a)), (x, y) -> x ^ y) ELSE fine_b END,
+    (x, y) -> bit_count(x ^ y)), 0, (sum, x) -> sum + x)"""
 
 
 def _may_link() -> Column:
@@ -211,33 +224,45 @@ def _may_link() -> Column:
     both = F.col("n_a") + F.col("n_b")
     fits = (BOTTOM * F.col("n_a") >= TOP * F.col("n_b")) & (BOTTOM * F.col("n_b") >= TOP * F.col("n_a"))
     # Similar sets differ in at most (BOTTOM - TOP) / (BOTTOM + TOP) of both sizes together.
-    differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in _WORDS)
-    return fits & ((BOTTOM + TOP) * differ <= (BOTTOM - TOP) * both)
+    close = lambda differ: (BOTTOM + TOP) * differ <= (BOTTOM - TOP) * both
+    fine = F.col("fine_a").isNull() | F.col("fine_b").isNull() | close(F.expr(_FINE))
+    return fits & close(sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in _WORDS)) & fine
 
 
 def sketches(once: DataFrame) -> DataFrame:
-    return stored(once.select("node", "n", *[F.col("sketch")[k].alias(w) for k, w in enumerate(_WORDS)]))
+    """(node, n, s0 and so on, fine) of each set: its sketch folded into ``SKETCH`` bits, and as it is if it has more."""
+    size = len(_WORDS)
+    folded = [F.expr(f"aggregate(filter(sketch, (x, i) -> i % {size} = {k}), 0L, (all, x) -> all ^ x)").alias(w) for k, w in enumerate(_WORDS)]
+    return stored(once.select("node", "n", *folded, F.when(F.size("sketch") > size, F.col("sketch")).alias("fine")))
 
 
 def bounded(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs whose sizes and sketches leave them similar enough."""
     pairs = stored(pairs.distinct())
     for x in "ab":
-        pairs = pairs.join(sketched.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *_WORDS)]), x)
+        pairs = pairs.join(sketched.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *_WORDS, "fine")]), x)
     return pairs.filter(_may_link()).select("a", "b")
 
 
 def pairs_apart(once: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
     """(a, b): pairs of nodes of different components that the bounds leave."""
     rooted = once.select("node", "keys").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keyed = rooted.select("node", "root", F.posexplode("keys").alias("at", "key"))
+    # The shingles before each one, null where there are none.
+    before = [f"p{k}" for k in range(1, BEFORE + 1)]
+    keyed = rooted.select("node", "root", "keys", F.posexplode("keys").alias("at", "key"))
+    keyed = keyed.select("node", "root", "at", "key", *[F.get("keys", F.col("at") - k).alias(p) for k, p in enumerate(before, 1)])
     apart = stored(keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key"))
     met = keyed.join(_small(apart, 4), "key").join(_small(sketched), "node")
-    kept = ["n", "root", "at", *_WORDS]
+    kept = ["n", "root", "at", *before, *_WORDS, "fine"]
     a, b = (met.select("key", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in kept]) for x in "ab")
     # Where the first common shingle is met, all that is common lies from there on.
     enough = (TOP + BOTTOM) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= TOP * (F.col("n_a") + F.col("n_b"))
-    met = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough & _may_link()
+    # A shingle before that both have is met as well, with more left from there on and the same other bounds.
+    earlier = F.lit(False)
+    for p in before:
+        for q in before:
+            earlier = earlier | F.coalesce(F.col(f"{p}_a") == F.col(f"{q}_b"), F.lit(False))
+    met = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough & ~earlier & _may_link()
     return a.join(b, met).select("a", "b").distinct()
 
 

@@ -92,3 +92,65 @@ def test_frequent_shingles_come_without_a_sort_on_the_driver(spark, monkeypatch)
 
     monkeypatch.setattr(DataFrame, "limit", lambda *a: pytest.fail("each part would send that many rows"))
     assert len(similar.frequent(spark.createDataFrame([(i, "a b c d e f") for i in range(3)], "doc_id bigint, text string"))[0]) == 2
+
+
+def _sets_of(spark, texts):
+    from stratamart.llm.common import stored
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return stored(similar.prefixes(docs).select("node", "n", "keys", "fp", "least", "sketch"))
+
+
+def test_a_pair_leaves_about_once_where_it_meets(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    words = [f"w{k}" for k in range(600)]
+    once = _sets_of(spark, [" ".join(words), " ".join(f"x{k}" if k % 60 == 9 else w for k, w in enumerate(words))])
+    nobody, sketched = spark.createDataFrame([], "node bigint, root bigint"), similar.sketches(once)
+    assert similar.pairs_apart(once, nobody, sketched).count() == 1
+    monkeypatch.setattr(DataFrame, "distinct", lambda df: df)
+    assert 1 <= similar.pairs_apart(once, nobody, sketched).count() <= 10  # a shingle in common is met some 50 times
+
+
+def test_long_texts_with_a_passage_in_common_are_told_apart_by_sketches(spark, monkeypatch):
+    monkeypatch.setattr(similar, "FREQUENT", 0)
+    pick = random.Random(5)
+    common = [f"c{k}" for k in range(200)]
+    once = _sets_of(spark, [" ".join(common + [f"w{pick.randint(0, 10**6)}" for _ in range(3000)]) for _ in range(12)])
+    nobody = spark.createDataFrame([], "node bigint, root bigint")
+    assert similar.pairs_apart(once, nobody, similar.sketches(once)).count() == 0
+
+
+def test_finer_sketches_leave_every_similar_pair(spark):
+    sizes = [255, 256, 257, 280, 2040, 2049, 2300, 4090, 4100, 4600, 8200]
+    shared = [f"w{k}" for k in range(max(sizes))]
+    once = _sets_of(spark, [" ".join(shared[: n + 4]) for n in sizes])
+    nobody = spark.createDataFrame([], "node bigint, root bigint")
+    want = {(m, n) for m in sizes for n in sizes if m < n and 5 * m >= 4 * n}
+    n = {r["node"]: r["n"] for r in once.collect()}
+    got = {tuple(sorted((n[r["a"]], n[r["b"]]))) for r in similar.pairs_apart(once, nobody, similar.sketches(once)).collect()}
+    assert want <= got
+    assert all(similar.sketch_bits(5 * k // 4) <= 2 * similar.sketch_bits(k) for k in range(40_000))
+
+
+def test_a_family_of_near_copies_holds_together_by_its_first_links(spark):
+    pick = random.Random(3)
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join(f"x{pick.randint(0, 10**6)}" if pick.random() < 0.011 else w for w in base) for _ in range(60)]
+    once = _sets_of(spark, texts)
+    memory, sets = similar.WordHashes(), {}
+    for found in (similar.shingles(t, memory) for t in texts):
+        h = similar.xxhash.xxh64_intdigest(found.tobytes())
+        sets[h - 2**64 if h >= 2**63 else h] = set(found.tolist())
+    root = {x: x for x in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in similar.likely_pairs(once).collect():
+        both = len(sets[r["a"]] & sets[r["b"]])
+        if 9 * both >= 4 * (len(sets[r["a"]]) + len(sets[r["b"]])):
+            root[find(r["a"])] = find(r["b"])
+    assert len({find(x) for x in sets}) <= 4
